@@ -30,9 +30,9 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.12g}")
+        return None if math.isnan(v) else v
     if isinstance(v, decimal.Decimal):
-        return float(f"{v:.12g}")
+        return float(v)
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (bytearray, bytes)):

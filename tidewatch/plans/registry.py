@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[["Tables"], DataFrame]
-MODULES = ("ingest", "backfill", "events", "network")
+MODULES = ("ingest", "backfill", "events", "network", "machines", "hosts", "papers", "models", "requests", "streams")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
