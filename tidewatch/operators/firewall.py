@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ordered import CHUNK, carry_forward
+from tidewatch.operators.ordered import CHUNK, carry_forward, chunk_carry, chunk_of
 from tidewatch.session import checkpointed
 
 # Columns of the flat table, in order, and their headers in a written sheet.
@@ -34,49 +34,78 @@ def _field(i: int) -> Column:
     return F.get("_f", F.lit(i))
 
 
-def _tagged(lines: DataFrame, size: int) -> DataFrame:
-    """Lines with the state in force at each of them, and `_start`, the end line of the rule before."""
-    word, width, at = _field(0), F.size("_f"), F.col("line_no")
-    is_rule, is_comment = word == "rule", word == "comment"
-    noted = {
-        "_zone": F.when(word == "interzone", F.struct(_field(2).alias("src"), _field(4).alias("dst"))),
+def _noted() -> dict[str, Column]:
+    """What a line sets: zones, rule id and policy, comment, user."""
+    is_rule, is_comment = _field(0) == "rule", _field(0) == "comment"
+    at, width = F.col("line_no"), F.size("_f")
+    return {
+        "_zone": F.when(_field(0) == "interzone", F.struct(_field(2).alias("src"), _field(4).alias("dst"))),
         "_rule": F.when(is_rule & (width == 3), F.struct(at.alias("at"), _field(1).alias("id"), _field(2).alias("act"))),
         "_comment": F.when(is_comment, F.struct(at.alias("at"), _field(1).alias("text"))),
         "_user": F.when(is_comment & (width > 3), F.struct(at.alias("at"), _field(3).alias("text"))),
     }
-    ended = {"_start": F.when(is_rule & (width != 3), at)}
-    split = lines.select("file", "line_no", line_fields(F.col("line")).alias("_f"))
-    scanned = carry_forward(split, ["file"], "line_no", noted, ended, size=size)
-    return scanned.withColumn("_start", F.coalesce("_start", F.lit(-1)))
 
 
-def _pieces(tagged: DataFrame) -> DataFrame:
-    """Lists and closing state of each rule per chunk of lines, so no list is longer than a chunk."""
-    word = _field(0)
-    ends = (word == "rule") & (F.size("_f") != 3)
+def _end() -> Column:
+    """Number of a line that ends a rule."""
+    return F.when((_field(0) == "rule") & (F.size("_f") != 3), F.col("line_no"))
+
+
+def _lists() -> list[Column]:
+    words = {"_src": "source-ip", "_dst": "destination-ip", "_svc": "service"}
+    return [F.collect_list(F.when(_field(0) == w, _field(1))).alias(n) for n, w in words.items()]
+
+
+def _head(rule_state: Column) -> Column:
+    """Closing state of a rule from the state in force at its end line. Zones and policy carry over
+    from earlier rules; id, comment and user count only if set after `_start`."""
 
     def inside(state: str, part: str) -> Column:
-        """State set within this rule, else empty."""
         return F.coalesce(F.when(F.col(f"{state}.at") > F.col("_start"), F.col(f"{state}.{part}")), F.lit(""))
 
-    def carried(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(""))
+    def carried(part: str) -> Column:
+        return F.coalesce(F.col(part), F.lit(""))
 
-    head = F.struct(
+    return F.struct(
         carried("_zone.src").alias("interzone_source"),
         carried("_zone.dst").alias("interzone_dest"),
         inside("_rule", "id").alias("ruleid"),
         inside("_comment", "text").alias("comment"),
         inside("_user", "text").alias("commentuser"),
-        _field(1).alias("rule_state"),
+        rule_state.alias("rule_state"),
         carried("_rule.act").alias("policy"),
     )
-    return tagged.groupBy("file", "_chunk", "_start").agg(
-        F.collect_list(F.when(word == "source-ip", _field(1))).alias("_src"),
-        F.collect_list(F.when(word == "destination-ip", _field(1))).alias("_dst"),
-        F.collect_list(F.when(word == "service", _field(1))).alias("_svc"),
-        F.max(F.when(ends, head)).alias("_head"),
+
+
+def _whole_rules(split: DataFrame, carry: DataFrame, size: int) -> DataFrame:
+    """Rules that lie inside one chunk, with their lists; grouping needs no further shuffle."""
+    tagged = carry_forward(split, ["file"], "line_no", _noted(), {"_start": _end()}, carry, size)
+    tagged = tagged.withColumn("_start", F.coalesce("_start", F.lit(-1)))
+    inside = tagged.filter(F.expr(f"floor(_start / {size})") == F.col("_chunk"))
+    closing = F.max(F.when(_end().isNotNull(), _head(_field(1)))).alias("_head")
+    pieces = inside.groupBy("file", "_chunk", "_start").agg(*_lists(), closing)
+    return pieces.filter(F.col("_head").isNotNull())
+
+
+def _cut_pieces(split: DataFrame, carry: DataFrame, size: int) -> DataFrame:
+    """Pieces of rules that cross a chunk border: the lines of each chunk up to its first end line, and
+    those after its last. The former continue the rule that began after the last end line before."""
+    before = F.col("line_no") <= F.coalesce("_first_end", F.lit(2**62))
+    after = F.col("line_no") > F.col("_last_end")
+    lines = (
+        split.withColumn("_chunk", chunk_of("line_no", size))
+        .join(carry, ["file", "_chunk"])
+        .filter(before | after)
+        .withColumn("_start", F.when(after, F.col("_last_end")).otherwise(F.coalesce("_c__start", F.lit(-1))))
     )
+    noted = _noted()
+    latest = [F.max(F.when(e.isNotNull(), F.struct("line_no", e.alias("v")))).alias(f"_n{n}") for n, e in noted.items()]
+    kept = [F.first(f"_c_{n}").alias(f"_c_{n}") for n in noted]
+    closing = F.max(F.when(_end().isNotNull(), F.struct("line_no", _field(1).alias("v")))).alias("_closed")
+    pieces = lines.groupBy("file", "_chunk", "_start").agg(*_lists(), *latest, *kept, closing)
+    pieces = pieces.withColumns({n: F.coalesce(F.col(f"_n{n}")["v"], F.col(f"_c_{n}")) for n in noted})
+    head = F.when(F.col("_closed").isNotNull(), _head(F.col("_closed")["v"]))
+    return pieces.select("file", "_start", "_src", "_dst", "_svc", head.alias("_head"))
 
 
 def _products(rows: DataFrame) -> DataFrame:
@@ -96,14 +125,16 @@ def policy_table(lines: DataFrame, size: int = CHUNK) -> DataFrame:
     policy stay in force for later rules; comment, user, id and lists do not. A rule with an empty
     list gives no row, nor does an unfinished one at the end.
 
-    Rules inside one chunk of lines are expanded where they are. The pieces of rules that cross a
-    chunk border, at most two per chunk, are written to the shared folder and joined.
+    The state at the start of each chunk of lines is found once and kept. Rules inside one chunk are
+    expanded where they are, so no list is longer than a chunk. Rules that cross a border leave at most
+    two pieces per chunk; these few are written to the shared folder and joined.
     """
-    pieces = _pieces(_tagged(lines, size))
-    whole = F.col("_head").isNotNull() & (F.floor(F.col("_start") / size) == F.col("_chunk"))
-    cut = checkpointed(pieces.filter(~whole))
+    split = lines.select("file", "line_no", line_fields(F.col("line")).alias("_f"))
+    ends = [F.min(_end()).alias("_first_end"), F.max(_end()).alias("_last_end")]
+    carry = checkpointed(chunk_carry(split, ["file"], "line_no", {**_noted(), "_start": _end()}, ends, size))
+    cut = checkpointed(_cut_pieces(split, carry, size))
     rule = ["file", "_start"]
     joined = cut.filter(F.col("_head").isNotNull()).select(*rule, "_head")
     for part in ("_src", "_dst", "_svc"):
         joined = joined.join(cut.filter(F.size(part) > 0).select(*rule, part), rule)
-    return _products(pieces.filter(whole)).unionByName(_products(joined))
+    return _products(_whole_rules(split, carry, size)).unionByName(_products(joined))

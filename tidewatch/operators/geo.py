@@ -20,28 +20,43 @@ PLACE_FIELDS = (
     "region_zh",
 )
 NO_ADDRESS = "0.0.0.0"
-BUCKET = 1 << 16
+WALK_BITS = 16
+BUCKET_BITS = (8, 10, 12, 14, 16, 20, 24)
 BROADCAST_PIECES = 200_000
 
 
-def range_pieces(ranges: DataFrame) -> DataFrame:
-    """Ranges cut at /16 borders: bucket, first and last address, and the place as one struct.
+def _bucket(address: Column, bits: int) -> Column:
+    return F.shiftright(address, bits)
 
-    A longitude of exactly 0 gives no location. Ranges must not overlap.
+
+def range_pieces(ranges: DataFrame, bits: int = WALK_BITS) -> DataFrame:
+    """Ranges cut at bucket borders: bucket, first and last address, and the place as one struct.
+
+    A bucket has `2^bits` addresses. A longitude of exactly 0 gives no location. Ranges must not overlap.
     """
-    bucket = F.explode(F.sequence(F.floor(F.col("start_ip") / BUCKET), F.floor(F.col("end_ip") / BUCKET)))
+    lo, hi = F.col("start_ip"), F.col("end_ip")
     place = F.struct(
         F.when(F.col("lon") != 0, F.struct("lon", "lat")).alias("location"), *PLACE_FIELDS
     ).alias("_place")
-    cut = ranges.select("start_ip", "end_ip", place, bucket.alias("_bucket"))
+    buckets = F.sequence(_bucket(lo, bits), _bucket(hi, bits))
+    cut = ranges.select("start_ip", "end_ip", place, F.explode(buckets).alias("_bucket"))
+    first = F.shiftleft("_bucket", bits)
     return cut.select(
         "_bucket",
-        F.greatest("start_ip", F.col("_bucket") * BUCKET).alias("_lo"),
-        F.least("end_ip", F.col("_bucket") * BUCKET + (BUCKET - 1)).alias("_hi"),
+        F.greatest("start_ip", first).alias("_lo"),
+        F.least("end_ip", first + (2**bits - 1)).alias("_hi"),
         "_place",
     )
 
 
+def finest_bits(ranges: DataFrame, limit: int) -> int | None:
+    """Bits of the smallest bucket that cuts the ranges into at most `limit` pieces; None if none does."""
+    lo, hi = F.col("start_ip"), F.col("end_ip")
+    pieces = [F.sum(_bucket(hi, b) - _bucket(lo, b) + 1).alias(str(b)) for b in BUCKET_BITS]
+    counted = ranges.agg(*pieces).first()
+    return next((b for b in BUCKET_BITS if (counted[str(b)] or 0) <= limit), None)
+
+
 def _usable(c: Column) -> Column:
     return F.when(c != NO_ADDRESS, ip_to_long(c))
 
@@ -51,23 +66,23 @@ def _place_columns(ip: str, place: Column) -> list[Column]:
     return [place[f].alias(f"{ip}_{f}") for f in fields]
 
 
-def _with_broadcast(df: DataFrame, ip: str, pieces: DataFrame) -> DataFrame:
-    left = df.withColumn("_ip", _usable(F.col(ip))).withColumn("_b", F.floor(F.col("_ip") / BUCKET))
+def _with_broadcast(df: DataFrame, ip: str, pieces: DataFrame, bits: int) -> DataFrame:
+    left = df.withColumn("_ip", _usable(F.col(ip))).withColumn("_b", _bucket(F.col("_ip"), bits))
     hit = (F.col("_b") == F.col("_bucket")) & F.col("_ip").between(F.col("_lo"), F.col("_hi"))
     joined = left.join(F.broadcast(pieces), hit, "left")
     return joined.select(*df.columns, *_place_columns(ip, F.col("_place")))
 
 
-def places_of(addresses: DataFrame, pieces: DataFrame) -> DataFrame:
+def places_of(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
     """Place of each distinct address text in column `_text`, by walking addresses and ranges in order.
 
     Work per /16 bucket is linear, and a bucket holds at most 65,536 addresses and as many ranges.
     """
     ips = addresses.select("_text", _usable(F.col("_text")).alias("_at")).filter(F.col("_at").isNotNull())
-    walk = pieces.select(
+    walk = range_pieces(ranges).select(
         "_bucket", F.col("_lo").alias("_at"), F.lit(0).alias("_kind"), "_hi", "_place"
     ).unionByName(
-        ips.select(F.floor(F.col("_at") / BUCKET).alias("_bucket"), "_at", F.lit(1).alias("_kind"), "_text"),
+        ips.select(_bucket(F.col("_at"), WALK_BITS).alias("_bucket"), "_at", F.lit(1).alias("_kind"), "_text"),
         allowMissingColumns=True,
     )
     so_far = Window.partitionBy("_bucket").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
@@ -84,17 +99,19 @@ def geo_enrich(
 ) -> DataFrame:
     """Left lookup of each address column; adds its location, country, city and region columns.
 
-    The range table is counted first. Up to `broadcast_pieces` pieces it is broadcast and `df` is not
-    shuffled at all. Beyond that, distinct addresses are placed by an ordered walk and joined back;
-    the join back is a plain equi-join, whose hot addresses adaptive execution splits.
+    The range table is measured first. If it can be cut into at most `broadcast_pieces` pieces, these
+    are broadcast, in the smallest buckets that allows, and `df` is not shuffled at all. Otherwise
+    distinct addresses are placed by an ordered walk and joined back; the join back is a plain
+    equi-join, whose hot addresses adaptive execution splits.
     """
-    pieces = range_pieces(ranges)
-    if pieces.limit(broadcast_pieces + 1).count() <= broadcast_pieces:
+    bits = finest_bits(ranges, broadcast_pieces)
+    if bits is not None:
+        pieces = range_pieces(ranges, bits)
         for ip in ip_cols:
-            df = _with_broadcast(df, ip, pieces)
+            df = _with_broadcast(df, ip, pieces, bits)
         return df
     texts = df.select(F.explode(F.array(*[F.col(c) for c in ip_cols])).alias("_text")).distinct()
-    places = places_of(texts, pieces)
+    places = places_of(texts, ranges)
     for ip in ip_cols:
         columns = df.columns
         joined = df.join(places.withColumnRenamed("_text", ip), ip, "left")

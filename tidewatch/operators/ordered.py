@@ -16,7 +16,30 @@ CHUNK = 8192
 
 
 def chunk_of(order: str, size: int = CHUNK) -> Column:
-    return F.floor(F.col(order) / size).cast("bigint")
+    return F.expr(f"`{order}` div {size}")
+
+
+def chunk_carry(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    exprs: Mapping[str, Column],
+    extra: Sequence[Column] = (),
+    size: int = CHUNK,
+) -> DataFrame:
+    """Per key and chunk, the last non-null value of each expression in the chunks before it.
+
+    The result has one row per chunk: keys, `_chunk`, the values as `_c_<name>`, and the extra
+    aggregates over the chunk itself.
+    """
+    last = [
+        F.max(F.when(e.isNotNull(), F.struct(F.col(order), e.alias("v")))).alias(f"_s_{n}") for n, e in exprs.items()
+    ]
+    per_chunk = df.withColumn("_chunk", chunk_of(order, size)).groupBy(*keys, "_chunk").agg(*last, *extra)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.last(f"_s_{n}", True).over(before)["v"].alias(f"_c_{n}") for n in exprs]
+    plain = [c for c in per_chunk.columns if not c.startswith("_s_")]
+    return per_chunk.select(*plain, *carried)
 
 
 def carry_forward(
@@ -25,43 +48,34 @@ def carry_forward(
     order: str,
     current: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
-    chunk: str = "_chunk",
+    carry: DataFrame | None = None,
     size: int = CHUNK,
 ) -> DataFrame:
     """Last non-null value of each expression along `order` within `keys`.
 
     `current` looks at rows up to and including the row itself, `previous` only at earlier rows.
-    The result is left hash-partitioned by (keys, chunk) and keeps the chunk column.
+    The result has `_chunk` too, and is left hash-partitioned by (keys, `_chunk`). `carry` may hand in
+    the result of `chunk_carry` for the same expressions.
     """
     current, previous = dict(current or {}), dict(previous or {})
     exprs = {**current, **previous}
-    df = df.withColumn(chunk, chunk_of(order, size))
-    place = [*keys, chunk]
-
-    last = {
-        n: F.max(F.when(e.isNotNull(), F.struct(F.col(order), e.alias("v")))).alias(f"_s_{n}")
-        for n, e in exprs.items()
-    }
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        df.groupBy(*place)
-        .agg(*last.values())
-        .select(*place, *[F.last(f"_s_{n}", True).over(before)["v"].alias(f"_c_{n}") for n in exprs])
+    if carry is None:
+        carry = chunk_carry(df, keys, order, exprs, size=size)
+    place = [*keys, "_chunk"]
+    states = [F.col(f"_c_{n}") for n in exprs]
+    joined = (
+        df.withColumn("_chunk", chunk_of(order, size))
+        .join(carry.select(*place, *states), place)
+        .select(*df.columns, "_chunk", *states, *[e.alias(f"_e_{n}") for n, e in exprs.items()])
     )
-
     within = Window.partitionBy(*place).orderBy(order)
     upto = within.rowsBetween(Window.unboundedPreceding, 0)
     ahead = within.rowsBetween(Window.unboundedPreceding, -1)
-    joined = df.join(carried, place).select(
-        *[F.col(c) for c in df.columns],
-        *[F.col(f"_c_{n}") for n in exprs],
-        *[e.alias(f"_e_{n}") for n, e in exprs.items()],
-    )
-    filled = {
-        n: F.coalesce(F.last(f"_e_{n}", True).over(upto if n in current else ahead), F.col(f"_c_{n}"))
+    filled = [
+        F.coalesce(F.last(f"_e_{n}", True).over(upto if n in current else ahead), F.col(f"_c_{n}")).alias(n)
         for n in exprs
-    }
-    return joined.select(*[F.col(c) for c in df.columns], *[f.alias(n) for n, f in filled.items()])
+    ]
+    return joined.select(*df.columns, "_chunk", *filled)
 
 
 def concat_ordered(

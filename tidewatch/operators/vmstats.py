@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import humanize_bits, humanize_bytes, humanize_percent
 from tidewatch.functions.text import glob_match, is_uuid, packed_uuid
-from tidewatch.operators.ranks import values_at
+from tidewatch.operators.joins import null_safe_join
+from tidewatch.operators.ranks import HOT_ROWS, values_at
+from tidewatch.session import checkpointed
 
 # Metrics with their text form, the sanity limit, volume kinds, states, steps.
 ITEMS: dict[str, Callable[[Column], Column]] = {
@@ -120,50 +122,57 @@ def flagged(values: DataFrame, limit: float = TOO_LARGE) -> DataFrame:
     return values.withColumn("is_valid", F.col("value") <= limit)
 
 
-def item_stats(values: DataFrame, keys: Sequence[str], median: str = "as_written") -> DataFrame:
-    """Per key and metric: samples, valid and ignored values, `max`, `avg`, `med`, `no_sane`, `single_row`.
+def item_stats(
+    values: DataFrame,
+    keys: Sequence[str],
+    median: str = "as_written",
+    limit: float = TOO_LARGE,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Per key and metric of long samples: samples, valid and ignored values, `max`, `avg`, `med`, `no_sane`, `single_row`.
 
     `max` and `avg` use valid values, and are 0 if there is none. `med` uses all values: by default
     the mean of those at positions n/2 and n/2+1 counted from 0, which is null up to two values;
-    `exact` gives the usual median. A key with one sample has -1 for all three.
+    `exact` gives the usual median. A key with one sample has -1 for all three. The sums per key are
+    checkpointed; keys with more than `hot_rows` values are not sorted in one task.
     """
     group = [*keys, "item"]
-    ok = F.col("is_valid")
-    valid = F.when(ok, F.col("value"))
-    sums = values.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n_samples"),
-        F.count(valid).alias("n_valid"),
-        F.count(F.when(~ok, 1)).alias("n_ignored"),
-        F.max(valid).alias("max"),
-        F.avg(valid).alias("avg"),
+    v = F.col("value")
+    ok = v <= limit
+    valid = F.when(ok, v)
+    sums = checkpointed(
+        values.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("n_samples"),
+            F.count(v).alias("_n"),
+            F.count(valid).alias("n_valid"),
+            F.count(F.when(~ok, 1)).alias("n_ignored"),
+            F.max(valid).alias("_max"),
+            F.avg(valid).alias("_avg"),
+        )
     )
     if median == "exact":
         at = {"_a": lambda n: F.floor((n - 1) / 2), "_b": lambda n: F.floor(n / 2)}
     else:
         at = {"_a": lambda n: F.floor(n / 2), "_b": lambda n: F.floor(n / 2) + 1}
-    middle = values_at(values, group, "value", at)
+    middle = values_at(values, group, "value", at, sums, "_n", hot_rows)
     one = F.col("n_samples") == 1
-    joined = sums.join(middle.withColumnsRenamed({k: f"_k_{k}" for k in group}), _same(group), "left")
-    return joined.select(
+
+    def shown(stat: Column) -> Column:
+        return F.when(one, -1.0).otherwise(stat)
+
+    return null_safe_join(sums, middle, group, "left").select(
         *group,
         "n_samples",
         "n_valid",
         "n_ignored",
-        F.when(one, -1.0).otherwise(F.coalesce("max", F.lit(0.0))).alias("max"),
-        F.when(one, -1.0).otherwise(F.coalesce("avg", F.lit(0.0))).alias("avg"),
-        F.when(one, -1.0).otherwise((F.col("_a") + F.col("_b")) / 2).alias("med"),
+        shown(F.coalesce("_max", F.lit(0.0))).alias("max"),
+        shown(F.coalesce("_avg", F.lit(0.0))).alias("avg"),
+        shown((F.col("_a") + F.col("_b")) / 2).alias("med"),
         ((F.col("n_valid") == 0) & ~one).alias("no_sane"),
         one.alias("single_row"),
     )
 
 
-def _same(keys: Sequence[str]) -> Column:
-    test = F.lit(True)
-    for k in keys:
-        test = test & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return test
-
-
 def ignored_values(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The values over the limit, one row each."""
     return values.filter(~F.col("is_valid")).select(*keys, "item", "value")
