@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import rows
+from tidewatch.operators.ordered import carry_forward, concat_ordered
+from tidewatch.operators.ranks import value_counts, values_at, values_in_counts
+
+
+@pytest.mark.parametrize("size", [1, 3, 8, 1000])
+def test_carry_forward_equals_a_loop(spark, size):
+    rnd = random.Random(size)
+    data = [(k, i, rnd.choice([None, None, f"v{rnd.randrange(9)}"])) for k in ("a", "b") for i in rnd.sample(range(60), 40)]
+    want = []
+    for key in ("a", "b"):
+        last = None
+        for k, i, v in sorted((d for d in data if d[0] == key), key=lambda d: d[1]):
+            before, last = last, v if v is not None else last
+            want.append((k, i, last, before))
+    df = spark.createDataFrame(data, "k string, i bigint, v string")
+    out = carry_forward(df, ["k"], "i", {"now": F.col("v")}, {"before": F.col("v")}, size=size)
+    assert rows(out, "k", "i", "now", "before") == sorted(want, key=lambda t: tuple((x is not None, str(x)) for x in t))
+
+
+@pytest.mark.parametrize("size", [1, 4, 4096])
+def test_concat_ordered(spark, size):
+    data = [("a", i, f"t{i}") for i in range(10)] + [("b", 5, "x"), ("b", 2, "y")]
+    df = spark.createDataFrame(data, "k string, i bigint, t string").repartition(4)
+    out = dict(map(tuple, concat_ordered(df, ["k"], "i", "t", "text", "|", size).collect()))
+    assert out == {"a": "|".join(f"t{i}" for i in range(10)), "b": "y|x"}
+
+
+def samples(seed):
+    rnd = random.Random(seed)
+    groups = {
+        "one": [3.5],
+        "two": [1.0, 2.0],
+        "same": [7.0] * 50,
+        "mixed": [rnd.uniform(-1e6, 1e6) for _ in range(101)] + [0.0, -0.5, 1e300, -1e300, 5e-324],
+        "near": [1.0 + i * 2.220446049250313e-16 for i in range(64)],
+        "ties": [float(rnd.randrange(4)) for _ in range(80)],
+        None: [4.0, 1.0, 3.0],
+        "empty": [],
+    }
+    return groups
+
+
+AT = {"a": lambda n: F.floor(n / 2), "b": lambda n: F.floor(n / 2) + 1, "first": lambda n: F.lit(0)}
+
+
+def expected(groups):
+    out = []
+    for k, vs in groups.items():
+        s, h = sorted(vs), len(vs) // 2
+        get = lambda i: s[i] if i < len(s) else None
+        if vs:
+            out.append((k, get(h), get(h + 1), s[0]))
+    return sorted(out, key=lambda t: tuple((x is not None, str(x)) for x in t))
+
+
+@pytest.mark.parametrize("hot_rows", [0, 60, 10**6])
+def test_values_at_on_either_path(spark, hot_rows):
+    groups = samples(3)
+    data = [(k, v) for k, vs in groups.items() for v in [*vs, None]]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    sizes = df.groupBy("k").agg(F.count("v").alias("n"))
+    out = values_at(df, ["k"], "v", AT, sizes, "n", hot_rows)
+    assert rows(out, "k", "a", "b", "first") == expected(groups)
+
+
+def test_values_in_counts_with_many_values(spark):
+    rnd = random.Random(9)
+    vs = [rnd.lognormvariate(0, 3) for _ in range(20000)] + [2.5] * 5000
+    df = spark.createDataFrame([(1, v) for v in vs], "k int, v double")
+    out = values_in_counts(value_counts(df, ["k"], "v"), AT).first()
+    s = sorted(vs)
+    assert (out["a"], out["b"], out["first"]) == (s[12500], s[12501], s[0])
