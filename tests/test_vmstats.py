@@ -101,6 +101,6 @@ def test_recent_and_consolidated(spark):
     assert rows(vm.recent(df, F.lit(700)), "time") == [(400,), (700,)]
     ts = dt.datetime(2024, 1, 1)
     raw = spark.createDataFrame([(1, ts + dt.timedelta(seconds=s), v) for s, v in ((0, 1.0), (59, 2.0), (60, 9.0))], "vm_id int, ts timestamp_ntz, value double")
-    avg = vm.consolidate(raw, ["vm_id"], "ts", "value", vm.STEPS["hour"])
+    avg = vm.consolidate(raw, ["vm_id"], "ts", ["value"], vm.STEPS["hour"])
     assert rows(avg, "ts", "value") == [(ts, 1.5), (ts + dt.timedelta(minutes=1), 9.0)]
-    assert rows(vm.consolidate(raw, ["vm_id"], "ts", "value", vm.STEPS["month"], "MAX"), "ts", "value") == [(ts, 9.0)]
+    assert rows(vm.consolidate(raw, ["vm_id"], "ts", ["value"], vm.STEPS["month"], "MAX"), "ts", "value") == [(ts, 9.0)]

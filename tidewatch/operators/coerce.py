@@ -96,7 +96,9 @@ def coerce_by_suffix(
 
 
 def _type_of(field: T.StructField) -> str:
-    return "bigint" if column_kind(field.name) == "count" else "timestamp"
+    if column_kind(field.name) == "count":
+        return "bigint"
+    return "timestamp" if isinstance(field.dataType, T.TimestampType) else "timestamp_ntz"
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -44,28 +44,31 @@ IMAGE_FIELDS = (
 
 def document_text(paras: DataFrame) -> DataFrame:
     """Text of each document: its paragraphs that are not blank, each ending in a newline."""
-    kept = paras.filter(~is_blank(F.col("text")))
-    joined = concat_ordered(kept, ["doc_id"], "pos", "text", "text")
+    joined = concat_ordered(paras, ["doc_id"], "pos", "text", "text", keep=~is_blank(F.col("text")))
     return joined.withColumn("text", F.concat("text", F.lit("\n")))
 
 
 def _letter_parts(text: Column) -> Column:
-    """The six groups of the letter pattern, or null.
+    """The six groups of the letter pattern; an array of another size, or null, if it does not match.
 
     The pattern starts with any text, so a match can always start at the first character. Replacing
     the match by its groups reads a document once instead of once per field, and a document without
-    the salutation is not searched at all.
+    the salutation is not searched at all. The separator is blanked in the text first, which no
+    group and no fixed part of the pattern can notice.
     """
     groups = "\x01".join(f"${i}" for i in range(1, 7))
-    joined = F.regexp_replace(text, rf"\A{APPRAISAL}(?s).*", groups)
-    return F.when(text.contains(SALUTATION) & (joined != text), F.split(joined, "\x01"))
+    joined = F.regexp_replace(F.translate(text, "\x01", " "), rf"\A{APPRAISAL}(?s).*", groups)
+    return F.when(text.contains(SALUTATION), F.split(joined, "\x01"))
 
 
 def appraisal_fields(docs: DataFrame) -> DataFrame:
-    """The six fields of documents that match the letter pattern."""
-    found = docs.withColumn("_p", _letter_parts(F.col("text"))).filter(F.col("_p").isNotNull())
+    """The six fields of documents that match the letter pattern.
+
+    The groups pass through `explode` of none or one array, so that filter and projection share them.
+    """
+    found = F.filter(F.array(_letter_parts(F.col("text"))), lambda p: F.size(p) == 6)
     part = [F.col("_p")[i] for i in range(6)]
-    return found.select(
+    return docs.select("doc_id", F.explode(found).alias("_p")).select(
         "doc_id",
         part[1].alias("x_name"),
         part[0].alias("x_zzjl_qsr"),
@@ -78,7 +81,7 @@ def appraisal_fields(docs: DataFrame) -> DataFrame:
 
 def appraisal_rejects(docs: DataFrame) -> DataFrame:
     """Documents that do not match."""
-    return docs.filter(_letter_parts(F.col("text")).isNull())
+    return docs.filter(F.coalesce(F.size(_letter_parts(F.col("text"))), F.lit(0)) != 6)
 
 
 def table_fields(cells: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ PLACE_FIELDS = (
 NO_ADDRESS = "0.0.0.0"
 WALK_BITS = 16
 BUCKET_BITS = (8, 10, 12, 14, 16, 20, 24)
-BROADCAST_PIECES = 200_000
+BROADCAST_PIECES = 1_000_000  # about 200 MB in memory
 
 
 def _bucket(address: Column, bits: int) -> Column:

@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Key lists counted to be at most this long may be broadcast.
+BROADCAST_KEYS = 100_000
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which null keys equal each other; the right side's keys are dropped."""

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.joins import BROADCAST_KEYS, null_safe_join
+
 CHUNK = 8192
 
 
@@ -79,19 +81,34 @@ def carry_forward(
 
 
 def concat_ordered(
-    df: DataFrame, keys: Sequence[str], order: str, text: str, out: str, sep: str = "\n", size: int = 4096
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    text: str,
+    out: str,
+    sep: str = "\n",
+    size: int = 4096,
+    keep: Column | None = None,
 ) -> DataFrame:
-    """Texts of each key joined along `order`.
+    """Texts of each key joined along `order`, a distinct number per text of a key; `keep` filters them.
 
-    Texts are joined per chunk first, so the last step sees one row per chunk of a long key.
+    Keys whose numbers reach `size` are looked up first, in a scan of the order column alone. Without
+    any, one aggregation joins at most `size` texts per key. Long keys are joined per chunk, and then
+    from one text per chunk.
     """
-
-    def joined(by: str, column: str) -> Column:
-        return F.expr(f"listagg(`{column}`, {sep!r}) within group (order by `{by}`)")
-
-    pieces = (
-        df.withColumn("_chunk", chunk_of(order, size))
-        .groupBy(*keys, "_chunk")
-        .agg(joined(order, text).alias("_piece"))
-    )
-    return pieces.groupBy(*keys).agg(joined("_chunk", "_piece").alias(out))
+    keys = list(keys)
+
+    def joined(rows: DataFrame, by: str, column: str, *place: str) -> DataFrame:
+        text_of = F.expr(f"listagg(`{column}`, {sep!r}) within group (order by `{by}`)")
+        return rows.groupBy(*keys, *place).agg(text_of.alias(out))
+
+    long = df.filter(F.col(order) >= size).select(*keys).distinct()
+    n_long = long.limit(BROADCAST_KEYS + 1).count()
+    df = df if keep is None else df.filter(keep)
+    if n_long == 0:
+        return joined(df, order, text)
+    if n_long <= BROADCAST_KEYS:
+        long = F.broadcast(long)
+    short = joined(null_safe_join(df, long, keys, "left_anti"), order, text)
+    rows = null_safe_join(df, long, keys, "left_semi").withColumn("_chunk", chunk_of(order, size))
+    return short.unionByName(joined(joined(rows, order, text, "_chunk"), "_chunk", out))

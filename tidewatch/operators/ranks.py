@@ -14,13 +14,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import null_safe_join
+from tidewatch.operators.joins import BROADCAST_KEYS, null_safe_join
 
 PER_OCTAVE = 4096
 STEPS = 65536
 _SHIFT = 1 << 25
-HOT_ROWS = 1 << 22
-BROADCAST_KEYS = 100_000
+HOT_ROWS = 1 << 20
 
 Positions = Mapping[str, Callable[[Column], Column]]
 

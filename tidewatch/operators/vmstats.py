@@ -102,12 +102,17 @@ def recent(samples: DataFrame, as_of: Column, seconds: int = 300, time: str = "t
 
 
 def consolidate(
-    samples: DataFrame, keys: Sequence[str], ts: str, value: str, step: str = "1 minute", cf: str = "AVERAGE"
+    samples: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    values: Sequence[str],
+    step: str = "1 minute",
+    cf: str = "AVERAGE",
 ) -> DataFrame:
-    """Coarser series: average or maximum per key and step. `MEDIAN` reads averages."""
-    how = F.max(value) if cf == "MAX" else F.avg(value)
-    grouped = samples.groupBy(*keys, F.window(ts, step).alias("_w")).agg(how.alias(value))
-    return grouped.select(*keys, F.col("_w.start").alias(ts), value)
+    """Coarser series: average or maximum of each value per key and step. `MEDIAN` reads averages."""
+    how = F.max if cf == "MAX" else F.avg
+    grouped = samples.groupBy(*keys, F.window(ts, step).alias("_w")).agg(*[how(v).alias(v) for v in values])
+    return grouped.select(*keys, F.col("_w.start").alias(ts), *values)
 
 
 def long_samples(samples: DataFrame, ids: Sequence[str], items: Iterable[str] = tuple(ITEMS)) -> DataFrame:

@@ -283,7 +283,7 @@ def bad_uuids(t: Tables) -> DataFrame:
     """,
 )
 def consolidate_average(t: Tables) -> DataFrame:
-    out = vm.consolidate(t.events, ["user_id"], "ts", "value", vm.STEPS["month"])
+    out = vm.consolidate(t.events, ["user_id"], "ts", ["value"], vm.STEPS["month"])
     return out.withColumn("value", F.round("value", 6))
 
 
@@ -295,7 +295,7 @@ def consolidate_average(t: Tables) -> DataFrame:
     """,
 )
 def consolidate_max(t: Tables) -> DataFrame:
-    return vm.consolidate(t.events, ["event_type"], "ts", "value", vm.STEPS["hour"], "MAX")
+    return vm.consolidate(t.events, ["event_type"], "ts", ["value"], vm.STEPS["hour"], "MAX")
 
 
 @query(
