@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.operators.joins import small_or_hashed
 from tidewatch.operators.ordered import CHUNK, carry_forward, chunk_carry, chunk_of
 from tidewatch.session import checkpointed
 
@@ -94,7 +95,7 @@ def _cut_pieces(split: DataFrame, carry: DataFrame, size: int) -> DataFrame:
     after = F.col("line_no") > F.col("_last_end")
     lines = (
         split.withColumn("_chunk", chunk_of("line_no", size))
-        .join(carry, ["file", "_chunk"])
+        .join(small_or_hashed(carry), ["file", "_chunk"])
         .filter(before | after)
         .withColumn("_start", F.when(after, F.col("_last_end")).otherwise(F.coalesce("_c__start", F.lit(-1))))
     )

@@ -17,3 +17,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(right, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def small_or_hashed(df: DataFrame) -> DataFrame:
+    """`df`, cheap to count, hinted as build side of a join: broadcast if it is short, else hashed per partition."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df.hint("shuffle_hash")

@@ -56,8 +56,9 @@ def carry_forward(
     """Last non-null value of each expression along `order` within `keys`.
 
     `current` looks at rows up to and including the row itself, `previous` only at earlier rows.
-    The result has `_chunk` too, and is left hash-partitioned by (keys, `_chunk`). `carry` may hand in
-    the result of `chunk_carry` for the same expressions.
+    The result has `_chunk` too, and is left hash-partitioned by (keys, `_chunk`): rows are shuffled once
+    for the join, which hashes the few carried rows, and the windows. `carry` may hand in the result of
+    `chunk_carry` for the same expressions.
     """
     current, previous = dict(current or {}), dict(previous or {})
     exprs = {**current, **previous}
@@ -67,7 +68,7 @@ def carry_forward(
     states = [F.col(f"_c_{n}") for n in exprs]
     joined = (
         df.withColumn("_chunk", chunk_of(order, size))
-        .join(carry.select(*place, *states), place)
+        .join(carry.select(*place, *states).hint("shuffle_hash"), place)
         .select(*df.columns, "_chunk", *states, *[e.alias(f"_e_{n}") for n, e in exprs.items()])
     )
     within = Window.partitionBy(*place).orderBy(order)
