@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.numbers import humanize_bits, humanize_bytes, humanize_percent
 from tidewatch.operators import vmstats as vm
 from tidewatch.plans.registry import Tables, query
+from tidewatch.session import spread
 
 LIMIT = 300
 
@@ -321,7 +322,7 @@ def recent_samples(t: Tables) -> DataFrame:
 )
 def humanize(t: Tables) -> DataFrame:
     v = F.col("l_extendedprice") * F.pow(F.lit(1024.0), F.col("l_linenumber") - 3)
-    return t.lineitem.select(
+    return spread(t.lineitem, "l_orderkey").select(
         "l_orderkey",
         humanize_bytes(v).alias("bytes_text"),
         humanize_bits(v).alias("bits_text"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.firewall import policy_table
 from tidewatch.plans.registry import Tables, query
+from tidewatch.session import spread
 
 
 def policy_lines(t: Tables) -> DataFrame:
@@ -45,8 +46,8 @@ def policy_lines(t: Tables) -> DataFrame:
             F.when(F.col("l_discount") >= 0.05, line(4, text("service p", F.col("l_partkey")))),
         )
     )
-    heads = t.orders.withColumn("_l", F.explode(own)).select(file("o_orderkey"), at("o_orderkey"), "_l.line")
-    lists = t.lineitem.withColumn("_l", F.explode(listed)).select(file("l_orderkey"), at("l_orderkey"), "_l.line")
+    heads = spread(t.orders, "o_orderkey").withColumn("_l", F.explode(own)).select(file("o_orderkey"), at("o_orderkey"), "_l.line")
+    lists = spread(t.lineitem, "l_orderkey").withColumn("_l", F.explode(listed)).select(file("l_orderkey"), at("l_orderkey"), "_l.line")
     return heads.unionByName(lists)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import documents as doc
 from tidewatch.plans.registry import Tables, query
+from tidewatch.session import spread
 
 
 @query(
@@ -43,7 +44,7 @@ def letter_paras(t: Tables) -> DataFrame:
         text("在价值时点", F.date_format("o_orderdate", "yyyy年M月d日"), "的抵押评估价值为：总价若干。"),
         F.when(F.col("o_orderstatus") != "P", text("单价：", F.format_number(F.col("o_orderkey") * 7, 0), "元/平方米")).otherwise("单价：无"),
     )
-    rows = t.orders.select(F.col("o_orderkey").alias("doc_id"), F.posexplode(lines).alias("pos", "text"))
+    rows = spread(t.orders, "o_orderkey").select(F.col("o_orderkey").alias("doc_id"), F.posexplode(lines).alias("pos", "text"))
     return rows.withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -71,7 +72,7 @@ def cells(t: Tables) -> DataFrame:
     number = F.col("l_linenumber") - 1 + F.when(F.col("l_linestatus") == "F", 7).otherwise(0)
     at = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in places])[number]
     mark = F.when(F.col("l_returnflag") == "N", "构").otherwise("")
-    return t.lineitem.select(
+    return spread(t.lineitem, "l_orderkey").select(
         F.col("l_orderkey").alias("doc_id"),
         F.when(F.col("l_tax") > 0.06, 1).otherwise(0).alias("table_no"),
         at["r"].alias("r"),
@@ -106,7 +107,7 @@ def cells_pivot(t: Tables) -> DataFrame:
 def images(t: Tables) -> DataFrame:
     """Positions 0 to 12; contents are longer than one base64 line."""
     body = F.concat(F.lit("image "), F.repeat(F.concat("l_partkey", F.lit("-")), 20))
-    return t.lineitem.select(
+    return spread(t.lineitem, "l_orderkey").select(
         F.col("l_orderkey").alias("doc_id"),
         (F.col("l_linenumber") - 1 + F.when(F.col("l_linestatus") == "F", 6).otherwise(0)).alias("pos"),
         F.encode(body, "UTF-8").alias("content"),

@@ -10,6 +10,7 @@ from tidewatch.functions.text import flat_base64
 from tidewatch.functions.times import age_text, epoch_millis, epoch_text
 from tidewatch.operators.rpclog import read_answers, recent_requests
 from tidewatch.plans.registry import Tables, query
+from tidewatch.session import spread
 
 
 def request_log(t: Tables) -> DataFrame:
@@ -29,7 +30,7 @@ def request_log(t: Tables) -> DataFrame:
         .when(kind == "signup", "")
         .otherwise(F.substring(good, F.lit(1), F.length(good) - 1))
     )
-    return t.events.select("event_id", request.alias("request"), response.alias("response"))
+    return spread(t.events, "event_id").select("event_id", request.alias("request"), response.alias("response"))
 
 
 @query(
@@ -79,7 +80,7 @@ def recent(t: Tables) -> DataFrame:
 def severity_age(t: Tables) -> DataFrame:
     prio = F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(8)) - 1
     login = F.concat(F.lit("user"), "user_id", F.lit(":"), F.repeat("props", 5))
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         "event_id",
         severity(prio).alias("severity"),
         epoch_text(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("shown"),
