@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 def make_session():
-    from tidewatch.session import build_session
+    from tidewatch.session import build_session, ensure_shared_folder
 
     spark = build_session(
         "tidewatch-tests",
@@ -23,8 +22,7 @@ def make_session():
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    ensure_shared_folder(spark)
     return spark
 
 

@@ -142,3 +142,36 @@ def test_pages_cover_once(spark, block):
     got = rows(with_pages(jobs, "n", block=block), "tbl", "dstart")
     want = [(t, s) for t, n in (("b", 1), ("c", 1000), ("d", 1001), ("e", 5500)) for s in range(0, n, 1000)]
     assert sorted(got) == want
+
+
+def by_hand(matches, sheet, tbl, policy):
+    """Changes of one table by numbering the sorted ids of each sheet row."""
+    out = []
+    for row_idx, name, op, ud1, ud2 in sheet:
+        ids = sorted(i for i, n in matches if n == name)
+        c1, c2 = (int(u.replace(tzinfo=dt.timezone.utc).timestamp()) if u else None for u in (ud1, ud2))
+        if policy == "update_all" and op == "删":
+            out += [(row_idx, tbl, "delete", i, None, None) for i in ids]
+        elif ud1 and ud2 and tbl == "alerts":
+            first = ids if policy == "update_all" else ids[:1]
+            out += [(row_idx, tbl, "update", i, c1, 1) for i in first]
+            out += [(row_idx, tbl, "delete", i, None, None) for i in ids[len(first):]]
+        elif ud1 and ud2 and len(ids) >= 2:
+            out += [(row_idx, tbl, "update", i, c, k) for i, c, k in zip(ids, (c1, c2), (1, 2))]
+            if policy == "keep_first":
+                out += [(row_idx, tbl, "delete", i, None, None) for i in ids[2:]]
+    return out
+
+
+@pytest.mark.parametrize("policy", ["update_all", "keep_first"])
+def test_a_hot_host_with_repeats_equals_numbering_by_hand(spark, policy):
+    rnd = random.Random(4)
+    names = ["hot"] * 8 + [f"h{i}" for i in range(12)]
+    events = [(rnd.randrange(900), rnd.choice(names)) for _ in range(1500)]
+    alerts = [(rnd.randrange(900), rnd.choice(names)) for _ in range(1500)] + [(7, "h1")] * 3
+    sheet = [(2, "hot", "改", T1, T2), (3, "h0", "删", T1, T2), (4, "h1", None, T1, T2), (5, "hot", None, T2, T1), (6, "h2", "改", T1, None)]
+    make = lambda data, c: spark.createDataFrame(data, f"{c} bigint, name string").repartition(6)
+    out = rp.repair_changes(make(alerts, "alertid"), make(events, "eventid"), spark.createDataFrame(sheet, SCHEMAS["repair_sheet"]), policy)
+    order = lambda t: tuple((x is not None, str(x)) for x in t)
+    want = by_hand(alerts, sheet, "alerts", policy) + by_hand(events, sheet, "events", policy)
+    assert rows(out, "row_idx", "tbl", "action", "id", "new_clock", "seq") == sorted(want, key=order)

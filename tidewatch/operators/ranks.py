@@ -1,6 +1,6 @@
 """Exact values at given positions of sorted groups, whatever the size of a group.
 
-Groups up to `hot_rows` rows are sorted by a window. For larger ones, equal values are counted first; a
+Groups up to `hot_rows` rows are sorted as arrays. For larger ones, equal values are counted first; a
 histogram over logarithmic buckets finds the bucket that holds a position, a second one over equal
 steps narrows it, and only the values left are sorted. A group of any size thus sends a bounded number
 of rows to one task: the buckets of a histogram, or about 2^24 distinct values (a log bucket spans about
@@ -19,30 +19,33 @@ from tidewatch.operators.joins import BROADCAST_KEYS, null_safe_join
 PER_OCTAVE = 4096
 STEPS = 65536
 _SHIFT = 1 << 25
-HOT_ROWS = 1 << 20
+HOT_ROWS = 1 << 17
 
 Positions = Mapping[str, Callable[[Column], Column]]
 
 
 def _log_bucket(v: Column) -> Column:
-    """A bucket number that never falls as the value grows. NaN sorts last."""
+    """A bucket number that never falls as the value grows. NaN sorts last.
+
+    Never null, so that joins on it add no filter and plans can share the counted values.
+    """
     up = (F.floor(F.log2(v) * PER_OCTAVE) + _SHIFT).cast("bigint")
     down = -(F.floor(F.log2(-v) * PER_OCTAVE) + _SHIFT).cast("bigint")
-    return (
+    bucket = (
         F.when(F.isnan(v), F.lit(1 << 40))
         .when(v > 1.7e308, F.lit(1 << 39))
         .when(v < -1.7e308, F.lit(-(1 << 39)))
         .when(v > 0, up)
         .when(v < 0, down)
-        .otherwise(F.lit(0))
-        .cast("bigint")
     )
+    return F.coalesce(bucket.cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _step(v: Column, lo: Column, hi: Column) -> Column:
     width = hi - lo
     narrow = (width > 0) & (width < 1.7e308)
-    return F.when(narrow, F.floor((v - lo) / width * (STEPS - 1))).otherwise(0).cast("bigint")
+    step = F.when(narrow, F.floor((v - lo) / width * (STEPS - 1))).cast("bigint")
+    return F.coalesce(step, F.lit(0).cast("bigint"))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -108,15 +111,9 @@ def values_in_counts(counts: DataFrame, positions: Positions) -> DataFrame:
 
 
 def _values_in_rows(rows: DataFrame, keys: Sequence[str], value: str, positions: Positions) -> DataFrame:
-    whole = Window.partitionBy(*keys)
-    numbered = rows.select(
-        *keys,
-        F.col(value).cast("double").alias("_v"),
-        (F.row_number().over(whole.orderBy(value)) - 1).alias("_at"),
-        F.count(F.lit(1)).over(whole).alias("_n"),
-    )
-    at = {name: F.max(F.when(F.col("_at") == pos(F.col("_n")), F.col("_v"))) for name, pos in positions.items()}
-    return numbered.groupBy(*keys).agg(*[c.alias(name) for name, c in at.items()])
+    values = F.sort_array(F.collect_list(F.col(value).cast("double"))).alias("_vs")
+    picked = [F.get("_vs", at(F.size("_vs")).cast("int")).alias(name) for name, at in positions.items()]
+    return rows.groupBy(*keys).agg(values).select(*keys, *picked)
 
 
 def values_at(

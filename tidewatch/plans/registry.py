@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.session import ensure_shared_folder
+
 Query = Callable[["Tables"], DataFrame]
 MODULES = ("ingest", "backfill", "events", "network", "machines", "hosts", "papers", "models", "requests", "streams")
 
@@ -46,6 +48,7 @@ def _load() -> None:
 def _runner(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_shared_folder(spark)
         return fn(Tables(spark, folder))
 
     return run

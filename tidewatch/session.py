@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def ensure_shared_folder(spark: SparkSession) -> None:
+    """On a single machine, name a folder of its own where the session names none. A cluster has to name one."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+
+
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/tidewatch-{purpose}-{uuid.uuid4().hex}"
