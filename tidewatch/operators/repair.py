@@ -100,7 +100,7 @@ def _rows_of(tbl: str, policy: str) -> Column:
     m, first = F.col("m"), F.col("id") == F.col("id1")
     second = F.when(F.col("m1") >= 2, first).otherwise(F.col("id") == F.coalesce(F.col("id2"), F.lit(-1)))
     delete = _change(tbl, "delete", F.lit(None), F.lit(None))
-    none = F.array().cast(f"array<struct<tbl:string,action:string,new_clock:bigint,seq:int>>")
+    none = F.array().cast("array<struct<tbl:string,action:string,new_clock:bigint,seq:int>>")
     ud1, ud2 = epoch_seconds(F.col("ud1")), epoch_seconds(F.col("ud2"))
 
     def one(test: Column, clock: Column, seq: int) -> Column:

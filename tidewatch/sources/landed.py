@@ -102,22 +102,29 @@ def read_json_lines(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(folder)
 
 
+def _bytes(spark: SparkSession, setting: str) -> int:
+    text = spark.conf.get(setting).lower().removesuffix("b")
+    scale = {"k": 10, "m": 20, "g": 30}.get(text[-1:], 0)
+    return int(text.rstrip("kmg")) << scale
+
+
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of text files as `file, line_no, line`, also for files cut into many splits.
 
-    `line_no` grows along each file but has gaps: it is the start of the split plus the line's place
-    in it. A split never has more lines than bytes, so numbers of later splits are always larger.
+    `line_no` grows along each file but has gaps. It is the byte at which the line's split starts, scaled
+    so that two splits are further apart than the largest row number a task can count to, plus the
+    row's number in its task. Nothing is shuffled for it.
     """
-    lines = spark.read.text(folder).select(
+    smallest = min(_bytes(spark, "spark.sql.files.maxPartitionBytes"), _bytes(spark, "spark.sql.files.openCostInBytes"))
+    row_bits = 33  # low bits of monotonically_increasing_id, which hold the row number
+    shift = max(0, row_bits - smallest.bit_length() + 1)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**row_bits - 1))
+    start = F.col("_metadata.file_block_start")
+    return spark.read.text(folder).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
+        (start * F.lit(2**shift).cast("bigint") + row).alias("line_no"),
         F.col("value").alias("line"),
     )
-    first = lines.groupBy("file", "_start").agg(F.min("_id").alias("_first"))
-    return lines.join(first, ["file", "_start"]).select(
-        "file", (F.col("_start") + F.col("_id") - F.col("_first")).alias("line_no"), "line"
-    )
 
 
 def read_table(
