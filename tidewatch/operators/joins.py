@@ -19,6 +19,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(right, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def is_short(df: DataFrame) -> bool:
+    """Whether `df`, which should be cheap to count, has at most `BROADCAST_KEYS` rows."""
+    return df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+
+
+def broadcast_if_short(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if is_short(df) else df
+
+
 def small_or_hashed(df: DataFrame) -> DataFrame:
     """`df`, cheap to count, hinted as build side of a join: broadcast if it is short, else hashed per partition."""
-    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df.hint("shuffle_hash")
+    return F.broadcast(df) if is_short(df) else df.hint("shuffle_hash")

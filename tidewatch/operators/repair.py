@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.times import epoch_seconds
+from tidewatch.operators.joins import broadcast_if_short, is_short
 
 # The item key looked at, the delete mark of the sheet, retention step in seconds.
 PING_KEY = "icmpping"
@@ -46,7 +47,7 @@ def host_alerts(tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PI
 
 def for_sheet(matches: DataFrame, sheet: DataFrame) -> DataFrame:
     """Matches of each sheet row by host name. A host listed twice gives two groups (`row_idx`)."""
-    return matches.join(sheet, "name")
+    return matches.join(broadcast_if_short(sheet), "name")
 
 
 def _change(tbl: str, action: str, clock: Column, seq: Column) -> Column:
@@ -64,22 +65,20 @@ def _emit(rows: DataFrame, changes: Column) -> DataFrame:
     )
 
 
-def _counted(matches: DataFrame, id_col: str) -> DataFrame:
-    """Matches with equal ids folded into a multiplicity `m`."""
-    return matches.groupBy("row_idx", "name", "op", "ud1", "ud2", F.col(id_col).alias("id")).agg(
-        F.count(F.lit(1)).alias("m")
-    )
+def _counted(matches: DataFrame, sheet: DataFrame, id_col: str) -> DataFrame:
+    """Ids matched per sheet row, with equal ids folded into a multiplicity `m`."""
+    rows = for_sheet(matches.select(F.col(id_col).alias("id"), "name"), sheet.select("row_idx", "name"))
+    return rows.groupBy("row_idx", "id").agg(F.count(F.lit(1)).alias("m"))
 
 
-def _with_first_two(rows: DataFrame) -> DataFrame:
-    """Adds `id1`, `m1` and `id2`: the two lowest ids of the sheet row.
+def _with_sheet(rows: DataFrame, sheet: DataFrame) -> DataFrame:
+    """Adds the sheet row, and `id1`, `m1` and `id2`: its two lowest ids.
 
     Finding two rows per group prunes before its shuffle, and the join back spreads a host with very
     many events, which numbering all its rows in one window would not.
     """
     lowest = (
-        rows.select("row_idx", "id", "m")
-        .withColumn("_n", F.row_number().over(Window.partitionBy("row_idx").orderBy("id")))
+        rows.withColumn("_n", F.row_number().over(Window.partitionBy("row_idx").orderBy("id")))
         .filter(F.col("_n") <= 2)
         .groupBy("row_idx")
         .agg(
@@ -88,7 +87,8 @@ def _with_first_two(rows: DataFrame) -> DataFrame:
             F.max(F.when(F.col("_n") == 2, F.col("id"))).alias("id2"),
         )
     )
-    return rows.join(lowest, "row_idx")
+    pairs = lowest.join(sheet, "row_idx")
+    return rows.join(F.broadcast(pairs) if is_short(sheet) else pairs, "row_idx")
 
 
 def _rows_of(tbl: str, policy: str) -> Column:
@@ -142,14 +142,14 @@ def repair_changes(
     sheet = sheet.select("row_idx", "name", "op", "ud1", "ud2")
     parts = []
     for tbl, matches, id_col in (("alerts", alerts, "alertid"), ("events", events, "eventid")):
-        rows = _counted(for_sheet(matches, sheet), id_col)
-        parts.append(_emit(_with_first_two(rows), _rows_of(tbl, policy)))
+        rows = _counted(matches, sheet, id_col)
+        parts.append(_emit(_with_sheet(rows, sheet), _rows_of(tbl, policy)))
     return parts[0].unionByName(parts[1])
 
 
 def purge_changes(matches: DataFrame, keep: DataFrame, tbl: str, id_col: str) -> DataFrame:
     """Deletes for matches whose host is not on the list."""
-    gone = matches.join(keep.select("name").distinct(), "name", "left_anti")
+    gone = matches.join(broadcast_if_short(keep.select("name").distinct()), "name", "left_anti")
     return gone.select(
         F.lit(tbl).alias("tbl"),
         F.lit("delete").alias("action"),
