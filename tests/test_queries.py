@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import difference, duck
+from tidewatch.plans.registry import all_queries, all_sql
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -24,6 +25,11 @@ def test_each_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_points_hold_them():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
