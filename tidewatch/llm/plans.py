@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, simhash, token_counts
-from tidewatch.session import ensure_shared_folder
+from tidewatch.llm import bpe, decontaminate, quality, secret_scan, simhash, token_counts, warc
+from tidewatch.llm.common import saved
+from tidewatch.session import ensure_shared_folder, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +55,45 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(docs, path, public_tokenizers.PATTERN, ids=False)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@_query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(_table(spark, folder, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select(F.col("id").alias("doc_id"), *counts, "base_failed", "kept", "distance")
+
+
+@_query
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    spans, base = F.col("spans"), tuple(r.kind for r in secret_scan.BASE)
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_of(spans, kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.spans_text(spans, base), 256).alias("base_sha256"),
+        secret_scan.spans_text(spans).alias("spans"),
+    )
+
+
+@_query
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", F.round("lcs", 6).alias("lcs"), F.round("cosine", 4).alias("cosine"))
+
+
+SQL["op4_warc"] = """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+         f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) ELSE page_id END AS first FROM p)
+    SELECT page_id, n AS payload_bytes, d AS payload_digest,
+           CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+"""
+
+
+@_query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = work_path(spark, "warc")
+    index = warc.write_archives(_table(spark, folder, "pages"), archives)
+    records = saved(warc.with_digests(warc.read_records(index, archives)))
+    return warc.payloads(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
