@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, quality, secret_scan, simhash, token_counts, warc
+from tidewatch.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, suffixes, token_counts, toxicity, warc
 from tidewatch.llm.common import saved
 from tidewatch.session import ensure_shared_folder, work_path
 
@@ -97,3 +97,78 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     index = warc.write_archives(_table(spark, folder, "pages"), archives)
     records = saved(warc.with_digests(warc.read_records(index, archives)))
     return warc.payloads(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op5_suffix_dedup"] = """
+    WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+         g AS (SELECT doc_id, unnest(generate_series(0, len(ws) - 50)) AS s,
+                      unnest(list_transform(generate_series(1, len(ws) - 49), lambda i: md5(array_to_string(ws[i:i + 49], ' ')))) AS h
+               FROM w WHERE len(ws) >= 50),
+         r AS (SELECT doc_id, s FROM g WHERE h IN (SELECT h FROM g GROUP BY h HAVING min(doc_id) <> max(doc_id))),
+         i AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM r),
+         n AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM i)
+    SELECT doc_id, min(s)::INT AS start_word, (max(s) + 50)::INT AS end_word FROM n GROUP BY doc_id, k
+"""
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.repeated_passages(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"))
+
+
+@_query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    machine = toxicity.trained(docs, _table(spark, folder, "labels"))
+    scored = toxicity.with_scores(docs, machine)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def _template_rows() -> str:
+    return ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licenses.TEMPLATES))
+
+
+_PATH = """concat_ws('/', source, CASE WHEN doc_id % 100 <> 0 THEN lang END, CASE WHEN doc_id % 100 <> 0 THEN (doc_id // 1000)::VARCHAR END,
+                     CASE WHEN doc_id % 10 = 0 THEN 'LICENSE-' || doc_id ELSE 'doc-' || doc_id || '.txt' END)"""
+SQL["op7_licenses"] = f"""
+    WITH t AS (SELECT * FROM (VALUES {_template_rows()}) AS v(template, licence, said)),
+         tw AS (SELECT template, licence, term, count(*) AS tf FROM (
+                  SELECT template, licence, unnest(regexp_extract_all(lower(said), '[\\p{{L}}\\p{{N}}]+(?:\\.[0-9]+)*')) AS term FROM t) GROUP BY ALL),
+         s AS (SELECT doc_id, line, regexp_extract_all(lower(said), '[\\p{{L}}\\p{{N}}]+(?:\\.[0-9]+)*') AS words FROM (
+                  SELECT doc_id, unnest(string_split(text, chr(10))) AS said, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents)
+               WHERE regexp_matches(said, '{licenses.SIGN}')),
+         d AS (SELECT words, count(*) AS n FROM s GROUP BY 1),
+         dw AS (SELECT words, n, term, count(*) AS tf FROM (SELECT words, n, unnest(words) AS term FROM d) GROUP BY ALL),
+         total AS (SELECT count(*) + {len(licenses.TEMPLATES)} AS total FROM s),
+         idf AS (SELECT term, ln((1 + total) / (1 + coalesce(df, 0))) + 1 AS idf
+                 FROM (SELECT DISTINCT term FROM tw) LEFT JOIN (SELECT term, sum(n) AS df FROM dw GROUP BY 1) USING (term), total),
+         own AS (SELECT words, term, tf * coalesce(idf, ln(1 + total) + 1) AS w FROM dw LEFT JOIN idf USING (term), total),
+         len AS (SELECT words, sqrt(sum(w * w)) AS l FROM own GROUP BY 1),
+         tn AS (SELECT template, sqrt(sum(tf * idf * tf * idf)) AS l FROM tw JOIN idf USING (term) GROUP BY 1),
+         dot AS (SELECT own.words, tw.template, tw.licence, sum(own.w * tw.tf * idf.idf) AS v
+                 FROM own JOIN tw USING (term) JOIN idf USING (term) GROUP BY ALL),
+         cos AS (SELECT words, licence, round(v / len.l / tn.l, 6) AS cosine FROM dot JOIN len USING (words) JOIN tn USING (template)),
+         best AS (SELECT words, licence, cosine FROM cos WHERE cosine >= {licenses.LEAST_COSINE}
+                  QUALIFY row_number() OVER (PARTITION BY words ORDER BY cosine DESC, licence) = 1),
+         f AS (SELECT doc_id, {_PATH} AS path, b.licence, b.cosine FROM documents LEFT JOIN (
+                 SELECT doc_id, licence, cosine FROM s JOIN best USING (words)
+                 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line, licence) = 1) b USING (doc_id)),
+         g AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, licence, cosine FROM f WHERE licence IS NOT NULL AND contains(path, '/LICENSE-')
+               QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY cosine DESC, licence) = 1),
+         a AS (SELECT doc_id, g.licence, g.cosine FROM f JOIN g ON f.licence IS NULL AND starts_with(f.path, g.folder || '/')
+               QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(g.folder) DESC) = 1)
+    SELECT doc_id, f.path, coalesce(f.licence, a.licence) AS licence, round(coalesce(f.cosine, a.cosine), 4) AS cosine,
+           CASE WHEN f.licence IS NOT NULL THEN 'stated' WHEN a.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS how
+    FROM f LEFT JOIN a USING (doc_id)
+"""
+
+
+@_query
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: every tenth is a licence file of its directory, every hundredth one of its source."""
+    deep = F.when(F.col("doc_id") % 100 != 0, F.concat_ws("/", "lang", F.expr("CAST(doc_id div 1000 AS STRING)")))
+    name = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")))
+    files = _table(spark, folder, "documents").select("doc_id", "text", F.concat_ws("/", "source", deep, name).alias("path"))
+    found = licenses.licences(files)
+    return found.select(F.col("id").alias("doc_id"), "path", "licence", F.round("cosine", 4).alias("cosine"), "how")
