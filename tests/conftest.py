@@ -9,7 +9,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 def make_session():
-    from tidewatch.session import build_session, ensure_shared_folder
+    from tidewatch.plans.local import ensure_shared_folder
+    from tidewatch.session import build_session
 
     spark = build_session(
         "tidewatch-tests",

@@ -94,6 +94,61 @@ def test_day_answers_prune_to_one_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(eventdate" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_files_are_bound_by_header_names(spark, tmp_path):
+    layouts = {
+        "a.txt": "源地址\t设备编号\t上行流量\t新列\n1.1.1.1\tdev1\t5\tmore\n1.1.1.2\tdev2\t\t\n",
+        "b.txt": "设备编号\t起始时间\ndev3\t2019-01-10\n",
+        "c.txt": "源地址\t设备编号\t上行流量\t新列\r\n1.1.1.3\tdev4\t1,000\tx\r\n",
+        "d.txt": "",
+        "e f.txt": "设备编号\t设备编号\nfirst\tsecond\n",
+    }
+    for name, text in layouts.items():
+        (tmp_path / name).write_bytes(text.encode("gbk"))
+    got = co.rename_headers(landed.read_flow_files(spark, str(tmp_path)))
+    assert got.columns == [*co.FLOW_NAMES.values(), "新列", "_file"]
+    assert rows(got, "dev", "sip", "upcount", "starttime", "新列") == sorted(
+        [("dev1", "1.1.1.1", "5", None, "more"), ("dev2", "1.1.1.2", None, None, None), ("dev3", None, None, "2019-01-10", None),
+         ("dev4", "1.1.1.3", "1,000", None, "x"), ("first", None, None, None, None)], key=lambda t: tuple((x is not None, str(x)) for x in t))
+    (tmp_path / "sheet").mkdir()
+    (tmp_path / "sheet" / "s.csv").write_text("name,extra,row_idx\na,z,2\n,y,x\n")
+    assert rows(landed.read_sheet(spark, str(tmp_path / "sheet"), "keep_names")) == [(None, None), (2, "a")]
+
+
+def test_numbers_that_are_no_counts_are_kept_as_errors(spark):
+    data = [(1.0, 1), (float("nan"), 2), (1e30, 3), (None, 4), (float("inf"), 5)]
+    got = co.coerce_by_suffix(spark.createDataFrame(data, "hit_count double, id int"))
+    assert rows(got, "id", "hit_count", "_errors") == [
+        (1, 1, []), (2, None, ["hit_count"]), (3, None, ["hit_count"]), (4, None, []), (5, None, ["hit_count"]),
+    ]
+
+
+def test_all_keys_of_answers(spark):
+    answers = spark.createDataFrame(
+        [('{"result": [{"a": "1", "X": 2}, {"b": {"c": [1]}, "x": "3"}]}',), ('{"result": [{}]}',), ("broken",), ('{"result": [{"a": null}]}',)], "value string"
+    )
+    maps = landed.envelope_maps(answers, "value")
+    assert landed.row_keys(maps) == ["X", "a", "b"]
+    assert rows(landed.spread_keys(maps, ["X", "a", "b"])) == [(None, None, None), (None, None, None), ("2", "1", None), ("3", None, '{"c":[1]}')]
+    some = landed.spread_keys(maps, ["a"], rest="_rest").collect()
+    assert sorted(sorted(r["_rest"]) for r in some) == [[], [], ["X"], ["b", "x"]]
+
+
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
+    for name, n in (("a.txt", 4000), ("b.txt", 10)):
+        (tmp_path / name).write_text("".join(f"line {i}\n" for i in range(n)))
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set(key, "4096")
+        built = landed.read_lines(spark, str(tmp_path))
+        spark.conf.set(key, "900")
+        other = landed.read_lines(spark, str(tmp_path))
+        results = [rows(df.withColumn("file", F.substring_index("file", "/", -1)), "file", "line_no", "line") for df in (built, other)]
+    finally:
+        spark.conf.set(key, old)
+    assert results[0] == results[1]
+    assert sorted(results[0]) == sorted([(f, i, f"line {i}") for f, n in (("a.txt", 4000), ("b.txt", 10)) for i in range(n)])
+
+
 def test_line_numbers_grow_across_splits(spark, tmp_path):
     for name, n in (("a.txt", 4000), ("b.txt", 10)):
         (tmp_path / name).write_text("".join(f"line {i}\n" for i in range(n)))
@@ -130,10 +185,15 @@ def test_index_append_and_day_repair(spark, tmp_path):
 
     sinks.write_index(day(dt.date(2019, 1, 31), 1, 2), path)
     sinks.write_index(day(dt.date(2019, 2, 1), 3), path)
-    sinks.write_index(day(dt.date(2019, 1, 31), 1, 2, 9), path, mode="overwrite")
-    out = spark.read.parquet(path)
-    assert rows(out, "v") == [(1,), (2,), (3,), (9,)]
-    assert {(r["tbl"], str(r["month"])) for r in out.select("tbl", "month").distinct().collect()} == {("log", "2019.01"), ("log", "2019.02")}
+    sinks.write_index(day(dt.date(2019, 10, 31), 7), path, batch="b")
+    sinks.write_index(day(dt.date(2019, 10, 31), 8), path, batch="b")
+    assert rows(sinks.read_index(spark, path), "v") == [(1,), (2,), (3,), (8,)]
+    sinks.write_index(day(dt.date(2019, 1, 31), 1, 2, 9), path, replace_days=True)
+    out = sinks.read_index(spark, path, "log")
+    assert rows(out, "v") == [(1,), (2,), (3,), (8,), (9,)] and sinks.read_index(spark, path, "other").count() == 0
+    assert rows(out.select("tbl", "month", "day").distinct()) == [
+        ("log", "2019.01", "2019-01-31"), ("log", "2019.02", "2019-02-01"), ("log", "2019.10", "2019-10-31"),
+    ]
 
 
 def test_external_sink_gets_slices(spark, tmp_path):

@@ -1,9 +1,15 @@
 from __future__ import annotations
 
 import base64
+import random
+import re
+import time
+
+from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from tidewatch.operators import documents as doc
+from tidewatch.session import checkpointed
 from tidewatch.sources.landed import SCHEMAS
 
 LETTER = [
@@ -37,6 +43,45 @@ def test_a_long_text_is_searched_whole(spark):
     assert rows(doc.appraisal_rejects(docs), "doc_id") == [(2,)]
 
 
+PATTERN = re.compile(
+    r"[\S|\s|\n]+\n(\w+)（先生/女士）:[\S|\s|\n|.]+对位于(\w+)的(\w+)价值作初步估价[\S|\s|\n|.]+建筑面积(\d+\.\d+)平方米"
+    r"[\S|\s|\n|.]+在价值时点(\d+年\d+月\d+日)的抵押评估价值为[\S|\s|\n|.]+单价：([\d|,]+)元"
+)
+
+
+def test_same_groups_as_the_pattern_on_random_letters(spark):
+    draw = random.Random(1)
+    whole = ["\n张三（先生/女士）:", "对位于南江路的住宅价值作初步估价", "建筑面积88.50平方米", "在价值时点2019年3月7日的抵押评估价值为", "单价：1,2元"]
+    parts = [*whole, "\n", "李（先生/女士）:", "对位于", "南江路", "的", "价值作初步估价", "。", "x", "建筑面积", "在价值时点", "单价：", "7元", " "]
+    texts = []
+    for n in range(1500):
+        picked = [draw.choice(parts) for _ in range(draw.randint(0, 4))]
+        for part in whole:
+            picked += [part] * (draw.random() < 0.95) + [draw.choice(parts) for _ in range(draw.randint(0, 3))]
+        texts.append((n, "".join(picked)))
+    docs = spark.createDataFrame([*texts, (-1, None), (-2, "")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["p"] for r in docs.select("doc_id", doc._letter_parts(F.col("text")).alias("p")).collect()}
+    want = {n: list(m.groups()) if (m := PATTERN.match(t)) else None for n, t in texts} | {-1: None, -2: None}
+    assert got == want and sum(w is not None for w in want.values()) > 300
+
+
+def test_near_matches_of_a_megabyte_take_no_second_more(spark):
+    head, almost = "填充\n张三（先生/女士）:x。", "对位于A的B价值作初步估价建筑面积1.5平方米在价值时点2019年3月7日的抵押评估价值为单价："
+    for text in (head + almost * 20_000, head + "对位于的" * 250_000 + "。建筑面积1.5平方米"):
+        docs = checkpointed(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+        assert doc.appraisal_rejects(docs).count() == 1
+        began = time.perf_counter()
+        assert doc.appraisal_rejects(docs).count() == 1
+        assert time.perf_counter() - began < 3
+
+
+def test_digits_of_any_script(spark):
+    text = "\n".join(p for p in LETTER if p.strip())
+    docs = [(1, text.replace("88.50", "１２.５")), (2, text.replace("2019年3月7日", "２０１９年３月７日")), (3, text.replace("88.50", "9" * 400 + ".5"))]
+    got = doc.appraisal_fields(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert rows(got, "doc_id", "x_jzmj", "x_cp_date")[:2] == [(1, 12.5, "2019-03-07"), (2, 88.5, "2019-03-07")]
+
+
 def test_cells(spark):
     data = [(1, 0, 1, 2, "混合结构5层"), (1, 0, 8, 2, "说明"), (1, 0, 9, 9, "无"), (1, 1, 2, 2, "other table"), (2, 0, 1, 2, "砖木"), (3, 0, 1, 2, "框架结构")]
     out = doc.table_fields(spark.createDataFrame(data, SCHEMAS["doc_cells"]))

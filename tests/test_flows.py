@@ -2,13 +2,17 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
+from tests.test_documents import paras
 from tests.test_firewall import SMALL
 from tests.test_repair import T1, T2, tables
 from tidewatch import flows
 from tidewatch.operators import coerce as co
+from tidewatch.operators import vmstats
+from tidewatch.sources import sinks
 from tidewatch.sources.landed import SCHEMAS
 
 
@@ -71,3 +75,39 @@ def test_vm_report(spark):
     assert rows(out.ignored_header) == [(0, 2)] and out.ignored.count() == 0
     five = report(timeframe="5min", aggregation="MAX")
     assert rows(five.top.filter("item = 'cpu' and pos = 0"), "max", "n_samples") == [(0.25, 6)]
+    day, year = report(timeframe="day", aggregation="AVERAGE"), report(timeframe="year", aggregation="MAX")
+    assert rows(day.top.filter("item = 'cpu' and pos = 0"), "n_samples") != rows(out.top.filter("item = 'cpu' and pos = 0"), "n_samples")
+    assert rows(year.top.filter("item = 'cpu' and pos = 0"), "single_row") == [(True,)]
+    with pytest.raises(ValueError, match="timeframe"):
+        report(timeframe="decade")
+    with pytest.raises(ValueError, match="function"):
+        vmstats.consolidate(make("rrd", rrd), ["vm_id"], "time", ["cpu"], cf="MIN")
+    rrd = [r for r in rrd if r[0] == 1] + [(1, now - 1200, 0.5, 0x3FFFFFFFFF + 1.0, 1.0, 1.0, 1.0)]
+    less = report()
+    assert rows(less.warnings, "vm_id", "status") == [(2, "no samples"), (4, "prelaunch")]
+    assert rows(less.ignored_header) == [(1, 2)] and rows(less.ignored_values, "name", "item") == [("web-1", "diskread")]
+
+
+def test_load_skips_loaded_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    answers = spark.createDataFrame([('{"result": [{"site": "a", "hitcount": "1,0", "day": "2019-01-01"}, {"port": "7", "day": "2019-01-02"}]}',)], "value string")
+    assert flows.load_answers(answers, path, "log", "day").count() == 2
+    more = answers.unionByName(spark.createDataFrame([('{"result": [{"new": "x", "day": "2019-01-03"}]}',)], "value string"))
+    assert flows.load_answers(more, path, "log", "day").count() == 1
+    assert flows.load_answers(answers, path, "other", "day").count() == 2
+    table = sinks.read_index(spark, path, "log")
+    assert rows(table, "site", "hitcount", "port", "new", "day") == [
+        (None, None, None, "x", "2019-01-03"), (None, None, 7, None, "2019-01-02"), ("a", 10, None, None, "2019-01-01"),
+    ]
+
+
+def test_host_sheet_and_documents(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("row_idx,status,cpu,mem,host,name,grp,nc_id,ip,pip\n2,running,1,2,h1,n,g,x,1.1.1.1,\n3,stopped,1,2,h2,n,g,x,,\n")
+    hosts = spark.createDataFrame([("9", "h1", "n(1.1.1.1)(None)", None)], SCHEMAS["actual_hosts"])
+    got = flows.reconcile_hosts(spark, str(tmp_path / "s.csv"), hosts, spark.createDataFrame([], SCHEMAS["actual_groups"]))
+    assert rows(got, "action", "host", "value") == [("add_template", "h1", "10186"), ("create_group", None, "g")]
+    path = str(tmp_path / "records")
+    empty = spark.createDataFrame([], SCHEMAS["doc_cells"]), spark.createDataFrame([], SCHEMAS["doc_images"])
+    for _ in range(2):
+        assert rows(flows.load_documents(paras(spark), *empty, path)) == [(2,), (3,)]
+    assert rows(spark.read.parquet(path), "doc_id") == [(1,), (1,)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from tidewatch.functions.net import long_to_ip
-from tidewatch.operators.geo import BROADCAST_PIECES, finest_bits, geo_enrich
+from tidewatch.operators.geo import BROADCAST_BYTES, PIECE_BYTES, disjoint_ranges, finest_bits, geo_enrich
 from tidewatch.sources.landed import SCHEMAS
 
 
@@ -23,7 +23,7 @@ def make_ranges(rnd):
     return out
 
 
-@pytest.mark.parametrize("limit", [BROADCAST_PIECES, 300, 0])
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 60_000, 0])
 def test_both_ways_equal_brute_force(spark, limit):
     rnd = random.Random(11)
     ranges = make_ranges(rnd)
@@ -48,6 +48,27 @@ def test_both_ways_equal_brute_force(spark, limit):
 
 def test_finest_bits(spark):
     geo = spark.createDataFrame([(0, 2**24 - 1, 1.0, 1.0, *[None] * 7)], SCHEMAS["geo_ranges"])
-    assert finest_bits(geo, 2**16) == 8 and finest_bits(geo, 300) == 16 and finest_bits(geo, 1) == 24
-    assert finest_bits(geo, 0) is None
+    whole = disjoint_ranges(geo)
+    size = PIECE_BYTES + len('{"location":{"lon":1.0,"lat":1.0}}')
+    assert finest_bits(whole, 2**16 * size) == 8 and finest_bits(whole, 300 * size) == 16 and finest_bits(whole, size) == 24
+    assert finest_bits(whole, 0) is None
+    crowd = spark.createDataFrame([(i * 2, i * 2, 1.0, 1.0, *[None] * 7) for i in range(2000)], SCHEMAS["geo_ranges"])
+    assert finest_bits(disjoint_ranges(crowd), 2000 * size) == 8 and finest_bits(disjoint_ranges(crowd.where("start_ip % 512 = 0")), 10**9) == 8
     assert rows(geo_enrich(spark.createDataFrame([("0.1.2.3",)], "ip string"), ["ip"], geo.limit(0)), "ip_country_name") == [(None,)]
+
+
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
+def test_overlapping_ranges_have_one_rule(spark, limit):
+    rnd = random.Random(3)
+    ranges = [(100, 1000), (200, 300), (200, 400), (200, 300), (50, 70000), (65536, 140000), (900, 100), (500, 500)]
+    ranges += [(lo, lo + rnd.choice([0, 5, 90, 3000])) for lo in (rnd.randrange(200_000) for _ in range(150))]
+    table = [(lo, hi, 1.0, 2.0, f"n{i:03d}", *[None] * 6) for i, (lo, hi) in enumerate(ranges)]
+    numbers = sorted({n for lo, hi in ranges for n in (lo - 1, lo, hi, hi + 1) if n > 0} | {rnd.randrange(1, 250_000) for _ in range(500)})
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint").select("n", long_to_ip(F.col("n")).alias("sip"))
+    got = geo_enrich(df, ["sip"], spark.createDataFrame(table, SCHEMAS["geo_ranges"]), limit)
+
+    def place(n):
+        held = [(lo, -hi, -i) for i, (lo, hi) in enumerate(ranges) if lo <= n <= hi]
+        return f"n{-max(held)[2]:03d}" if held else None
+
+    assert [(r["n"], r["sip_country_name"]) for r in got.orderBy("n").collect()] == [(n, place(n)) for n in numbers]

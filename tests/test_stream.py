@@ -5,8 +5,9 @@ import json
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from tidewatch.sources.landed import envelope_rows
-from tidewatch.streaming.ingest import ingest, prepare
+from tidewatch.sources.landed import SCHEMAS, envelope_rows
+from tidewatch.sources.sinks import read_index
+from tidewatch.streaming.ingest import ingest, prepare, prepare_answers
 
 
 def land(folder, name, *answers):
@@ -32,11 +33,36 @@ def test_incremental_runs_add_only_new_files(spark, tmp_path):
     land(landed, "2.json", {"result": [dict(row, site="b", hit_count="bad")]})
     seen = []
     run(spark, landed, out, state, external=lambda df, n: seen.append(df.count()))
-    table = spark.read.parquet(str(out))
+    table = read_index(spark, str(out))
     assert rows(table, "site", "hit_count") == [("a", 1000), ("a", 1000), ("b", None)] and seen == [1]
     assert rows(table.filter("site = 'b'").select("_errors", F.col("month").cast("string"))) == [(["hit_count"], "2019.02")]
 
 
+def test_two_checkpoints_share_a_table(spark, tmp_path):
+    out = tmp_path / "out"
+    for n in (1, 2):
+        landed = tmp_path / f"in{n}"
+        landed.mkdir()
+        land(landed, "1.json", {"result": [{"site": f"s{n}", "hit_count": "1", "seen_time": "20190201", "day": "2019-02-01"}]})
+        run(spark, landed, out, tmp_path / f"state{n}")
+    assert rows(read_index(spark, str(out)), "site", "day") == [("s1", "2019-02-01"), ("s2", "2019-02-01")]
+
+
+def test_answers_with_keys_of_their_own_and_places(spark, tmp_path):
+    landed, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
+    landed.mkdir()
+    geo = spark.createDataFrame([(16909056, 16909063, 1.0, 2.0, "land", *[None] * 6)], SCHEMAS["geo_ranges"])
+    answers = ({"result": [{"sip": "1.2.3.4", "hitcount": "1,000", "day": "2019-02-01"}]}, {"result": [{"other": "x", "day": "2019-02-02", "sip": "9.9.9.9"}]})
+    for n, answer in enumerate(answers):
+        land(landed, f"{n}.json", answer)
+        source = spark.readStream.text(str(landed))
+        ingest(source, lambda batch: prepare_answers(batch, "log", "day", ranges=geo), str(out), str(state)).awaitTermination()
+    table = read_index(spark, str(out))
+    assert rows(table, "sip", "hitcount", "other", "day", "sip_country_name") == [
+        ("1.2.3.4", 1000, None, "2019-02-01", "land"), ("9.9.9.9", None, "x", "2019-02-02", None),
+    ]
+
+
 def test_a_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
     landed, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
     landed.mkdir()

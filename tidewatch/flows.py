@@ -12,13 +12,17 @@ from tidewatch.functions.text import fill_template
 from tidewatch.functions.times import day_label
 from tidewatch.operators import vmstats as vm
 from tidewatch.operators.coerce import coerce_by_suffix, index_name, ip_columns, rename_headers
+from tidewatch.operators.documents import appraisal_rejects, document_records, document_text
 from tidewatch.operators.firewall import policy_table
 from tidewatch.operators.geo import geo_enrich
+from tidewatch.operators.inventory import inventory_actions, running_rows
 from tidewatch.operators.repair import host_alerts, host_events, purge_changes, repair_changes
 from tidewatch.operators.sheets import prefix_until_blank
 from tidewatch.operators.spines import PAGE, loaded_days, missing_days, with_days, with_pages
-from tidewatch.sources.landed import read_flow_files, read_lines
-from tidewatch.sources.sinks import write_policy_sheet
+from tidewatch.session import checkpointed
+from tidewatch.sources.landed import read_flow_files, read_lines, read_sheet
+from tidewatch.sources.sinks import append_records, has_index, read_index, write_index, write_policy_sheet
+from tidewatch.streaming.ingest import prepare_answers
 
 
 def days_to_fetch(jobs: DataFrame, target: DataFrame, first: Column, as_of: Column) -> DataFrame:
@@ -44,6 +48,41 @@ def load_flows(spark: SparkSession, folder: str, ranges: DataFrame) -> DataFrame
     return geo_enrich(typed, ip_columns(typed), ranges)
 
 
+def load_answers(
+    answers: DataFrame,
+    path: str,
+    table: str,
+    day: str,
+    field: str = "result",
+    exclude: Sequence[str] = (),
+    ranges: DataFrame | None = None,
+    offset_hours: int = 8,
+) -> DataFrame:
+    """The whole load of landed answers (`value`, one answer a row) into the index table at `path`; gives the rows written.
+
+    Every key that any row has becomes a column and is typed by its name; `day` is the key of the local day. With
+    `ranges`, addresses get their places. Days that the table already holds of `table` are skipped.
+    """
+    rows = checkpointed(prepare_answers(answers, table, day, field, exclude, ranges, offset_hours))
+    if has_index(answers.sparkSession, path):
+        have = read_index(answers.sparkSession, path, table).select("day").distinct()
+        rows = rows.join(have, "day", "left_anti").select(*rows.columns)
+    write_index(rows, path)
+    return rows
+
+
+def reconcile_hosts(spark: SparkSession, sheet: str, hosts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Actions that a landed host sheet asks for: its running rows against the hosts and groups that exist."""
+    desired = running_rows(read_sheet(spark, sheet, "desired_hosts"))
+    return inventory_actions(desired, hosts, groups)
+
+
+def load_documents(paras: DataFrame, cells: DataFrame, images: DataFrame, path: str) -> DataFrame:
+    """Records of all documents that match the letter pattern, appended to the table at `path`; gives the ids of the others."""
+    append_records(document_records(paras, cells, images), path)
+    return appraisal_rejects(document_text(paras)).select("doc_id")
+
+
 def flatten_policies(spark: SparkSession, folder: str, path: str) -> None:
     """Policy files of a folder to one sheet."""
     write_policy_sheet(policy_table(read_lines(spark, folder)), path)
@@ -52,14 +91,16 @@ def flatten_policies(spark: SparkSession, folder: str, path: str) -> None:
 def repair_events(tables: Mapping[str, DataFrame], sheet: DataFrame, lo: int, hi: int, policy: str) -> DataFrame:
     """Changes of a repair sheet that ends at its first blank name."""
     rows = prefix_until_blank(sheet, "name")
-    return repair_changes(host_alerts(tables, lo, hi), host_events(tables, lo, hi), rows, policy)
+    events = checkpointed(host_events(tables, lo, hi))
+    return repair_changes(host_alerts(tables, lo, hi, events=events), events, rows, policy)
 
 
 def purge_events(tables: Mapping[str, DataFrame], names: DataFrame, lo: int, hi: int) -> DataFrame:
     """Deletes for all alerts and events of hosts that are not on the list."""
     keep = prefix_until_blank(names, "name")
-    alerts = purge_changes(host_alerts(tables, lo, hi), keep, "alerts", "alertid")
-    return alerts.unionByName(purge_changes(host_events(tables, lo, hi), keep, "events", "eventid"))
+    events = checkpointed(host_events(tables, lo, hi))
+    alerts = purge_changes(host_alerts(tables, lo, hi, events=events), keep, "alerts", "alertid")
+    return alerts.unionByName(purge_changes(events, keep, "events", "eventid"))
 
 
 @dataclass(frozen=True)
@@ -68,6 +109,7 @@ class VmReport:
 
     top: DataFrame
     ignored: DataFrame
+    ignored_values: DataFrame
     ignored_header: DataFrame
     warnings: DataFrame
     nodes_down: DataFrame
@@ -90,27 +132,36 @@ def vm_report(
 ) -> VmReport:
     """Machines with the highest use per metric, and what is wrong with the others.
 
-    Cheap filters come before anything is joined. `rrd` holds samples of the timeframe's step; of
-    `5min` only the last five minutes count. Tables are those of `sources.landed.SCHEMAS`.
+    Cheap filters come before anything is joined. The timeframe chooses how far back samples count and the step they are
+    brought to; `MAX` takes the largest value of a step, `AVERAGE` and `MEDIAN` the mean. `rrd` may hold samples of that step or of
+    any finer one. It is read once: the series is written to the shared folder. A kept machine without samples is
+    named in the warnings and counts in the header. Tables are those of `sources.landed.SCHEMAS`.
     """
+    if timeframe not in vm.STEPS:
+        raise ValueError(f"unknown timeframe {timeframe!r}; known are {', '.join(vm.STEPS)}")
     chosen = vm.named(vms, names)
     if storage is not None:
         chosen = vm.with_storage(chosen, volumes, storage)
     routed = vm.routed(chosen)
     kept = routed.filter(F.col("route") == "keep").select("vm_id", "name", "node")
-    samples = vm.recent(rrd, F.unix_seconds(as_of.cast("timestamp"))) if timeframe == "5min" else rrd
-    values = vm.long_samples(samples.join(kept, "vm_id"), ["vm_id", "name", "node"])
+    samples = vm.recent(rrd, F.unix_seconds(as_of.cast("timestamp")), vm.SPANS[timeframe]).withColumn("_at", F.timestamp_seconds("time"))
+    series = vm.consolidate(samples.join(kept, "vm_id"), ["vm_id", "name", "node"], "_at", list(vm.ITEMS), vm.STEPS[timeframe], aggregation)
+    values = checkpointed(vm.long_samples(series, ["vm_id", "name", "node"]))
+    silent = kept.join(values.select("vm_id").distinct(), "vm_id", "left_anti")
+    warned = routed.filter(F.col("route").isin("warn", "unknown")).select("vm_id", "name", "node", "status")
+    header = vm.ignored_header(flagged := vm.flagged(values), "name")
+    n_silent = silent.agg(F.count(F.lit(1))).scalar()
     stats = vm.item_stats(values, ["vm_id", "name", "node"])
     by = vm.SUBTYPES[aggregation]
     ranked = vm.top_items(stats, by, ["name", "vm_id"], top)
     line = vm.report_line(F.col("pos"), vm.item_text(F.col(by), F.col("item")), F.col("node"), F.col("name"))
-    flagged = vm.flagged(values)
     uuids = vm.with_uuid(kept.join(config, "vm_id", "left"))
     return VmReport(
         top=ranked.withColumn("line", line),
         ignored=vm.top_ignored(vm.ignored_counts(flagged, "name"), "name", top),
-        ignored_header=vm.ignored_header(flagged, "name"),
-        warnings=routed.filter(F.col("route").isin("warn", "unknown")).select("vm_id", "name", "node", "status"),
+        ignored_values=vm.ignored_values(flagged, ["vm_id", "name"]),
+        ignored_header=header.withColumn("n_vms", F.col("n_vms") + n_silent),
+        warnings=warned.unionByName(silent.select("vm_id", "name", "node", F.lit(vm.NO_SAMPLES).alias("status"))),
         nodes_down=vm.nodes_down(routed),
         repeated_names=vm.repeated_names(kept),
         bad_uuids=vm.bad_uuids(uuids),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +19,18 @@ def comma_int(c: Column) -> Column:
     return F.trim(F.replace(c, F.lit(","), F.lit(""))).try_cast("bigint")
 
 
+@cache
+def _digits() -> tuple[str, str]:
+    """All decimal digits of all scripts, and their ASCII forms."""
+    found = [(chr(c), d) for c in range(128, sys.maxunicode + 1) if (d := unicodedata.decimal(chr(c), None)) is not None]
+    return "".join(c for c, _ in found), "".join(str(d) for _, d in found)
+
+
+def ascii_digits(c: Column) -> Column:
+    """Text with the decimal digits of any script, such as full-width ones, in ASCII."""
+    return F.translate(c, *_digits())
+
+
 def round_tenths(x: Column) -> Column:
     """`x` rounded to one decimal by its exact binary value, ties to even.
 

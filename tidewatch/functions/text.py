@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 UUID = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 
-# The pattern of an appraisal letter and a text it always contains. `(?U)` lets `\w`
-# match Chinese letters.
+# The parts of an appraisal letter. The salutation follows a name at the start of a line; the place and the
+# kind of property stand between three marks; the other parts, from the last on, are a mark and what follows it. `(?U)`
+# lets `\w` match Chinese letters and `\d` the digits of any script.
 SALUTATION = "（先生/女士）:"
-APPRAISAL = (
-    r"(?U)[\S|\s|\n]+\n(\w+)（先生/女士）:[\S|\s|\n|.]+对位于(\w+)的(\w+)价值作初步估价"
-    r"[\S|\s|\n|.]+建筑面积(\d+\.\d+)平方米[\S|\s|\n|.]+在价值时点(\d+年\d+月\d+日)"
-    r"的抵押评估价值为[\S|\s|\n|.]+单价：([\d|,]+)元"
-)
+LETTER_NAME = r"(?U)(\w+)（先生/女士）:"
+LETTER_PLACE = ("对位于", "的", "价值作初步估价")
+LETTER_PARTS = {
+    "_g6": ("单价：", r"(?U)([\d|,]+)元"),
+    "_g5": ("在价值时点", r"(?U)(\d+年\d+月\d+日)的抵押评估价值为"),
+    "_g4": ("建筑面积", r"(?U)(\d+\.\d+)平方米"),
+}
 
 
 def glob_regex(pattern: str) -> str:

@@ -59,7 +59,7 @@ def ip_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 def _typed(field: T.StructField, offset_hours: int) -> Column | None:
     kind, c = column_kind(field.name), F.col(f"`{field.name}`")
     if kind == "count":
-        return comma_int(c) if isinstance(field.dataType, T.StringType) else c.cast("bigint")
+        return comma_int(c) if isinstance(field.dataType, T.StringType) else c.try_cast("bigint")
     if kind == "time" and isinstance(field.dataType, T.StringType):
         return parse_local(c, offset_hours)
     if kind == "time" and isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -73,7 +73,8 @@ def coerce_by_suffix(
     """Type every column by the ending of its name, in one projection.
 
     Endings match inside longer words too (`discount`, `runtime`); list such columns in `exclude`.
-    A row with unreadable values is kept, and `_errors` names the columns; `strict` raises instead.
+    A row with unreadable values is kept, and `_errors` names the columns; `strict` raises instead. Numbers
+    that are not finite or too large for a count are unreadable like text.
     """
     skip, selected, failed = set(exclude), [], []
     for field in df.schema.fields:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.net import ip_to_long
+from tidewatch.session import checkpointed
 
 # Names of the derived columns after the address column's name.
 PLACE_FIELDS = (
@@ -22,39 +23,74 @@ PLACE_FIELDS = (
 NO_ADDRESS = "0.0.0.0"
 WALK_BITS = 16
 BUCKET_BITS = (8, 10, 12, 14, 16, 20, 24)
-BROADCAST_PIECES = 1_000_000  # about 200 MB in memory
+# Bytes of range pieces that may be broadcast, and pieces of one bucket that an address may be compared with.
+BROADCAST_BYTES = 128 << 20
+BUCKET_PIECES = 256
+PIECE_BYTES = 96  # a piece without its texts
 
 
 def _bucket(address: Column, bits: int) -> Column:
     return F.shiftright(address, bits)
 
 
-def range_pieces(ranges: DataFrame, bits: int = WALK_BITS) -> DataFrame:
-    """Ranges cut at bucket borders: bucket, first and last address, and the place as one struct.
-
-    A bucket has `2^bits` addresses. A longitude of exactly 0 gives no location. Ranges must not overlap.
-    """
-    lo, hi = F.col("start_ip"), F.col("end_ip")
-    place = F.struct(
-        F.when(F.col("lon") != 0, F.struct("lon", "lat")).alias("location"), *PLACE_FIELDS
-    ).alias("_place")
-    buckets = F.sequence(_bucket(lo, bits), _bucket(hi, bits))
-    cut = ranges.select("start_ip", "end_ip", place, F.explode(buckets).alias("_bucket"))
+def _cut(ranges: DataFrame, bits: int, *kept: str) -> DataFrame:
+    """Ranges cut at the borders of buckets of `2^bits` addresses: `_bucket`, `_lo`, `_hi` and the kept columns."""
+    buckets = F.sequence(_bucket(F.col("start_ip"), bits), _bucket(F.col("end_ip"), bits))
     first = F.shiftleft("_bucket", bits)
-    return cut.select(
+    return ranges.withColumn("_bucket", F.explode(buckets)).select(
         "_bucket",
         F.greatest("start_ip", first).alias("_lo"),
         F.least("end_ip", first + (2**bits - 1)).alias("_hi"),
-        "_place",
+        *kept,
     )
 
 
+def _place() -> Column:
+    """The place of a range as one struct. A longitude of exactly 0 gives no location."""
+    return F.struct(F.when(F.col("lon") != 0, F.struct("lon", "lat")).alias("location"), *PLACE_FIELDS).alias("_place")
+
+
+def disjoint_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges as `start_ip`, `end_ip`, `_place` of which no two overlap.
+
+    An address in several ranges belongs to the one that starts last, of these to the one that ends first, of equal ranges to
+    the least place. Ranges that end before they start, and null ends, are dropped. Only buckets of 65,536 addresses in
+    which ranges overlap are cut anew, at the ends of their ranges.
+    """
+    good = ranges.where("start_ip <= end_ip").groupBy("start_ip", "end_ip").agg(F.min(F.struct(_place(), "lon", "lat")).alias("_p"))
+    whole = good.select("start_ip", "end_ip", F.col("_p._place").alias("_place"))
+    pieces = _cut(whole, WALK_BITS, "start_ip", "end_ip", "_place")
+    before = Window.partitionBy("_bucket").orderBy("_lo", "_hi", "start_ip", "end_ip").rowsBetween(Window.unboundedPreceding, -1)
+    crowded = pieces.withColumn("_reach", F.max("_hi").over(before)).where("_lo <= _reach").select("_bucket").distinct()
+    crowded = checkpointed(crowded)
+    if crowded.isEmpty():
+        return whole
+    mixed = pieces.join(crowded, "_bucket", "left_semi")
+    ends = mixed.select("_bucket", F.explode(F.array("_lo", F.col("_hi") + 1)).alias("_at")).distinct()
+    parts = ends.withColumn("_to", F.lead("_at").over(Window.partitionBy("_bucket").orderBy("_at")) - 1).where("_to IS NOT NULL")
+    held = parts.join(mixed, "_bucket").where("_lo <= _at AND _hi >= _to")
+    best = held.groupBy("_bucket", "_at", "_to").agg(F.max_by("_place", F.struct("start_ip", -F.col("end_ip"))).alias("_place"))
+    cut = best.select(F.col("_at").alias("start_ip"), F.col("_to").alias("end_ip"), "_place")
+    return pieces.join(crowded, "_bucket", "left_anti").select(F.col("_lo").alias("start_ip"), F.col("_hi").alias("end_ip"), "_place").unionByName(cut)
+
+
+def range_pieces(ranges: DataFrame, bits: int = WALK_BITS) -> DataFrame:
+    """Pieces of disjoint ranges by bucket: `_bucket`, first and last address, and the place."""
+    return _cut(ranges, bits, "_place")
+
+
 def finest_bits(ranges: DataFrame, limit: int) -> int | None:
-    """Bits of the smallest bucket that cuts the ranges into at most `limit` pieces; None if none does."""
+    """Bits of the smallest bucket that cuts disjoint ranges into pieces of at most `limit` bytes in all; None if none does,
+    or if a bucket would hold more than `BUCKET_PIECES` of them."""
     lo, hi = F.col("start_ip"), F.col("end_ip")
-    pieces = [F.sum(_bucket(hi, b) - _bucket(lo, b) + 1).alias(str(b)) for b in BUCKET_BITS]
+    size = F.coalesce(F.octet_length(F.to_json("_place")), F.lit(0)) + PIECE_BYTES
+    pieces = [F.sum((_bucket(hi, b) - _bucket(lo, b) + 1) * size).alias(str(b)) for b in BUCKET_BITS]
     counted = ranges.agg(*pieces).first()
-    return next((b for b in BUCKET_BITS if (counted[str(b)] or 0) <= limit), None)
+    bits = next((b for b in BUCKET_BITS if (counted[str(b)] or 0) <= limit), None)
+    if bits is None:
+        return None
+    fullest = range_pieces(ranges, bits).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return bits if (fullest or 0) <= BUCKET_PIECES else None
 
 
 def _usable(c: Column) -> Column:
@@ -95,25 +131,29 @@ def places_of(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def geo_enrich(
-    df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_pieces: int = BROADCAST_PIECES
+    df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left lookup of each address column; adds its location, country, city and region columns.
 
-    The range table is measured first. If it can be cut into at most `broadcast_pieces` pieces, these
-    are broadcast, in the smallest buckets that allows, and `df` is not shuffled at all. Otherwise
-    distinct addresses are placed by an ordered walk and joined back; the join back is a plain
-    equi-join, whose hot addresses adaptive execution splits.
+    Ranges may overlap: see `disjoint_ranges` for the one that counts, whichever way is taken. The disjoint ranges are
+    measured. If they can be cut into pieces of at most `broadcast_bytes`, few in every bucket, these are broadcast, in the
+    smallest buckets that allows, and `df` is not shuffled at all. Otherwise distinct addresses are placed by
+    an ordered walk and joined back. Addresses that have no place go to many tasks under keys that meet nothing;
+    hot addresses are split by adaptive execution.
     """
-    bits = finest_bits(ranges, broadcast_pieces)
+    ranges = checkpointed(disjoint_ranges(ranges))
+    bits = finest_bits(ranges, broadcast_bytes)
     if bits is not None:
         pieces = range_pieces(ranges, bits)
         for ip in ip_cols:
             df = _with_broadcast(df, ip, pieces, bits)
         return df
     texts = df.select(F.explode(F.array(*[F.col(c) for c in ip_cols])).alias("_text")).distinct()
-    places = places_of(texts, ranges)
+    places = checkpointed(places_of(texts, ranges)).withColumnRenamed("_text", "_met")
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string")
     for ip in ip_cols:
         columns = df.columns
-        joined = df.join(places.withColumnRenamed("_text", ip), ip, "left")
+        key = F.when(_usable(F.col(ip)).isNotNull(), F.col(ip)).otherwise(F.concat(F.lit("-"), spread))
+        joined = df.withColumn("_key", key).join(places, F.col("_key") == F.col("_met"), "left")
         df = joined.select(*columns, *_place_columns(ip, F.col("_place")))
     return df

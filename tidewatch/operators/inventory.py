@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidewatch.functions.text import python_text
 from tidewatch.operators.ordered import carry_forward
 
-# The state looked for, the template to link, and the agent interface of a new host.
+# The state looked for, the template to link, the agent interface and the description of a new host.
 RUNNING = "running"
 TEMPLATE_ID = "10186"
 AGENT_PORT = "10050"
+DESCRIPTION = "CPU:(%s)核 内存：(%s)Mb NC_ID:(%s)"
 
 
 def running_rows(sheet: DataFrame) -> DataFrame:
@@ -26,9 +27,7 @@ def shown_name(name: Column, ip: Column, pip: Column) -> Column:
 
 
 def description(cpu: Column, mem: Column, nc_id: Column) -> Column:
-    return F.format_string(
-        "CPU:(%s)核 内存：(%s)Mb NC_ID:(%s)", python_text(cpu), python_text(mem), python_text(nc_id)
-    )
+    return F.format_string(DESCRIPTION, python_text(cpu), python_text(mem), python_text(nc_id))
 
 
 def with_names(desired: DataFrame) -> DataFrame:
@@ -77,7 +76,7 @@ def host_actions(
     """Actions per desired row, in order: `row_idx, seq, action, host, hostid, grp, value`.
 
     Rows of one host act one after the other: the first meets the existing host, each later one the
-    name that the row before it left behind, and a template that is then linked.
+    name that the row before it left behind, and a template that is then linked. A missing template list is empty.
     """
     rows = carry_forward(
         with_names(desired), ["host"], "row_idx", previous={"_before": F.col("hname")}
@@ -85,12 +84,13 @@ def host_actions(
     actual = hosts.select("hostid", "host", F.col("name").alias("_name"), "template_ids")
     known = groups.select("groupid", F.col("name").alias("grp"))
     state = rows.join(actual, "host", "left").join(known, "grp", "left")
+    linked = F.coalesce("template_ids", F.array().cast("array<string>"))
 
     first = F.col("_before").isNull()
     exists = F.col("hostid").isNotNull()
     present = F.coalesce(F.col("_before"), F.col("_name"))
-    unlinked = ~F.array_contains("template_ids", template)
-    wanted = F.array_join(F.array_append("template_ids", template), ",")
+    unlinked = ~F.coalesce(F.array_contains(linked, template), F.lit(False))
+    wanted = F.array_join(F.array_append(linked, template), ",")
     steps = F.array_compact(
         F.array(
             _action(1, "create_host", first & ~exists, host_object(F.col("groupid"), template)),

@@ -39,39 +39,42 @@ def host_events(tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PI
     return events.join(chain, events["objectid"] == chain["triggerid"]).select("eventid", "clock", "name")
 
 
-def host_alerts(tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PING_KEY) -> DataFrame:
-    """Alerts of those events: `alertid, eventid, name`."""
-    events = host_events(tables, lo, hi, key).select("eventid", "name")
+def host_alerts(
+    tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PING_KEY, events: DataFrame | None = None
+) -> DataFrame:
+    """Alerts of those events: `alertid, eventid, name`. `events` may hand in the result of `host_events`."""
+    events = (host_events(tables, lo, hi, key) if events is None else events).select("eventid", "name")
     return tables["alerts"].select("alertid", "eventid").join(events, "eventid").select("alertid", "eventid", "name")
 
 
-def for_sheet(matches: DataFrame, sheet: DataFrame) -> DataFrame:
-    """Matches of each sheet row by host name. A host listed twice gives two groups (`row_idx`)."""
-    return matches.join(broadcast_if_short(sheet), "name")
+def for_sheet(matches: DataFrame, sheet: DataFrame, short: bool | None = None) -> DataFrame:
+    """Matches of each sheet row by host name. A host listed twice gives two groups (`row_idx`). `short` may hand in whether
+    the sheet is known to be short."""
+    return matches.join(F.broadcast(sheet) if (is_short(sheet) if short is None else short) else sheet, "name")
 
 
-def _change(tbl: str, action: str, clock: Column, seq: Column) -> Column:
+def _change(action: str, clock: Column, seq: Column) -> Column:
     return F.struct(
-        F.lit(tbl).alias("tbl"),
         F.lit(action).alias("action"),
         clock.cast("bigint").alias("new_clock"),
         seq.cast("int").alias("seq"),
     )
 
 
-def _emit(rows: DataFrame, changes: Column) -> DataFrame:
+def _emit(rows: DataFrame, changes: Column, tbl: str) -> DataFrame:
+    """`tbl` is a literal of its branch, so that a filter on it cuts the other branch off."""
     return rows.withColumn("_c", F.explode(changes)).select(
-        "_c.tbl", "_c.action", "id", "_c.new_clock", "name", "row_idx", "_c.seq"
+        F.lit(tbl).alias("tbl"), "_c.action", "id", "_c.new_clock", "name", "row_idx", "_c.seq"
     )
 
 
-def _counted(matches: DataFrame, sheet: DataFrame, id_col: str) -> DataFrame:
+def _counted(matches: DataFrame, sheet: DataFrame, id_col: str, short: bool) -> DataFrame:
     """Ids matched per sheet row, with equal ids folded into a multiplicity `m`."""
-    rows = for_sheet(matches.select(F.col(id_col).alias("id"), "name"), sheet.select("row_idx", "name"))
+    rows = for_sheet(matches.select(F.col(id_col).alias("id"), "name"), sheet.select("row_idx", "name"), short)
     return rows.groupBy("row_idx", "id").agg(F.count(F.lit(1)).alias("m"))
 
 
-def _with_sheet(rows: DataFrame, sheet: DataFrame) -> DataFrame:
+def _with_sheet(rows: DataFrame, sheet: DataFrame, short: bool) -> DataFrame:
     """Adds the sheet row, and `id1`, `m1` and `id2`: its two lowest ids.
 
     Finding two rows per group prunes before its shuffle, and the join back spreads a host with very
@@ -88,7 +91,7 @@ def _with_sheet(rows: DataFrame, sheet: DataFrame) -> DataFrame:
         )
     )
     pairs = lowest.join(sheet, "row_idx")
-    return rows.join(F.broadcast(pairs) if is_short(sheet) else pairs, "row_idx")
+    return rows.join(F.broadcast(pairs) if short else pairs, "row_idx")
 
 
 def _rows_of(tbl: str, policy: str) -> Column:
@@ -99,19 +102,19 @@ def _rows_of(tbl: str, policy: str) -> Column:
     """
     m, first = F.col("m"), F.col("id") == F.col("id1")
     second = F.when(F.col("m1") >= 2, first).otherwise(F.col("id") == F.coalesce(F.col("id2"), F.lit(-1)))
-    delete = _change(tbl, "delete", F.lit(None), F.lit(None))
-    none = F.array().cast("array<struct<tbl:string,action:string,new_clock:bigint,seq:int>>")
+    delete = _change("delete", F.lit(None), F.lit(None))
+    none = F.array().cast("array<struct<action:string,new_clock:bigint,seq:int>>")
     ud1, ud2 = epoch_seconds(F.col("ud1")), epoch_seconds(F.col("ud2"))
 
     def one(test: Column, clock: Column, seq: int) -> Column:
-        return F.when(test, F.array(_change(tbl, "update", clock, F.lit(seq)))).otherwise(none)
+        return F.when(test, F.array(_change("update", clock, F.lit(seq)))).otherwise(none)
 
     def repeat(change: Column, times: Column) -> Column:
         return F.array_repeat(change, F.greatest(times, F.lit(0)).cast("int"))
 
     if tbl == "alerts":
         if policy == "update_all":
-            fix = repeat(_change(tbl, "update", ud1, F.lit(1)), m)
+            fix = repeat(_change("update", ud1, F.lit(1)), m)
         else:
             fix = F.concat(one(first, ud1, 1), repeat(delete, m - first.cast("int")))
     else:
@@ -140,10 +143,11 @@ def repair_changes(
     if policy not in ("update_all", "keep_first"):
         raise ValueError(f"unknown policy {policy!r}")
     sheet = sheet.select("row_idx", "name", "op", "ud1", "ud2")
+    short = is_short(sheet)
     parts = []
     for tbl, matches, id_col in (("alerts", alerts, "alertid"), ("events", events, "eventid")):
-        rows = _counted(matches, sheet, id_col)
-        parts.append(_emit(_with_sheet(rows, sheet), _rows_of(tbl, policy)))
+        rows = _counted(matches, sheet, id_col, short)
+        parts.append(_emit(_with_sheet(rows, sheet, short), _rows_of(tbl, policy), tbl))
     return parts[0].unionByName(parts[1])
 
 

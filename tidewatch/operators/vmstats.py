@@ -31,8 +31,20 @@ STEPS = {
     "month": "12 hours",
     "year": "7 days",
 }
+# Seconds that a timeframe reaches back: seventy of its steps, but for the shortest.
+SPANS = {
+    "5min": 300,
+    "hour": 70 * 60,
+    "day": 70 * 30 * 60,
+    "week": 70 * 3 * 3600,
+    "month": 70 * 12 * 3600,
+    "year": 70 * 7 * 86400,
+}
+NO_SAMPLES = "no samples"
 SUBTYPES = {"AVERAGE": "avg", "MEDIAN": "med", "MAX": "max"}
 TOP = 8
+# The series that a function reads.
+SERIES = {"AVERAGE": "AVERAGE", "MEDIAN": "AVERAGE", "MAX": "MAX"}
 
 
 def named(vms: DataFrame, patterns: Sequence[str], name: str = "name") -> DataFrame:
@@ -109,8 +121,10 @@ def consolidate(
     step: str = "1 minute",
     cf: str = "AVERAGE",
 ) -> DataFrame:
-    """Coarser series: average or maximum of each value per key and step. `MEDIAN` reads averages."""
-    how = F.max if cf == "MAX" else F.avg
+    """Coarser series: average or maximum of each value per key and step. `MEDIAN` reads averages; other names raise."""
+    if cf not in SERIES:
+        raise ValueError(f"unknown function {cf!r}; known are {', '.join(SERIES)}")
+    how = F.max if SERIES[cf] == "MAX" else F.avg
     grouped = samples.groupBy(*keys, F.window(ts, step).alias("_w")).agg(*[how(v).alias(v) for v in values])
     return grouped.select(*keys, F.col("_w.start").alias(ts), *values)
 

@@ -21,6 +21,7 @@ from tidewatch.operators.repair import (
 )
 from tidewatch.operators.sheets import prefix_until_blank
 from tidewatch.plans.registry import Tables, query
+from tidewatch.session import checkpointed
 
 # Clock range of the affected events: 1996-01-01 to 1999-12-31.
 LO, HI = 820454400, 946598400
@@ -123,7 +124,8 @@ def event_chain(t: Tables) -> DataFrame:
 
 def _changes(t: Tables, policy: str) -> DataFrame:
     tables = monitoring(t)
-    return repair_changes(host_alerts(tables, LO, HI), host_events(tables, LO, HI), repair_sheet(t), policy)
+    events = checkpointed(host_events(tables, LO, HI))
+    return repair_changes(host_alerts(tables, LO, HI, events=events), events, repair_sheet(t), policy)
 
 
 @query("repair_update_all", f"WITH {_CHAIN}, {_SHEET} {_UPDATE_ALL}")

@@ -17,7 +17,6 @@ from tidewatch.operators.coerce import (
 )
 from tidewatch.operators.geo import geo_enrich
 from tidewatch.plans.registry import Tables, query
-from tidewatch.session import spread
 from tidewatch.sources.landed import envelope_rows, row_count
 
 
@@ -34,7 +33,7 @@ def raw_orders(t: Tables) -> DataFrame:
         .when(kind == 1, F.date_format(at, "yyyy-M-d"))
         .otherwise(F.date_format(at, "yyyyMMdd"))
     )
-    return spread(t.orders, "o_orderkey").select(
+    return t.orders.select(
         F.format_number(F.col("o_orderkey") * 1000, 0).alias("order_count"),
         F.when((kind == 1) & (F.length(text) < 9), F.date_format(at, "yyyy-MM-dd")).otherwise(text).alias("Start_Time"),
         F.col("o_totalprice").cast("string").alias("discount"),
@@ -92,7 +91,7 @@ def rows_per_day(t: Tables) -> DataFrame:
 )
 def coerce_rejects(t: Tables) -> DataFrame:
     kind = F.col("event_type")
-    raw = spread(t.events, "event_id").select(
+    raw = t.events.select(
         "event_id",
         F.when(kind.isin("error", "click"), "n/a")
         .when(kind == "view", F.lit(None))
@@ -127,7 +126,7 @@ def json_envelope(t: Tables) -> DataFrame:
         .when(kind == "signup", F.to_json(F.struct(F.lit("0").alias("rowCount"))))
         .otherwise(whole)
     )
-    answers = spread(t.events, "event_id").select(text.alias("answer")).withColumn("row_count", row_count(F.col("answer")))
+    answers = t.events.select(text.alias("answer")).withColumn("row_count", row_count(F.col("answer")))
     rows = envelope_rows(answers, "answer", "struct<id string, hit_count string>")
     return coerce_by_suffix(rows, exclude=("row_count",)).select("id", "hit_count", "row_count")
 
@@ -150,7 +149,7 @@ def list_envelope(t: Tables) -> DataFrame:
         F.date_format("o_orderdate", "yyyyMMdd").alias("first_time"),
     )
     rows = F.when(F.col("o_orderstatus") != "P", F.array(row))
-    answers = spread(t.orders, "o_orderkey").select(F.to_json(F.struct(rows.alias("list"))).alias("answer"))
+    answers = t.orders.select(F.to_json(F.struct(rows.alias("list"))).alias("answer"))
     out = envelope_rows(answers, "answer", "struct<attack_count string, sport string, first_time string>", "list")
     return coerce_by_suffix(out).select("attack_count", "sport", ntz("first_time").alias("first_time"))
 
@@ -164,7 +163,7 @@ def list_envelope(t: Tables) -> DataFrame:
     """,
 )
 def month_route(t: Tables) -> DataFrame:
-    rows = stamp_eventdate(spread(t.orders, "o_orderkey"), F.col("o_orderdate"))
+    rows = stamp_eventdate(t.orders, F.col("o_orderdate"))
     table = F.lower("o_orderpriority")
     docs = wrap_documents(rows, index_name(F.col("o_orderdate"), table), table)
     return docs.select("_index", "_type", "_source.o_orderkey", "_source.eventdate")
@@ -194,7 +193,7 @@ def flow_rows(t: Tables) -> DataFrame:
     source = F.col("l_orderkey") * 200 + F.col("l_linenumber") * 31 + 16777216
     target = F.col("l_suppkey") * 13000 + 16777216
     flag = F.col("l_returnflag")
-    return spread(t.lineitem, "l_orderkey").select(
+    return t.lineitem.select(
         F.col("l_orderkey").cast("string").alias("设备编号"),
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("起始时间"),
         long_to_ip(source).alias("源地址"),
@@ -253,7 +252,7 @@ def flow_places(t: Tables) -> DataFrame:
 @query("flow_places_walk", _FLOW_SQL)
 def flow_places_walk(t: Tables) -> DataFrame:
     """The same by the ordered walk, as for a range table too large to broadcast."""
-    return _flow_places(t, broadcast_pieces=0)
+    return _flow_places(t, broadcast_bytes=0)
 
 
 @query(

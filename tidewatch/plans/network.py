@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.firewall import policy_table
 from tidewatch.plans.registry import Tables, query
-from tidewatch.session import spread
 
 
 def policy_lines(t: Tables) -> DataFrame:
@@ -46,14 +45,12 @@ def policy_lines(t: Tables) -> DataFrame:
             F.when(F.col("l_discount") >= 0.05, line(4, text("service p", F.col("l_partkey")))),
         )
     )
-    heads = spread(t.orders, "o_orderkey").withColumn("_l", F.explode(own)).select(file("o_orderkey"), at("o_orderkey"), "_l.line")
-    lists = spread(t.lineitem, "l_orderkey").withColumn("_l", F.explode(listed)).select(file("l_orderkey"), at("l_orderkey"), "_l.line")
+    heads = t.orders.withColumn("_l", F.explode(own)).select(file("o_orderkey"), at("o_orderkey"), "_l.line")
+    lists = t.lineitem.withColumn("_l", F.explode(listed)).select(file("l_orderkey"), at("l_orderkey"), "_l.line")
     return heads.unionByName(lists)
 
 
-@query(
-    "firewall_flat",
-    """
+FLAT_SQL = """
     WITH orders5 AS (SELECT *, 'fw' || (o_orderkey % 5) AS file FROM orders), o AS (
       SELECT *, MIN(CASE WHEN o_totalprice <= 450000 THEN o_orderkey END)
                 OVER (PARTITION BY file ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS seg,
@@ -80,7 +77,9 @@ def policy_lines(t: Tables) -> DataFrame:
            's' || src.l_suppkey AS source_ip, dest_ip, 'p' || svc.l_partkey AS service, rule_state, policy
     FROM head JOIN dst USING (file, seg) JOIN l src USING (file, seg)
     JOIN (SELECT * FROM l WHERE l_discount >= 0.05) svc USING (file, seg)
-    """,
-)
+    """
+
+
+@query("firewall_flat", FLAT_SQL)
 def firewall_flat(t: Tables) -> DataFrame:
     return policy_table(policy_lines(t))

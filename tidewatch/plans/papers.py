@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import documents as doc
 from tidewatch.plans.registry import Tables, query
-from tidewatch.session import spread
 
 
 @query(
@@ -44,7 +43,7 @@ def letter_paras(t: Tables) -> DataFrame:
         text("在价值时点", F.date_format("o_orderdate", "yyyy年M月d日"), "的抵押评估价值为：总价若干。"),
         F.when(F.col("o_orderstatus") != "P", text("单价：", F.format_number(F.col("o_orderkey") * 7, 0), "元/平方米")).otherwise("单价：无"),
     )
-    rows = spread(t.orders, "o_orderkey").select(F.col("o_orderkey").alias("doc_id"), F.posexplode(lines).alias("pos", "text"))
+    rows = t.orders.select(F.col("o_orderkey").alias("doc_id"), F.posexplode(lines).alias("pos", "text"))
     return rows.withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -72,7 +71,7 @@ def cells(t: Tables) -> DataFrame:
     number = F.col("l_linenumber") - 1 + F.when(F.col("l_linestatus") == "F", 7).otherwise(0)
     at = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in places])[number]
     mark = F.when(F.col("l_returnflag") == "N", "构").otherwise("")
-    return spread(t.lineitem, "l_orderkey").select(
+    return t.lineitem.select(
         F.col("l_orderkey").alias("doc_id"),
         F.when(F.col("l_tax") > 0.06, 1).otherwise(0).alias("table_no"),
         at["r"].alias("r"),
@@ -107,7 +106,7 @@ def cells_pivot(t: Tables) -> DataFrame:
 def images(t: Tables) -> DataFrame:
     """Positions 0 to 12; contents are longer than one base64 line."""
     body = F.concat(F.lit("image "), F.repeat(F.concat("l_partkey", F.lit("-")), 20))
-    return spread(t.lineitem, "l_orderkey").select(
+    return t.lineitem.select(
         F.col("l_orderkey").alias("doc_id"),
         (F.col("l_linenumber") - 1 + F.when(F.col("l_linestatus") == "F", 6).otherwise(0)).alias("pos"),
         F.encode(body, "UTF-8").alias("content"),
@@ -117,8 +116,8 @@ def images(t: Tables) -> DataFrame:
 _SLOTS = {i: n for i, n in enumerate(doc.IMAGE_FIELDS) if n}
 _IMAGES = f"""
     i AS (SELECT l_orderkey AS doc_id, l_linenumber - 1 + CASE l_linestatus WHEN 'F' THEN 6 ELSE 0 END AS pos,
-                 to_base64(encode('image ' || repeat(l_partkey || '-', 20))) AS content FROM lineitem),
-    im AS (SELECT doc_id, {", ".join(f"max(CASE WHEN pos = {i} THEN content END) AS {n}" for i, n in _SLOTS.items())}
+                 encode('image ' || repeat(l_partkey || '-', 20)) AS content FROM lineitem),
+    im AS (SELECT doc_id, {", ".join(f"to_base64(max(CASE WHEN pos = {i} THEN content END)) AS {n}" for i, n in _SLOTS.items())}
            FROM i WHERE pos <= 10 GROUP BY 1)
 """
 
@@ -133,6 +132,9 @@ def image_rejects(t: Tables) -> DataFrame:
     return doc.image_rejects(images(t)).select("doc_id", "pos")
 
 
-@query("doc_records", f"WITH {_LETTERS}, {_CELLS}, {_IMAGES} SELECT * FROM f LEFT JOIN tf USING (doc_id) LEFT JOIN im USING (doc_id)")
+RECORDS_SQL = f"WITH {_LETTERS}, {_CELLS}, {_IMAGES} SELECT * FROM f LEFT JOIN tf USING (doc_id) LEFT JOIN im USING (doc_id)"
+
+
+@query("doc_records", RECORDS_SQL)
 def doc_records(t: Tables) -> DataFrame:
     return doc.document_records(letter_paras(t), cells(t), images(t))

@@ -7,10 +7,10 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.session import ensure_shared_folder
+from tidewatch.plans.local import ensure_shared_folder
 
 Query = Callable[["Tables"], DataFrame]
-MODULES = ("ingest", "backfill", "events", "network", "machines", "hosts", "papers", "models", "requests", "streams")
+MODULES = ("ingest", "backfill", "events", "network", "machines", "hosts", "papers", "models", "requests", "streams", "landing")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}

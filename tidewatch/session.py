@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A read of fewer splits than this may be dealt out to idle cores.
-FEW_SPLITS = 64
-
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -42,14 +38,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def ensure_shared_folder(spark: SparkSession) -> None:
-    """On a single machine, name a folder of its own where the session names none. A cluster has to name one."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-
-
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/tidewatch-{purpose}-{uuid.uuid4().hex}"
@@ -61,13 +49,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A plain read dealt to all cores by `key` where it has too few splits to occupy them.
-
-    One file with one row group would otherwise keep costly expressions on one core. Reads of
-    `FEW_SPLITS` splits or more are left as they are, so no large table is shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators.coerce import FLOW_NAMES
+from tidewatch.operators.joins import small_or_hashed
+from tidewatch.session import checkpointed
+
+# Most keys that the rows of a table may have.
+MOST_KEYS = 10_000
 
 # Columns of the landed tables.
 SCHEMAS = {
@@ -53,15 +59,45 @@ def _strings(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_flow_files(spark: SparkSession, folder: str, columns: Iterable[str] = tuple(FLOW_NAMES)) -> DataFrame:
-    """Tab-separated GBK files with header, all columns as text, with the file each row came from.
+def _headers(spark: SparkSession, folder: str, sep: str, encoding: str) -> DataFrame:
+    """First line of each file of a folder, cut at the separator: `_file`, `header`.
+
+    One pass over the lines, of which each task keeps the first of a file.
+    """
+    lines = spark.read.options(sep="\x00", encoding=encoding, header=False, quote="").schema("value string").csv(folder)
+    first = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"), "value"
+    )
+    top = first.groupBy("_file").agg(F.min_by("value", "_at").alias("value"))
+    clean = F.regexp_replace(F.coalesce("value", F.lit("")), "^\ufeff|\r$", "")
+    return top.select("_file", F.transform(F.split(clean, sep), lambda c: F.trim(F.btrim(c, F.lit('"')))).alias("header"))
+
+
+def read_headed_files(spark: SparkSession, folder: str, names: Iterable[str], sep: str, encoding: str) -> DataFrame:
+    """Text files with a header line, all columns as text, bound by the names in it, with the `_file` of each row.
 
-    Only the files of the folder itself are read. GBK has to be allowed in the session for that.
+    Layouts may differ between files, in order, with missing and with further columns: a missing column is null, a further
+    one is kept. Files of equal headers are read together, so there are as many reads as layouts. Of equal headers in a
+    file the first counts. Only the files of the folder itself are read. A file without header or rows gives none.
     """
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    files = spark.read.options(header=True, sep="\t", encoding="GBK", recursiveFileLookup=False)
-    rows = files.schema(_strings(columns)).csv(folder)
-    return rows.withColumn("_file", F.col("_metadata.file_path"))
+    layouts = _headers(spark, folder, sep, encoding).groupBy("header").agg(F.sort_array(F.collect_list("_file")).alias("files"))
+    out = spark.createDataFrame([], _strings((*names, "_file")))
+    for layout in layouts.orderBy(F.array_join("header", "\x01")).collect():
+        header: dict[str, int] = {}
+        for i, name in enumerate(layout["header"]):
+            if name:
+                header.setdefault(name, i)
+        places = _strings(f"_{i}" for i in range(len(layout["header"])))
+        rows = spark.read.options(header=True, sep=sep, encoding=encoding).schema(places).csv([unquote(f) for f in layout["files"]])
+        named = [F.col(f"_{i}").alias(n) for n, i in header.items()]
+        out = out.unionByName(rows.select(*named, F.col("_metadata.file_path").alias("_file")), allowMissingColumns=True)
+    return out.select(*[c for c in out.columns if c != "_file"], "_file")
+
+
+def read_flow_files(spark: SparkSession, folder: str, columns: Iterable[str] = tuple(FLOW_NAMES)) -> DataFrame:
+    """Tab-separated GBK files with header, all columns as text, with the file each row came from."""
+    return read_headed_files(spark, folder, columns, "\t", "GBK")
 
 
 def envelope_rows(answers: DataFrame, text: str, row_schema: str, field: str = "result") -> DataFrame:
@@ -75,6 +111,44 @@ def envelope_rows(answers: DataFrame, text: str, row_schema: str, field: str = "
     return answers.select(*other, F.explode(parsed[field]).alias("_row")).select(*other, "_row.*")
 
 
+def envelope_maps(answers: DataFrame, text: str, field: str = "result") -> DataFrame:
+    """Rows of the array in each answer text as `_row`, a map of all their keys to text, beside the answer's other columns."""
+    lenient = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+    parsed = F.from_json(text, f"`{field}` array<map<string,string>>", lenient)
+    other = [c for c in answers.columns if c != text]
+    return answers.select(*other, F.explode(parsed[field]).alias("_row"))
+
+
+def row_keys(rows: DataFrame) -> list[str]:
+    """All keys of the maps `_row`, sorted; keys that differ in case only count once, under their first spelling.
+
+    Keys are folded map-side; their number is that of a table's columns, and more than `MOST_KEYS` raise.
+    """
+    keys = rows.select(F.explode(F.map_keys("_row")).alias("k")).groupBy(F.lower("k").alias("low")).agg(F.min("k").alias("k"))
+    found = sorted(r["k"] for r in keys.limit(MOST_KEYS + 1).collect())
+    if len(found) > MOST_KEYS:
+        raise ValueError(f"rows have more than {MOST_KEYS} keys")
+    return found
+
+
+def spread_keys(rows: DataFrame, keys: Iterable[str], rest: str | None = None) -> DataFrame:
+    """Columns for the given keys of `_row`, and the other keys as the map `rest` if it is named.
+
+    A key is looked up as it is spelled and, where missing, in any case.
+    """
+    keys = list(keys)
+
+    def value(key: str) -> Column:
+        alike = F.map_values(F.map_filter("_row", lambda k, _: F.lower(k) == key.lower()))
+        return F.coalesce(F.get(F.map_values(F.map_filter("_row", lambda k, _: k == key)), F.lit(0)), F.get(alike, F.lit(0)))
+
+    named = {k: value(k) for k in keys}
+    out = rows.withColumns(named)
+    if rest is not None:
+        out = out.withColumn(rest, F.map_filter("_row", lambda k, _: ~F.lower(k).isin(*[k.lower() for k in keys])))
+    return out.drop("_row")
+
+
 def row_count(text: Column, field: str = "rowCount") -> Column:
     """Number of rows that an answer announces; null if unreadable."""
     return F.get_json_object(text, f"$.{field}").try_cast("bigint")
@@ -102,29 +176,23 @@ def read_json_lines(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(folder)
 
 
-def _bytes(spark: SparkSession, setting: str) -> int:
-    text = spark.conf.get(setting).lower().removesuffix("b")
-    scale = {"k": 10, "m": 20, "g": 30}.get(text[-1:], 0)
-    return int(text.rstrip("kmg")) << scale
-
-
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of text files as `file, line_no, line`, also for files cut into many splits.
+    """Lines of text files as `file, line_no, line`, numbered from 0 in each file, also for files cut into many splits.
 
-    `line_no` grows along each file but has gaps. It is the byte at which the line's split starts, scaled
-    so that two splits are further apart than the largest row number a task can count to, plus the
-    row's number in its task. Nothing is shuffled for it.
+    The lines are read once and written to the shared folder with the start of their split and their row number in the task that
+    read it. The number of a line follows from the lines in the splits before it, which is one row per split to add
+    up. So numbers do not depend on how a file is cut, and a later use never reads the files anew.
     """
-    smallest = min(_bytes(spark, "spark.sql.files.maxPartitionBytes"), _bytes(spark, "spark.sql.files.openCostInBytes"))
-    row_bits = 33  # low bits of monotonically_increasing_id, which hold the row number
-    shift = max(0, row_bits - smallest.bit_length() + 1)
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**row_bits - 1))
+    row = F.monotonically_increasing_id()
     start = F.col("_metadata.file_block_start")
-    return spark.read.text(folder).select(
-        F.col("_metadata.file_path").alias("file"),
-        (start * F.lit(2**shift).cast("bigint") + row).alias("line_no"),
-        F.col("value").alias("line"),
+    lines = checkpointed(
+        spark.read.text(folder).select(F.col("_metadata.file_path").alias("file"), start.alias("_start"), row.alias("_row"), F.col("value").alias("line"))
     )
+    splits = lines.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = checkpointed(splits.select("file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    numbered = lines.join(small_or_hashed(splits), ["file", "_start"])
+    return numbered.select("file", (F.col("_before") + F.col("_row") - F.col("_first")).alias("line_no"), "line")
 
 
 def read_table(
@@ -138,8 +206,10 @@ def read_table(
 
 
 def read_sheet(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A sheet landed as CSV with header, with `row_idx` as first column."""
-    return spark.read.option("header", True).schema(SCHEMAS[name]).csv(path)
+    """A sheet landed as CSV with header, bound by the names in it; columns it lacks are null, further ones are dropped."""
+    fields = T.StructType.fromDDL(SCHEMAS[name]).fields
+    rows = read_headed_files(spark, path, [f.name for f in fields], ",", "UTF-8")
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def monitoring_tables(spark: SparkSession, path: str | None = None, jdbc: Mapping[str, str] | None = None) -> dict:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from itertools import batched
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.operators.coerce import stamp_eventdate
 from tidewatch.operators.firewall import POLICY_COLUMNS, POLICY_HEADERS
@@ -14,6 +16,8 @@ from tidewatch.functions.times import day_label, month_label
 
 # Documents per request.
 BATCH = 5000
+# Partition columns of an index table, before the batch.
+INDEX_KEYS = ("tbl", "month", "day")
 
 
 def with_partitions(df: DataFrame, table: Column, day: Column, offset_hours: int = 8) -> DataFrame:
@@ -23,22 +27,55 @@ def with_partitions(df: DataFrame, table: Column, day: Column, offset_hours: int
     )
 
 
-def write_index(df: DataFrame, path: str, mode: str = "append", max_rows: int = 5_000_000) -> None:
-    """Append to the table at `path`, partitioned by table, month and local day.
+def write_index(df: DataFrame, path: str, batch: str | None = None, replace_days: bool = False, max_rows: int = 5_000_000) -> None:
+    """Add rows to the table at `path`, partitioned by table, month, local day and batch.
 
-    The rebalance hint gathers each partition's rows before writing and lets adaptive execution cut a
-    hot day into several files, so neither many tiny files nor one huge task results. With `overwrite`
-    only the partitions present in `df` are replaced, which repairs half-loaded days.
+    A batch, by default one of a new name, only ever replaces itself: written again under its name, it takes the place of its
+    first attempt, and no other load is touched. The rebalance hint gathers each partition's rows before writing and lets
+    adaptive execution cut a hot day into several files, so neither many tiny files nor one huge task
+    results. `replace_days` then removes all other batches of the days in `df`, which repairs half-loaded days.
     """
-    keys = ["tbl", "month", "day"]
+    batch = batch or f"load-{uuid.uuid4().hex}"
+    rows = df.withColumn("batch", F.lit(batch))
     (
-        df.hint("rebalance", *keys)
-        .write.mode(mode)
+        rows.hint("rebalance", *INDEX_KEYS)
+        .write.mode("overwrite")
         .option("maxRecordsPerFile", max_rows)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
+        .partitionBy(*INDEX_KEYS, "batch")
         .parquet(path)
     )
+    if replace_days:
+        _remove_other_batches(df.sparkSession, path, batch)
+
+
+def _remove_other_batches(spark: SparkSession, path: str, batch: str) -> None:
+    """Delete the folders of other batches in the days that `batch` has rows of."""
+    files = spark.read.parquet(path).where(F.col("batch").cast("string") == batch)
+    own = files.select(F.regexp_extract("_metadata.file_path", "^(.*)/batch=[^/]*/[^/]*$", 1).alias("day")).distinct()
+    jvm = spark.sparkContext._jvm
+    for row in own.toLocalIterator():
+        day = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["day"]))
+        store = day.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for entry in store.listStatus(day):
+            name = entry.getPath().getName()
+            if name.startswith("batch=") and name != f"batch={batch}":
+                store.delete(entry.getPath(), True)
+
+
+def has_index(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at `path` yet."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def read_index(spark: SparkSession, path: str, *tables: str) -> DataFrame:
+    """The table of `write_index`, partition columns as text, with the columns of all its batches."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    labels = (*INDEX_KEYS, "batch")
+    fields = [T.StructField(f.name, T.StringType()) if f.name in labels else f for f in found]
+    rows = spark.read.schema(T.StructType(fields)).parquet(path)
+    return rows.where(F.col("tbl").isin(*tables)) if tables else rows
 
 
 def send_documents(df: DataFrame, send: Callable[[list[Row]], None], size: int = BATCH) -> None:

@@ -2,22 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.coerce import coerce_by_suffix
-from tidewatch.sources.sinks import with_partitions
+from tidewatch.operators.coerce import coerce_by_suffix, ip_columns
+from tidewatch.operators.geo import geo_enrich
+from tidewatch.session import checkpointed
+from tidewatch.sources.landed import envelope_maps, row_keys, spread_keys
+from tidewatch.sources.sinks import with_partitions, write_index
 
 
-def prepare(rows: DataFrame, table: str, day: str, exclude: tuple[str, ...] = (), offset_hours: int = 8) -> DataFrame:
-    """Typed rows with partition columns. `day` names the column with the local day."""
+def prepare(
+    rows: DataFrame, table: str, day: str, exclude: Sequence[str] = (), offset_hours: int = 8, ranges: DataFrame | None = None
+) -> DataFrame:
+    """Typed rows with partition columns, and the places of their addresses if `ranges` is given. `day` names the column with
+    the local day."""
     typed = coerce_by_suffix(rows, (day, *exclude), offset_hours)
+    if ranges is not None:
+        typed = geo_enrich(typed, ip_columns(typed, exclude), ranges)
     return with_partitions(typed, F.lit(table), F.col(day), offset_hours)
 
 
+def prepare_answers(
+    answers: DataFrame,
+    table: str,
+    day: str,
+    field: str = "result",
+    exclude: Sequence[str] = (),
+    ranges: DataFrame | None = None,
+    offset_hours: int = 8,
+) -> DataFrame:
+    """Rows of answers (`value`) with a column for every key that any of them has, then as `prepare`. `day` is the key of the
+    local day. A row without a readable day has null partitions. Serves whole loads and micro-batches alike."""
+    rows = checkpointed(envelope_maps(answers, "value", field))
+    keys = row_keys(rows)
+    wide = spread_keys(rows, [*keys, *([] if day in keys else [day])])
+    return prepare(wide.withColumn(day, F.col(day).try_cast("date")), table, day, exclude, offset_hours, ranges)
+
+
 def ingest(
     rows: DataFrame,
     prepare_rows: Callable[[DataFrame], DataFrame],
@@ -25,22 +50,17 @@ def ingest(
     checkpoint: str,
     external: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Write what has landed since the last run, then stop.
+    """Write what has landed since the last run into the index table at `path`, then stop.
 
-    Each micro-batch owns the partition `batch_id` and overwrites it, so a batch that is repeated
-    after a failure replaces its first attempt instead of doubling it.
+    The table is that of `write_index`. A micro-batch is named after the stream, whose id lives in its checkpoint, and its own
+    number. So a batch that is repeated after a failure replaces its first attempt, and a stream with another
+    checkpoint, whose numbers begin anew, replaces nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = prepare_rows(batch).withColumn("batch_id", F.lit(batch_id))
-        keys = ["batch_id", "tbl", "month", "day"]
-        (
-            out.hint("rebalance", "tbl", "month", "day")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(path)
-        )
+        out = prepare_rows(batch)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_index(out, path, f"stream-{stream}-{batch_id}")
         if external is not None:
             external(out, batch_id)
 
