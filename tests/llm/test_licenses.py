@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+from tests.llm import rows
+from tidewatch.llm import licenses
+
+SCHEMA = "doc_id long, path string, text string, licence string, key string, own string"
+
+
+def found(spark, files):
+    table = spark.createDataFrame([(*f, "clash", "clash", "clash") for f in files], SCHEMA)
+    return rows.pairs(licenses.licences(table), "id", "licence", "how")
+
+
+def test_statements_and_nearest_ancestor(spark):
+    mit, apache, gpl = ("Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "x\nThis work is licensed under the GNU General Public License, version 3.\ny")
+    files = [
+        (1, "LICENSE", mit),
+        (2, "a/LICENSE.txt", apache),
+        (3, "a/b/c/code.py", "nothing here"),
+        (4, "a/x.py", gpl),
+        (5, "z/y.py", "nothing here"),
+        (6, "ab/y.py", None),
+        (7, "a/b/COPYING", "see the license elsewhere"),
+        (8, "a/b/d/e", ""),
+        (9, None, "nothing"),
+        (10, None, mit),
+        (None, "a/q", "nothing"),
+        (5, "z/y.py", "nothing here"),
+        (11, "a/b/LICENCE", gpl),
+        (12, "long", "word " * 200_000 + "\n" + mit),
+    ]
+    assert found(spark, files) == sorted(
+        [
+            (1, "MIT", "stated"), (2, "Apache-2.0", "stated"), (3, "GPL-3.0", "inherited"), (4, "GPL-3.0", "stated"), (5, "MIT", "inherited"),
+            (6, "MIT", "inherited"), (7, "GPL-3.0", "inherited"), (8, "GPL-3.0", "inherited"), (9, None, "none"), (10, "MIT", "stated"),
+            (None, "Apache-2.0", "inherited"), (5, "MIT", "inherited"), (11, "GPL-3.0", "stated"), (12, "MIT", "stated"),
+        ],
+        key=str,
+    )
+
+
+def test_no_statement_and_no_rows(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, "a/b", "I lost my driving license in the rain today and copyright is a word")]) == [(1, None, "none")]
+
+
+def test_every_template_is_recognised(spark):
+    files = [(n, f"f{n}", text) for n, (_, text) in enumerate(licenses.TEMPLATES)]
+    assert found(spark, files) == sorted(((n, name, "stated") for n, (name, _) in enumerate(licenses.TEMPLATES)), key=str)

@@ -217,8 +217,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
                 made["decoded_sha256"] = pa.array([hashlib.sha256(unpacked(x, names)).hexdigest() for x in packed], pa.string())
             yield pa.StructArray.from_arrays([made[k] for k in kinds], list(kinds))
 
-    coded = docs.withColumn("_coded", code(F.col(text_col).cast("string")))
-    return coded.withColumns({k: F.col(f"_coded.{k}") for k in kinds}).drop("_coded")
+    coded = docs.withColumn("_tw_coded", code(F.col(text_col).cast("string")))
+    return coded.withColumns({k: F.col(f"_tw_coded.{k}") for k in kinds}).drop("_tw_coded")
 
 
 def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:

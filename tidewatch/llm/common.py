@@ -40,10 +40,10 @@ def row_key(df: DataFrame) -> Column:
 
 def without_rows(df: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of `df` but for those whose id and `row_key` are in `dropped` (columns `id`, `key`)."""
-    keyed = df.withColumn("_key", row_key(df))
-    gone = dropped.select(F.col("id").alias("_gone_id"), F.col("key").alias("_gone_key"))
-    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key"))
-    return keyed.join(gone, same, "left_anti").drop("_key")
+    keyed = df.withColumn("_tw_key", row_key(df))
+    gone = dropped.select(F.col("id").alias("_tw_gone_id"), F.col("key").alias("_tw_gone_key"))
+    same = F.col(id_col).eqNullSafe(F.col("_tw_gone_id")) & (F.col("_tw_key") == F.col("_tw_gone_key"))
+    return keyed.join(gone, same, "left_anti").drop("_tw_key")
 
 
 def raw_texts(texts: pa.Array) -> Iterator[bytes]:

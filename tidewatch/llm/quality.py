@@ -237,7 +237,7 @@ def judged(
         params = saved(_step(known, params, names))
     far = _binned(known, params, names).select("grp", "key", "d2", "bin")
     bins = far.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))
-    middle = _cut(bins, 0.5).groupBy("grp").agg(F.max("bin").alias("mid"))
+    middle = saved(_cut(bins, 0.5).groupBy("grp").agg(F.max("bin").alias("mid")))
     scale = F.pow(F.lit(2.0), (F.col("mid") + 0.5) / PER_DOUBLING) / _CHI2_MEDIAN
     scaled = far.join(middle, "grp").select("key", (F.col("d2") / scale).alias("distance"))
     scaled = scaled.groupBy("key").agg(F.max("distance").alias("distance"))  # equal rows lie in one group at one distance

@@ -101,24 +101,24 @@ def _matches(text: Column, rule: Rule, rank: int) -> Column:
     return F.flatten(F.aggregate(lists, begin, walk_list)["lists"])
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `spans`: start, rank of the rule, end (exclusive) and kind of every secret, by start and rule.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", name: str = "spans") -> DataFrame:
+    """`docs` with `spans` (or `name`): start, rank of the rule, end (exclusive) and kind of every secret, by start and rule.
 
     Rules with mandatory trigrams are verified only in texts that the intersected postings name; the others
     scan every text. Null and empty texts have no spans. Every row gives one row; repeated rows and null ids keep
-    theirs; an empty table gives none. Columns named `spans` are replaced.
+    theirs; an empty table gives none. A column of that name is replaced.
     """
     found = candidates(postings(docs, rules, id_col, text_col), rules)
-    found = found.select(F.col("id").alias("_id"), F.col("key").alias("_found"), F.col("rules").alias("_rules"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_found"))
-    rows = docs.withColumn("_key", row_key(docs)).join(found, same, "left")
+    found = found.select(F.col("id").alias("_tw_id"), F.col("key").alias("_tw_found"), F.col("rules").alias("_tw_rules"))
+    same = F.col(id_col).eqNullSafe(F.col("_tw_id")) & (F.col("_tw_key") == F.col("_tw_found"))
+    rows = docs.withColumn("_tw_key", row_key(docs)).join(found, same, "left")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     none = F.array().cast(_SPAN)
     spans = []
     for rank, rule in enumerate(rules):
-        named = F.lit(True) if trigram_query(rule.pattern) == ANY else F.array_contains("_rules", rule.kind)
+        named = F.lit(True) if trigram_query(rule.pattern) == ANY else F.array_contains("_tw_rules", rule.kind)
         spans.append(F.when(named & text.rlike(rule.pattern), _matches(text, rule, rank)).otherwise(none))
-    return rows.withColumn("spans", F.array_sort(F.concat(*spans))).drop("_key", "_id", "_found", "_rules")
+    return rows.withColumn(name, F.array_sort(F.concat(*spans))).drop("_tw_key", "_tw_id", "_tw_found", "_tw_rules")
 
 
 def spans_text(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
@@ -137,5 +137,5 @@ def struck_out(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "
     clean = text
     for rule in rules:
         clean = F.regexp_replace(clean, F.lit(rule.strike or rule.pattern), F.lit(f"[{rule.kind}]"))
-    scanned = scan(docs, rules, id_col, text_col)
-    return scanned.withColumn(text_col, F.when(F.size("spans") > 0, clean).otherwise(text)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scanned = scan(docs, rules, id_col, text_col, "_tw_spans")
+    return scanned.withColumn(text_col, F.when(F.size("_tw_spans") > 0, clean).otherwise(text)).drop("_tw_spans")

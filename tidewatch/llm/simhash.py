@@ -161,11 +161,11 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     found = near_duplicates(docs, id_col, **how).groupBy("root", "id", "key").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "n")).alias("w")
     chosen = saved(found.groupBy("root").agg(first).select("w.id", "w.key", "w.n"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_chosen"))
-    kept = docs.withColumn("_key", row_key(docs)).join(
-        chosen.select(F.col("id").alias("_id"), F.col("key").alias("_chosen"), F.col("n").alias("_n")), same
+    same = F.col(id_col).eqNullSafe(F.col("_tw_id")) & (F.col("_tw_key") == F.col("_tw_chosen"))
+    kept = docs.withColumn("_tw_key", row_key(docs)).join(
+        chosen.select(F.col("id").alias("_tw_id"), F.col("key").alias("_tw_chosen"), F.col("n").alias("_tw_n")), same
     )
-    extra = ("_key", "_id", "_chosen", "_n")
+    extra = ("_tw_key", "_tw_id", "_tw_chosen", "_tw_n")
     if chosen.where("n > 1").isEmpty():
         return kept.drop(*extra)
-    return kept.where("_n = 1").drop(*extra).unionByName(kept.where("_n > 1").drop(*extra).dropDuplicates())
+    return kept.where("_tw_n = 1").drop(*extra).unionByName(kept.where("_tw_n > 1").drop(*extra).dropDuplicates())
