@@ -132,7 +132,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = _suffixes(rows, passage)
     ends = [f(c).alias(f"{n}_{c}") for c in ("ctx", "key") for n, f in (("least", F.min), ("most", F.max))]
     runs = found.groupBy("h").agg(*ends).where("least_key <> most_key")
-    runs = runs.select("h", (F.col("least_ctx") != F.col("most_ctx")).alias("mixed"))
+    runs = saved(runs.select("h", (F.col("least_ctx") != F.col("most_ctx")).alias("mixed")))  # so that a hot run's join can be split
     met = saved(found.join(runs, "h").select("id", "key", "lo", "hi", "mixed"))
     sure = met.where("NOT mixed").select("id", "key", "lo", (F.col("hi") + passage).alias("hi"))
     open_ = met.where("mixed").groupBy("id", "key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
