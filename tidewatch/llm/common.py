@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.session import shared_folder
+from tidewatch.session import shared_folder, work_path
 
 # Rows and bytes of one Arrow batch handed to a Python worker.
 BATCH_ROWS = 2048
@@ -33,6 +33,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written as Parquet to the shared folder: for many rows, smaller than a checkpoint."""
+    path = work_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def row_key(df: DataFrame) -> Column:
     """A number made of all columns of a row: equal rows have equal keys."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bounded_batches, raw_texts, row_key, saved
+from tidewatch.llm.common import bounded_batches, raw_texts, row_key, saved, stored
 
 # Words of a passage, and words whose hash orders the positions. A passage has `PASSAGE - PREFIX + 1` places for its anchor.
 PASSAGE, GRAM, PREFIX = 50, 8, 19
@@ -133,12 +133,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ends = [f(c).alias(f"{n}_{c}") for c in ("ctx", "key") for n, f in (("least", F.min), ("most", F.max))]
     runs = found.groupBy("h").agg(*ends).where("least_key <> most_key")
     runs = saved(runs.select("h", (F.col("least_ctx") != F.col("most_ctx")).alias("mixed")))  # so that a hot run's join can be split
-    met = saved(found.join(runs, "h").select("id", "key", "lo", "hi", "mixed"))
+    met = stored(found.join(runs, "h").select("id", "key", "lo", "hi", "mixed"), "anchors")
     sure = met.where("NOT mixed").select("id", "key", "lo", (F.col("hi") + passage).alias("hi"))
     open_ = met.where("mixed").groupBy("id", "key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     open_ = open_.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "ranges")
     texts = rows.join(open_, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
-    windows = saved(_windows(texts.select("id", "key", "text", "ranges"), passage))
+    windows = stored(_windows(texts.select("id", "key", "text", "ranges"), passage), "windows")
     twice = windows.groupBy("hash").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").select("hash")
+    twice = saved(twice)
     extended = windows.join(twice, "hash").select("id", "key", F.col("start").alias("lo"), (F.col("start") + passage).alias("hi"))
     return _merged(sure.unionByName(extended))
