@@ -39,8 +39,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tidewatch-{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder, which is deleted when the driver ends."""
+    context = spark.sparkContext
+    own = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tidewatch-{context.applicationId}")
+    store = own.getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(own)
+    store.deleteOnExit(own)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
