@@ -30,7 +30,7 @@ def odd_texts() -> list[tuple[int | None, str | None]]:
         (1, body),
         (2, body),
         (2, body),
-        (3, body.upper()),
+        (3, body.encode().upper().decode()),
         (4, None),
         (5, ""),
         (6, " \t\n "),

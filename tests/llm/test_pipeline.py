@@ -31,7 +31,8 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
             out.write.parquet(f"{folder}/{n}")
             docs = spark.read.parquet(f"{folder}/{n}")
     ids = [r["doc_id"] for r in out.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 8, 11, 12] and None not in ids
+    good = {i for i, t in rows.odd_texts() if not base_counts(t)[-1]}
+    assert sorted(ids, key=str) == sorted(good - {2, 3, None}, key=str)  # copies, and the one without id has leaked
 
 
 def test_empty_tables(spark, tmp_path):
@@ -46,7 +47,8 @@ def test_against_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert all(judged[i]["base_failed"] == base_counts(t)[-1] for i, t in texts.items())
     left = [(i, t) for i, t in sorted(texts.items()) if judged[i]["kept"]]
-    left = [(i, t) for i, t in left if (i, format(fingerprint(t), "016x"), i) in set(expected(left))]
+    groups = set(expected(left))
+    left = [(i, t) for i, t in left if (i, format(fingerprint(t), "016x"), i) in groups]
 
     def plain(text):
         return b" " + b" ".join(decontaminate.terms(text)) + b" "

@@ -42,7 +42,7 @@ def test_empty(spark):
 def test_outliers_per_group(spark):
     clean = [(i, rows.prose(40 + i % 200, 1000 + i)) for i in range(1, 420)]
     junk = [(1000 + i, re.sub(" ", "%%% ", rows.prose(60, i))) for i in range(30)] + [(2000 + i, rows.prose(60, i).upper()) for i in range(20)]
-    got = {r["id"]: r for r in quality.judged(rows.docs(spark, clean + junk), min_rows=100).collect()}
+    got = {r["id"]: r for r in quality.judged(rows.docs(spark, clean + junk), min_rows=50).collect()}
     assert all(got[i]["kept"] for i, _ in clean)
     assert not any(got[i]["kept"] for i, _ in junk)
 

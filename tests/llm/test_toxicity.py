@@ -17,8 +17,8 @@ def area(scores, labels):
     return (rank[labels == 1].sum() - good * (good - 1) / 2) / (good * (len(labels) - good))
 
 
-def test_pairs_are_learnt():
-    """Insult and mention together are toxic, each alone is not: no sum of weights can tell."""
+def test_an_insult_with_a_mention():
+    """Together they are toxic, each alone is not."""
     draw = np.random.default_rng(1)
     terms = toxicity.Terms(toxicity.SLOTS)
     lists, labels = [], []
