@@ -171,6 +171,29 @@ def test_tables_and_sheets(spark, tmp_path):
     assert rows(landed.read_sheet(spark, str(tmp_path / "sheet.csv"), "keep_names")) == [(2, "a"), (3, None), (4, "c")]
 
 
+def test_jdbc_options(spark):
+    """The options alone: no database may run here."""
+
+    class Reader:
+        seen: dict = {}
+
+        def format(self, name):
+            self.seen["format"] = name
+            return self
+
+        def options(self, **given):
+            self.seen.update(given)
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(1, 2, "more")], "id bigint, clock bigint, other string")
+
+    fake = type("Session", (), {"read": Reader()})()
+    got = landed.read_table(fake, "proxy_history", jdbc={"url": "jdbc:x", "user": "u"})
+    assert rows(got) == [(1, 2)] and got.columns == ["id", "clock"]
+    assert Reader.seen == {"format": "jdbc", "dbtable": "proxy_history", "url": "jdbc:x", "user": "u"}
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"a": 1}\n{"a": 2}\n')
     assert rows(landed.read_json_lines(spark, str(tmp_path), "a int")) == [(1,), (2,)]

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.ordered import concat_ordered
 
-# Name prefixes.
+# Name prefixes, view names and view texts.
 FIELD_PREFIX = "x_"
 CATALOG_PREFIX = "waf_"
+VIEW_PREFIX = "uv_"
+FIELD_TAG = '  <field name="%s"/>\n'
+LIST_VIEW = '<tree string="%s">\n%s</tree>'
+FORM_VIEW = '<?xml version="1.0"?>\n<form string="%s">\n<sheet>\n%s</sheet></form>'
 
 
 def with_prefix(df: DataFrame, name: str, prefix: str) -> DataFrame:
@@ -21,23 +25,21 @@ def with_prefix(df: DataFrame, name: str, prefix: str) -> DataFrame:
 def model_views(fields: DataFrame, prefix: str = FIELD_PREFIX) -> DataFrame:
     """List and form view text per model from its fields in order; a model without fields gets empty ones."""
     tagged = with_prefix(fields, "field_name", prefix).withColumn(
-        "_tag", F.format_string('  <field name="%s"/>\n', "field_name")
+        "_tag", F.format_string(FIELD_TAG, "field_name")
     )
     body = concat_ordered(tagged, ["model"], "seq", "_tag", "_xml", sep="")
     views = fields.select("model").distinct().join(body, "model", "left")
     xml = F.coalesce(F.col("_xml"), F.lit(""))
 
     def name(kind: str) -> Column:
-        return F.concat(F.lit("uv_"), F.col("model"), F.lit(f"_{kind}"))
+        return F.concat(F.lit(VIEW_PREFIX), F.col("model"), F.lit(f"_{kind}"))
 
     return views.select(
         "model",
         name("list").alias("list_name"),
-        F.format_string('<tree string="%s">\n%s</tree>', name("list"), xml).alias("list_xml"),
+        F.format_string(LIST_VIEW, name("list"), xml).alias("list_xml"),
         name("form").alias("form_name"),
-        F.format_string(
-            '<?xml version="1.0"?>\n<form string="%s">\n<sheet>\n%s</sheet></form>', name("form"), xml
-        ).alias("form_xml"),
+        F.format_string(FORM_VIEW, name("form"), xml).alias("form_xml"),
     )
 
 

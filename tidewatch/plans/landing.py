@@ -86,16 +86,16 @@ def json_lines(t: Tables) -> DataFrame:
 @query(
     "job_table",
     """
-    SELECT 'http://h' || n_regionkey || '/purl?day=dstr' AS httpurl, lower(n_name) AS tblname, 'list/' || n_nationkey AS purl FROM nation
+    SELECT 'http://h' || c_nationkey || '/purl?day=dstr' AS httpurl, lower(c_name) AS tblname, 'list/' || c_custkey AS purl FROM customer
     """,
 )
 def job_table(t: Tables) -> DataFrame:
     path = work_path(t.spark, "jobs")
-    jobs = t.nation.select(
-        F.concat(F.lit("http://h"), "n_regionkey", F.lit("/purl?day=dstr")).alias("httpurl"),
-        F.lower("n_name").alias("tblname"),
-        F.concat(F.lit("list/"), "n_nationkey").alias("purl"),
-        "n_nationkey",
+    jobs = t.customer.select(
+        F.concat(F.lit("http://h"), "c_nationkey", F.lit("/purl?day=dstr")).alias("httpurl"),
+        F.lower("c_name").alias("tblname"),
+        F.concat(F.lit("list/"), "c_custkey").alias("purl"),
+        "c_mktsegment",
     )
     jobs.write.parquet(f"{path}/etl_jobs")
     return landed.read_table(t.spark, "etl_jobs", path)
