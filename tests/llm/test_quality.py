@@ -63,3 +63,13 @@ def test_query(spark):
     right = {(r["quality"], r["kept"]): r["count"] for r in marked.groupBy("quality", "kept").count().collect()}
     assert right.get((1, False), 0) <= 0.005 * right[1, True]
     assert right.get((0, True), 0) <= 0.05 * right[0, False]
+
+
+def test_many_groups_give_the_same(spark, monkeypatch):
+    """Estimates that are too many to broadcast meet the rows in parts."""
+    texts = [(i, rows.prose(40 + i % 90, 1000 + i)) for i in range(1, 150)] + [(1000 + i, rows.prose(60, i).upper()) for i in range(8)]
+    columns = ("id", "kept", "distance")
+    near = [(i, k, d and round(d, 6)) for i, k, d in rows.pairs(quality.judged(rows.docs(spark, texts), min_rows=30), *columns)]
+    monkeypatch.setattr(quality, "MOST_GROUPS", 0)
+    far = [(i, k, d and round(d, 6)) for i, k, d in rows.pairs(quality.judged(rows.docs(spark, texts), min_rows=30), *columns)]
+    assert near == far

@@ -30,7 +30,9 @@ FLOORS = {"x0": 0.04, "x1": 0.045, "x2": 0.03, "x3": 0.04, "x4": 0.25, "x5": 0.2
 # Bins: per doubling of a squared distance, and per unit of a statistic.
 PER_DOUBLING, PER_UNIT = 8, 1000
 
-_BYTES = bytes(range(256))
+# Groups whose estimates (about 600 bytes each) may be broadcast, and parts of a group otherwise.
+MOST_GROUPS, SALTS = 20_000, 32
+
 _UPPER = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b not in SYMBOLS)
@@ -141,7 +143,7 @@ def _grouped(rows: DataFrame, by: list[str], min_rows: int) -> DataFrame:
 def _start(rows: DataFrame, names: list[str]) -> DataFrame:
     """Median and quartile range of each statistic and group, from counts by fine bins: `grp`, `center`, `precision`."""
     parts = F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(x) * PER_UNIT).alias("bin")) for i, x in enumerate(names)])
-    bins = rows.select("grp", F.explode(parts).alias("p")).groupBy("grp", "p.d", "p.bin").agg(F.count(F.lit(1)).alias("n"))
+    bins = saved(rows.select("grp", F.explode(parts).alias("p")).groupBy("grp", "p.d", "p.bin").agg(F.count(F.lit(1)).alias("n")))
     line = W.partitionBy("grp", "d").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy("grp", "d")
     ranked = bins.withColumn("upto", F.sum("n").over(line)).withColumn("all", F.sum("n").over(whole))
@@ -164,9 +166,19 @@ def _distance(names: list[str]) -> Column:
 
 
 def _binned(rows: DataFrame, params: DataFrame, names: list[str]) -> DataFrame:
-    """Rows with their distance and its bin on a doubling scale."""
+    """Rows with their distance and its bin on a doubling scale.
+
+    The estimates of up to `MOST_GROUPS` groups go to all tasks, and no row is shuffled for them. Those of more groups are
+    repeated under `SALTS` numbers, so that the rows of a hot group meet them in as many tasks.
+    """
     known = params.select(F.col("grp").alias("_grp"), "center", "precision")
-    far = rows.join(known, F.col("grp") == F.col("_grp")).withColumn("d2", F.greatest(_distance(names), F.lit(0.0)))
+    met = F.col("grp") == F.col("_grp")
+    if known.limit(MOST_GROUPS + 1).count() <= MOST_GROUPS:
+        far = rows.join(F.broadcast(known), met)
+    else:
+        known = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        far = rows.join(known, met & (F.pmod("key", F.lit(SALTS)) == F.col("_part"))).drop("_part")
+    far = far.withColumn("d2", F.greatest(_distance(names), F.lit(0.0)))
     level = F.floor(F.log2(F.col("d2") + 1e-9) * PER_DOUBLING)
     return far.withColumn("bin", level).drop("_grp")
 
@@ -181,12 +193,13 @@ def _cut(bins: DataFrame, share: float) -> DataFrame:
 def _step(rows: DataFrame, params: DataFrame, names: list[str]) -> DataFrame:
     """Mean and covariance of the nearest `COVERAGE` of each group.
 
-    Sums are made per group and distance bin, map-side first, so a step is one pass and a hot group is some hundred rows.
+    Sums are made per group and distance bin, map-side first, so a step is one pass. They are saved before groups are gathered:
+    else the windows below would have Spark shuffle what each task has summed by group alone.
     """
     p, floors = len(names), np.array([FLOORS[x] for x in names])
     sums = {f"s{i}": F.sum(F.col(x)) for i, x in enumerate(names)}
     sums |= {f"q{i}_{j}": F.sum(F.col(names[i]) * F.col(names[j])) for i in range(p) for j in range(i, p)}
-    bins = _binned(rows, params, names).groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()])
+    bins = saved(_binned(rows, params, names).groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()]))
     total = _cut(bins, COVERAGE).groupBy("grp").agg(F.sum("n").cast("double").alias("n"), *[F.sum(k).alias(k) for k in sums])
 
     @F.arrow_udf("struct<center:array<double>,precision:array<double>>")
@@ -236,7 +249,7 @@ def judged(
     for _ in range(ROUNDS):
         params = saved(_step(known, params, names))
     far = _binned(known, params, names).select("grp", "key", "d2", "bin")
-    bins = far.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))
+    bins = saved(far.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n")))
     middle = saved(_cut(bins, 0.5).groupBy("grp").agg(F.max("bin").alias("mid")))
     scale = F.pow(F.lit(2.0), (F.col("mid") + 0.5) / PER_DOUBLING) / _CHI2_MEDIAN
     scaled = far.join(middle, "grp").select("key", (F.col("d2") / scale).alias("distance"))
