@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,7 +132,7 @@ def _letter_parts(text: Column) -> Column:
 
     The parts of the pattern are joined by runs of any text, each as long as can be. So every part lies at its last
     place that leaves room for those behind it, and is found from the end of the text on, at a cost that grows with the text's
-    length. A text without the salutation is not searched at all.
+    length. A text without the salutation or another of the marks is not searched at all.
     """
 
     def from_end(left: Column, names: list[str], groups: list[Column]) -> Column:
@@ -142,7 +144,8 @@ def _letter_parts(text: Column) -> Column:
     def salutation(left: Column, groups: list[Column]) -> Column:
         return _let(_last_part(left, "\n", LETTER_NAME, least=1), lambda p: F.when(p["group"].isNotNull(), F.array(p["group"], *groups)))
 
-    return from_end(F.when(text.contains(SALUTATION), text), list(LETTER_PARTS), [])
+    marks = [SALUTATION, *LETTER_PLACE, *[mark for mark, _ in LETTER_PARTS.values()]]
+    return from_end(F.when(reduce(and_, [text.contains(m) for m in marks]), text), list(LETTER_PARTS), [])
 
 
 def _area(parts: Column) -> Column:
