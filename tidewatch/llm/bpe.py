@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bounded_batches, piece_calls
+from tidewatch.llm.common import bounded_batches, piece_calls, sent_by_value
 
 # Characters after which a text is cut at the next safe space.
 PIECE_CHARS = 1 << 20
@@ -200,12 +201,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     spark = docs.sparkSession
     bounded_batches(spark)
     tokens = read_ranks(ranks_path)
-    sent = spark.sparkContext.broadcast((tokens, PairTable(tokens)))
+    sent = sent_by_value(spark, (tokens, PairTable(tokens)))
     kinds = {"n_tokens": "long"} | ({"ids": "binary"} if ids else {}) | ({"ids_sha256": "string", "decoded_sha256": "string"} if digests else {})
 
     @F.arrow_udf("struct<" + ",".join(f"{k}:{v}" for k, v in kinds.items()) + ">")
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names, table = sent.value
+        names, table = pickle.loads(sent.value)
         encoder = Encoder(table, pattern)
         for batch in batches:
             packed = encoder.packed(["" if t is None else t for t in batch.to_pylist()])

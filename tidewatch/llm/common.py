@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def sent_by_value(spark: SparkSession, value):
+    """A broadcast of the pickled value with its class, for workers without this package; `pickle.loads` restores it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder of the cluster, so that later uses read it instead of making it anew."""
     context = df.sparkSession.sparkContext

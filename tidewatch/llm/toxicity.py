@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bounded_batches, saved
+from tidewatch.llm.common import bounded_batches, saved, sent_by_value
 
 # Slots of hashed terms, factors of a term, and beginnings of a word that are terms beside the word.
 SLOTS, FACTORS, HEADS = 1 << 18, 4, (3, 4, 5, 6, 7)
@@ -167,11 +168,11 @@ def with_scores(docs: DataFrame, machine: Machine, text_col: str = "text", name:
     gives one row, an empty table none."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    sent = spark.sparkContext.broadcast(machine)
+    sent = sent_by_value(spark, machine)
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        terms, model = Terms(SLOTS), sent.value
+        terms, model = Terms(SLOTS), pickle.loads(sent.value)
         for batch in batches:
             yield pa.array(model.scores([terms.of(t or "") for t in batch.to_pylist()]))
 
