@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import rows
 from tidewatch.llm import plans, quality
@@ -47,6 +48,19 @@ def test_outliers_per_group(spark):
     assert not any(got[i]["kept"] for i, _ in junk)
 
 
+@pytest.mark.parametrize("share", [0.6, 0.9])
+@pytest.mark.parametrize("near", [False, True])
+def test_copies_of_a_text_reject_no_clean_rows(spark, share, near):
+    clean = [(i, rows.prose(40 + i % 200, 1000 + i)) for i in range(1, 200)]
+    body = rows.prose(150, 5).split(" ")
+    copies = [(3000 + i, " ".join([*body[: i % 100], "altered", *body[i % 100 :]] if near else body)) for i in range(int(len(clean) * share / (1 - share)))]
+    junk = [(9000 + i, re.sub(" ", "%%% ", rows.prose(60, i))) for i in range(10)]
+    table = rows.docs(spark, clean + copies + junk).withColumn("lang", F.lit("en"))
+    got = {r["id"]: r["kept"] for r in quality.judged(table).collect()}
+    assert all(got[i] for i, _ in clean + copies)
+    assert not any(got[i] for i, _ in junk)
+
+
 def test_few_rows_are_judged_by_the_base_rule(spark):
     got = quality.judged(rows.docs(spark))
     assert got.where("kept = base_failed").count() == 0

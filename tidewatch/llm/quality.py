@@ -24,6 +24,8 @@ ROUNDS = 5
 # Squared distance, in units in which its median is that of a normal sample, beyond which a document is rejected.
 # Clean text is not normal: the limit lies far beyond its usual quantiles, and only gross outliers go.
 LIMIT = 200.0
+# Least unit of the squared distance. Clean groups have one of 0.08 to 0.1 (0.1 GB check tables); copies alone would have none.
+LEAST_SCALE = 0.1
 # Least deviation of each transformed statistic. Most texts have no digits and repeat nothing, so the nearest rows
 # show no spread there; lists of numbers, addresses and some repeated lines are still ordinary text.
 FLOORS = {"x0": 0.04, "x1": 0.045, "x2": 0.03, "x3": 0.04, "x4": 0.25, "x5": 0.25, "x6": 0.25, "x7": 0.1}
@@ -216,6 +218,14 @@ def _step(rows: DataFrame, params: DataFrame, names: list[str]) -> DataFrame:
     return total.select("grp", estimate(F.array("n", *sums)).alias("e")).select("grp", "e.center", "e.precision")
 
 
+def _middle(far: DataFrame, names: list[str]) -> DataFrame:
+    """The bin of each group's median distance, `mid`: over all rows or over those of distinct statistics, the greater one."""
+    kinds = far.groupBy("grp", "bin", F.xxhash64(*names).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    bins = saved(kinds.groupBy("grp", "bin").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")))
+    halves = [_cut(bins.select("grp", "bin", F.col(c).alias("n")), 0.5).select("grp", "bin") for c in ("n", "kinds")]
+    return halves[0].unionByName(halves[1]).groupBy("grp").agg(F.max("bin").alias("mid"))
+
+
 # Median of the chi-square distribution with as many degrees of freedom as there are statistics.
 _CHI2_MEDIAN = 7.344
 
@@ -233,7 +243,8 @@ def judged(
     The base rule fails texts of under ten words or with over 20 % of words in repeated windows. Of the others, the
     statistics of each language and source give a robust centre and covariance: from medians and quartile ranges,
     `ROUNDS` steps each take the nearest three quarters of the rows and their mean and covariance, which
-    never raises the determinant. A document further than `limit` is rejected. Groups of fewer than `min_rows` rows
+    never raises the determinant. Distances are divided by their median over the rows or, if greater, over the rows of distinct
+    statistics, so that copies of one text do not shrink the unit. A document further than `limit` is rejected. Groups of fewer than `min_rows` rows
     are taken together per language, then all together; where even these are too few, the base rule decides alone.
     A null language or source is a value of its own. All rows enter every estimate. Null and empty texts have no
     words and fail. Repeated rows count as often as they come; an empty table gives none.
@@ -249,9 +260,8 @@ def judged(
     for _ in range(ROUNDS):
         params = saved(_step(known, params, names))
     far = _binned(known, params, names).select("grp", "key", "d2", "bin")
-    bins = saved(far.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n")))
-    middle = saved(_cut(bins, 0.5).groupBy("grp").agg(F.max("bin").alias("mid")))
-    scale = F.pow(F.lit(2.0), (F.col("mid") + 0.5) / PER_DOUBLING) / _CHI2_MEDIAN
+    middle = saved(_middle(_binned(known, params, names), names))
+    scale = F.greatest(F.pow(F.lit(2.0), (F.col("mid") + 0.5) / PER_DOUBLING) / _CHI2_MEDIAN, F.lit(LEAST_SCALE))
     scaled = far.join(middle, "grp").select("key", (F.col("d2") / scale).alias("distance"))
     scaled = scaled.groupBy("key").agg(F.max("distance").alias("distance"))  # equal rows lie in one group at one distance
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
