@@ -61,6 +61,17 @@ def test_copies_of_a_text_reject_no_clean_rows(spark, share, near):
     assert not any(got[i] for i, _ in junk)
 
 
+def test_small_groups_beside_large_ones_are_judged(spark):
+    """By all rows of their language, or by all rows of the table."""
+    texts = [(i, rows.prose(40 + i % 200, 1000 + i)) for i in range(1, 361)]
+    junk = [(9000 + i, re.sub(" ", "%%% ", rows.prose(60, i))) for i in range(6)]
+    table = rows.docs(spark, texts + junk).withColumn("lang", F.when(F.col("doc_id") % 30 == 0, "fr").when(F.col("doc_id") == 9001, "fr").otherwise("en"))
+    table = table.withColumn("source", F.when(F.col("doc_id") % 30 == 1, "tiny").when(F.col("doc_id") >= 9000, "tiny").otherwise("s"))
+    got = {r["id"]: (r["kept"], r["distance"]) for r in quality.judged(table).collect()}
+    assert all(got[i][0] and got[i][1] is not None for i, _ in texts)
+    assert not any(got[i][0] for i, _ in junk)
+
+
 def test_few_rows_are_judged_by_the_base_rule(spark):
     got = quality.judged(rows.docs(spark))
     assert got.where("kept = base_failed").count() == 0

@@ -16,7 +16,7 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_digits", "n_echoes")
 
-# Rows that a group needs for an estimate of its own; smaller groups are put together.
+# Rows that a group needs for an estimate of its own; rows of smaller groups are judged by that of a wider one.
 MIN_ROWS = 200
 # Share of the rows that the covariance of least determinant is sought over, and rounds towards it.
 COVERAGE = 0.75
@@ -128,18 +128,27 @@ def statistics() -> dict[str, Column]:
 
 
 def _grouped(rows: DataFrame, by: list[str], min_rows: int) -> DataFrame:
-    """`rows` with `grp`: all columns of `by`, or fewer for groups of less than `min_rows` rows, then one rest.
+    """`rows` with `grp`, the group whose estimate judges them, and `feeds`, the groups whose estimates they enter.
 
-    Rows that stay in too small a rest have a null group.
+    A row is judged by its group of all columns of `by`, or of fewer where that has less than `min_rows` rows, and last by all rows.
+    It enters each of these groups that judges some row. In a table of less than `min_rows` rows `grp` is null.
     """
-    out = rows.withColumn("grp", F.lit(None).cast("string"))
-    for used in range(len(by), -1, -1):
-        name = F.concat_ws("\x1f", F.lit(str(used)), *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in by[:used]])
-        out = out.withColumn("_name", F.when(F.col("grp").isNull(), name))
-        big = out.where("_name IS NOT NULL").groupBy("_name").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
-        big = big.select(F.col("_name").alias("_big"))
-        out = out.join(big, F.col("_name") == F.col("_big"), "left").withColumn("grp", F.coalesce("grp", "_big")).drop("_name", "_big")
-    return out
+    used = range(len(by), -1, -1)
+    name = {
+        n: F.concat_ws("\x1f", F.lit(str(n)), *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in by[:n]])
+        for n in used
+    }
+    groups = saved(rows.groupBy(name[len(by)].alias("_whole"), *by).agg(F.count(F.lit(1)).alias("_n")))
+    out = groups
+    for n in used:
+        big = groups.groupBy(name[n].alias("_name")).agg(F.sum("_n").alias("_all")).where(F.col("_all") >= min_rows)
+        out = out.join(big.select(F.col("_name").alias(f"_big{n}")), name[n] == F.col(f"_big{n}"), "left")
+    out = saved(out.withColumn("grp", F.coalesce(*[F.col(f"_big{n}") for n in used])))
+    judges = out.where("grp IS NOT NULL").select(F.col("grp").alias("_judge")).distinct()
+    for n in used:
+        out = out.join(judges.select(F.col("_judge").alias(f"_feed{n}")), F.col(f"_big{n}") == F.col(f"_feed{n}"), "left")
+    known = out.select("_whole", "grp", F.array_compact(F.array(*[F.col(f"_feed{n}") for n in used])).alias("feeds"))
+    return rows.join(known, name[len(by)] == F.col("_whole"), "left").drop("_whole")
 
 
 def _start(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -244,8 +253,9 @@ def judged(
     statistics of each language and source give a robust centre and covariance: from medians and quartile ranges,
     `ROUNDS` steps each take the nearest three quarters of the rows and their mean and covariance, which
     never raises the determinant. Distances are divided by their median over the rows or, if greater, over the rows of distinct
-    statistics, so that copies of one text do not shrink the unit. A document further than `limit` is rejected. Groups of fewer than `min_rows` rows
-    are taken together per language, then all together; where even these are too few, the base rule decides alone.
+    statistics, so that copies of one text do not shrink the unit. A document further than `limit` is rejected. Rows of groups of fewer
+    than `min_rows` rows are judged by the estimate over all rows of their language, and failing that over all rows of the table;
+    in a table of fewer rows than that the base rule decides alone.
     A null language or source is a value of its own. All rows enter every estimate. Null and empty texts have no
     words and fail. Repeated rows count as often as they come; an empty table gives none.
     """
@@ -254,13 +264,13 @@ def judged(
     keyed = docs.select(F.col(id_col).alias("id"), *groups, F.col(text_col).alias("text"), row_key(docs).alias("key"))
     counted = saved(with_counts(keyed).drop("text").withColumn("base_failed", base_failed()))
     good = counted.where("NOT base_failed").withColumns(statistics())
-    rows = saved(_grouped(good.select(*parts, "key", *names), parts, min_rows).select("grp", "key", *names))
-    known = rows.where("grp IS NOT NULL")
-    params = saved(_start(known, names))
+    rows = saved(_grouped(good.select(*parts, "key", *names), parts, min_rows).select("grp", "feeds", "key", *names))
+    fed = rows.select(F.explode("feeds").alias("grp"), "key", *names)
+    params = saved(_start(fed, names))
     for _ in range(ROUNDS):
-        params = saved(_step(known, params, names))
-    far = _binned(known, params, names).select("grp", "key", "d2", "bin")
-    middle = saved(_middle(_binned(known, params, names), names))
+        params = saved(_step(fed, params, names))
+    far = _binned(rows.where("grp IS NOT NULL"), params, names).select("grp", "key", "d2", "bin")
+    middle = saved(_middle(_binned(fed, params, names), names))
     scale = F.greatest(F.pow(F.lit(2.0), (F.col("mid") + 0.5) / PER_DOUBLING) / _CHI2_MEDIAN, F.lit(LEAST_SCALE))
     scaled = far.join(middle, "grp").select("key", (F.col("d2") / scale).alias("distance"))
     scaled = scaled.groupBy("key").agg(F.max("distance").alias("distance"))  # equal rows lie in one group at one distance
