@@ -12,14 +12,15 @@ from tidewatch.llm.trigrams import ANY, trigram_query
 
 
 class Rule(NamedTuple):
-    """A kind of secret: its pattern, the group that must reach `least` characters (shorter matches drop), and the
-    pattern by which such matches are struck out, if it is another."""
+    """A kind of secret: its pattern, the group that must reach `least` characters (shorter matches drop), the
+    pattern by which such matches are struck out, if it is another, and whether it is struck out before the other rules."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
     strike: str = ""
+    first: bool = False
 
 
 # The base rules, then rules for tokens of public services.
@@ -30,8 +31,16 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 20, "AKIA[A-Z0-9]{16,}"),
     Rule("hex", "[0-9a-f]{24,}"),
 )
+# A private key reaches to the next END line of one, before any other BEGIN or END. Without that, over its header lines and
+# base64 runs, and a last short line of base64. Line ends may be spelled out as in JSON. Loops are possessive: none backtracks.
+_BEGIN = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+_TO_END = r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+_GAP = r"(?:[\s>#*\"',+]|\\[nrt])"
+_HEADERS = rf"(?:{_GAP}*+(?:Proc-Type|DEK-Info|Comment|Version): ?[A-Za-z0-9,. -]*+)*+"
+_SHORT = r"[ \t\r]*+(?:\n|\\n)[ \t>#*]*+[A-Za-z0-9+/]{1,76}+={0,2}+(?=[ \t\r]*+(?:[\n\\\"']|$))"
+_RUNS = rf"(?:(?:{_GAP}++[A-Za-z0-9+/=]{{20,}}+)++(?:{_SHORT})?+)?+"
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", f"{_BEGIN}(?:{_TO_END}|{_HEADERS}{_RUNS})", first=True),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
@@ -132,10 +141,12 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def struck_out(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with every secret replaced by `[its kind]`, rule after rule, in texts that `scan` finds one in. Other texts stay."""
+    """`docs` with every secret replaced by `[its kind]`, rule after rule, in texts that `scan` finds one in. Other texts stay.
+
+    Rules marked `first` come before the others, which else would strike a part of a key and hide the rest from its own rule."""
     text = F.col(text_col)
     clean = text
-    for rule in rules:
+    for rule in sorted(rules, key=lambda r: not r.first):
         clean = F.regexp_replace(clean, F.lit(rule.strike or rule.pattern), F.lit(f"[{rule.kind}]"))
     scanned = scan(docs, rules, id_col, text_col, "_tw_spans")
     return scanned.withColumn(text_col, F.when(F.size("_tw_spans") > 0, clean).otherwise(text)).drop("_tw_spans")
