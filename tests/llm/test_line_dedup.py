@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import rows
+from tidewatch.llm import line_dedup
+
+BLANK = " \t\n\v\f\r"
+LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+
+
+def key_of(line):
+    return line.strip(BLANK).translate(LOWER)
+
+
+def brute(texts, min_chars=40, min_docs=5):
+    """Rows (id, lines, dropped, kept) by the rule as it is written; no id is below every id."""
+    at = defaultdict(set)
+    for i, text in texts:
+        for line in (text or "").split("\n"):
+            if len(key_of(line)) >= min_chars:
+                at[key_of(line)].add(float("-inf") if i is None else i)
+    out = []
+    for i, text in texts:
+        own = float("-inf") if i is None else i
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (len(at[key_of(x)]) >= min_docs and own < max(at[key_of(x)]))]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def got(df, **how):
+    return rows.pairs(line_dedup.without_repeated_lines(df, **how), "id", "n_lines", "n_dropped", "kept")
+
+
+def made(seed, n):
+    draw = random.Random(seed)
+    shared = [rows.prose(12, 100 + k).replace("\n", " ") for k in range(12)] + ["é" * 40, "é" * 39, "short line"]
+    out = []
+    for i in range(n):
+        lines = [draw.choice(shared) for _ in range(draw.randint(0, 9))] + [rows.prose(8, 1000 + i)]
+        lines = [draw.choice(["", " ", "\t"]) + (x.upper() if draw.random() < 0.2 and x.isascii() else x) + draw.choice(["", "\r", "\x0b "]) for x in lines]
+        draw.shuffle(lines)
+        out.append((draw.randint(-40, 40) if seed % 2 else i, "\n".join(lines)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("batches", [1, 4])
+def test_against_brute_force(spark, seed, batches):
+    texts = [*made(seed, 90), *rows.odd_texts()]
+    assert got(rows.docs(spark, texts), batches=batches, fan=2) == brute(texts)
+
+
+def test_a_hot_line_and_few_documents(spark):
+    line = "a line that a third of all documents of the table hold"
+    texts = [(i, f"{line}\n{rows.prose(6, i)}\n{line}") for i in range(60)] + [(100 + i, "another line that only four documents of the table hold") for i in range(4)]
+    out = got(rows.docs(spark, texts))
+    assert out == brute(texts)
+    assert sum(line in kept for *_, kept in out) == 1 and sum("another" in kept for *_, kept in out) == 4
+
+
+def test_runs_give_the_same_however_they_are_compacted(spark):
+    lines = spark.range(600).select((1000 - F.col("id")).alias("id"), (F.col("id") * 7 % 90).alias("a"), F.lit(1).cast("long").alias("b"))
+    found = []
+    for cut, fan in ((600, 3), (100, 2), (60, 3)):
+        runs = line_dedup.LineRuns(spark, 5, fan)
+        for start in range(0, 600, cut):
+            runs.add(lines.where((F.col("id") <= 1000 - start) & (F.col("id") > 1000 - start - cut)))
+        assert all(len(level) < fan for level in runs.levels)
+        found.append(rows.pairs(runs.repeated(), "a", "holder"))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 90
+
+
+def test_a_batch_meets_runs_without_shuffling_them(spark):
+    runs = line_dedup.LineRuns(spark, 5, 10)
+    lines = spark.range(100).select("id", F.col("id").alias("a"), F.col("id").alias("b"))
+    kept, spark_plans = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs.add(lines)
+        plain = runs._written
+        runs._written = lambda run: (spark_plans.append(run._jdf.queryExecution().toString()), plain(run))[1]
+        runs.add(lines)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    physical = spark_plans[0].split("== Physical Plan ==")[1]
+    assert "Bucketed: true" in physical and len(re.findall("Exchange hashpartitioning", physical)) == 1
+
+
+def test_empty_table(spark):
+    assert got(rows.docs(spark, [])) == []

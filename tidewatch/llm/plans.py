@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, suffixes, token_counts, toxicity, warc
+from tidewatch.llm import bpe, decontaminate, licenses, line_dedup, quality, secret_scan, simhash, suffixes, token_counts, toxicity, warc
 from tidewatch.llm.common import saved
 from tidewatch.plans.local import ensure_shared_folder
 from tidewatch.session import work_path
@@ -173,3 +173,22 @@ def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     files = _table(spark, folder, "documents").select("doc_id", "text", F.concat_ws("/", "source", deep, name).alias("path"))
     found = licenses.licences(files)
     return found.select(F.col("id").alias("doc_id"), "path", "licence", F.round("cosine", 4).alias("cosine"), "how")
+
+
+SQL["op13_line_dedup"] = """
+    WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+         l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM t),
+         k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+         r AS (SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+         d AS (SELECT k.*, r.holder IS NOT NULL AND doc_id < r.holder AS gone FROM k LEFT JOIN r USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM d GROUP BY doc_id
+"""
+
+
+@_query
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.without_repeated_lines(_table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
