@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, licenses, line_dedup, quality, secret_scan, simhash, suffixes, token_counts, toxicity, warc
+from tidewatch.llm import bpe, decontaminate, licenses, line_dedup, quality, resampling, secret_scan, simhash, suffixes, token_counts, toxicity, warc
 from tidewatch.llm.common import saved
 from tidewatch.plans.local import ensure_shared_folder
 from tidewatch.session import work_path
@@ -192,3 +192,42 @@ SQL["op13_line_dedup"] = """
 def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.without_repeated_lines(_table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Unsigned CRC-32 of a text `f` in SQL: a table from the reversed polynomial 3988292384, then a step per byte.
+_CRC_TABLE = """(SELECT list(list_reduce(list_prepend(i::BIGINT, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) r(i))"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(strlen(f)), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT)),
+                 lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])))"""
+
+
+def _features_sql(table: str, key: str) -> str:
+    return f"""SELECT {key}, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS f FROM
+                 (SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM {table})"""
+
+
+SQL["op12_resampling"] = f"""
+    WITH df AS MATERIALIZED ({_features_sql("documents", "doc_id")}),
+         bf AS MATERIALIZED ({_features_sql("benchmark", "item_id")}),
+         fs AS (SELECT f, {_CRC} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf), {_CRC_TABLE}),
+         s AS (SELECT bucket, count(*) AS s FROM df JOIN fs USING (f) GROUP BY 1),
+         t AS (SELECT bucket, count(*) AS t FROM bf JOIN fs USING (f) GROUP BY 1),
+         g AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000))
+                                              / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bf) + 10000))))::BIGINT AS gain
+               FROM s FULL JOIN t USING (bucket)),
+         w AS (SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS total FROM df JOIN fs USING (f) JOIN g USING (bucket) GROUP BY 1),
+         d AS (SELECT doc_id, coalesce(n_features, 0) AS n_features,
+                      coalesce(total // n_features - CASE WHEN total % n_features < 0 THEN 1 ELSE 0 END, 0) AS weight,
+                      ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h
+               FROM documents LEFT JOIN w USING (doc_id)),
+         z AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d),
+         k AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS n, count(*) OVER () AS total FROM z WHERE n_features >= 39)
+    SELECT z.doc_id, z.n_features, z.weight, z.score, CASE WHEN k.n <= 25 * k.total // 100 THEN k.n END AS rank FROM z LEFT JOIN k USING (doc_id)
+"""
+
+
+@_query
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = resampling.drawn(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
