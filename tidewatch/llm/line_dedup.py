@@ -196,7 +196,7 @@ def without_repeated_lines(
         edited = rows.withColumn("e", edit("text", F.lit(None).cast(_HASHES)))
     else:
         drops = stored(_dropped_marks(lines.select("id", "a", "b"), stored(repeated, "line-repeated")), "line-drops")
-        drops = drops.withColumnRenamed("id", "_id")
+        drops = drops.withColumnRenamed("id", "_id").hint("merge")  # it grows with the texts, so the plan is the same at every size
         edited = rows.join(drops, F.col("id").eqNullSafe(F.col("_id")), "left").withColumn("e", edit("text", "drops"))
     kept = F.coalesce("e.kept", "text", F.lit("")).alias("kept")
     return edited.select("id", "e.n_lines", "e.n_dropped", kept)
