@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.session import shared_folder, work_path
 
@@ -46,9 +47,23 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hashable(value: Column, kind: T.DataType) -> Column:
+    """`value` with its maps as lists of entries by key and its variants as text, as neither can be hashed."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(_hashable(e["key"], kind.keyType), _hashable(e["value"], kind.valueType)))
+        return F.array_sort(entries)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _hashable(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[_hashable(value[f.name], f.dataType) for f in kind.fields]))
+    return F.to_json(value) if isinstance(kind, T.VariantType) else value
+
+
 def row_key(df: DataFrame) -> Column:
-    """A number made of all columns of a row: equal rows have equal keys."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    """A number made of all columns of a row: equal rows have equal keys, whatever the order of their maps."""
+    told = {f.name: f.dataType for f in df.schema.fields}
+    odd = {c: kind for c, kind in told.items() if any(word in kind.simpleString() for word in ("map<", "variant"))}
+    return F.xxhash64(*[_hashable(F.col(f"`{c}`"), odd[c]) if c in odd else F.col(f"`{c}`") for c in sorted(told)])
 
 
 def without_rows(df: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:

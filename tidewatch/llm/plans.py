@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, licenses, line_dedup, quality, resampling, secret_scan, simhash, suffixes, token_counts, toxicity, warc
+from tidewatch.llm import bpe, collocations, decontaminate, licenses, line_dedup, quality, resampling, secret_scan, simhash, suffixes, token_counts, toxicity, warc
 from tidewatch.llm.common import saved
 from tidewatch.plans.local import ensure_shared_folder
 from tidewatch.session import work_path
@@ -231,3 +231,32 @@ SQL["op12_resampling"] = f"""
 def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
     found = resampling.drawn(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+SQL["op11_collocations"] = """
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+         w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\x09]+'), lambda x: x <> '') AS ws FROM p),
+         o AS (SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w UNION ALL
+               SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w UNION ALL
+               SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+         f AS MATERIALIZED (SELECT lang, k, phrase, count(*)::HUGEINT AS n FROM o GROUP BY ALL),
+         c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+         u AS MATERIALIZED (SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS first, array_to_string(ws[cut + 1:], ' ') AS rest
+               FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+         s AS (SELECT u.lang, u.phrase, a, cut, l.n AS l, r.n AS r, (1000000 * a * a) // (l.n * r.n) AS score
+               FROM u JOIN f l ON l.lang = u.lang AND l.phrase = u.first JOIN f r ON r.lang = u.lang AND r.phrase = u.rest),
+         b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+         g AS (SELECT lang, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase, a FROM c WHERE k = 3),
+         kept AS (SELECT b.* FROM b LEFT JOIN (SELECT lang, phrase, max(a) AS held FROM g GROUP BY ALL) h USING (lang, phrase)
+                  WHERE held IS NULL OR 100 * held < 50 * a),
+         t AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank, phrase,
+           a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM kept JOIN t USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@_query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
