@@ -139,3 +139,48 @@ def test_query_finds_all_copies(spark):
     truth = {(r["doc_id"], i) for r in spark.read.parquet(f"{folder}/documents.parquet").collect() for i, t in items if t in plain(r["text"])}
     got = {(r["doc_id"], r["item_id"]) for r in plans.queries()["op10_decontaminate"](spark, folder).collect()}
     assert truth and truth <= got and len(got - truth) <= 0.02 * len(truth) + 1
+
+
+@pytest.mark.parametrize("given", [False, True])
+def test_seeds_lose_no_finding(spark, given):
+    """Every stretch of a text that keeps enough of an item is found, whatever words were taken from it, and nothing else is."""
+    draw = random.Random(21)
+    items = [(n, rows.prose(8 + 6 * n, 700 + n), " ".join(draw.sample(rows.WORDS, 2)) if given else None) for n in range(16)]
+    texts = [(n, rows.prose(80, 300 + n)) for n in range(100)]
+    for n in range(200):
+        _, text, answer = items[n % 16]
+        keep = draw.uniform(0.5, 1.0)
+        words = [w for w in text.split() if draw.random() < keep]
+        words += [answer] if answer and draw.random() < 0.7 else []
+        texts.append((1000 + n, f"{rows.prose(draw.randint(0, 40), n)} {' '.join(words)} {rows.prose(40, 60 + n)}"))
+    block = decontaminate.Items(items)
+    table = rows.docs(spark, texts).selectExpr("text")
+    decontaminate.fitted(table, block)
+
+    def holds(ids, own, answer, slack):
+        reach = len(own) + len(own) // 2
+        for at in range(max(1, len(ids) - len(own) + 1)):
+            share = decontaminate.common_words(own, ids[at : at + reach]) / len(own)
+            answered = bool(answer) and set(answer) <= set(ids[at : at + reach].tolist())
+            if share >= decontaminate.COPY + slack or (share >= decontaminate.PARAPHRASE + slack and answered):
+                return True
+        return False
+
+    sure, possible = set(), set()
+    for doc, text in texts:
+        ids = block.numbers(text)
+        for item, own, answer in zip(block.owner, block.ids, block.answers, strict=True):
+            if len(set(ids.tolist()) & set(own.tolist())) >= 0.3 * len(set(own.tolist())):
+                if holds(ids, own, answer, 0.13):
+                    sure.add((doc, item))
+                if holds(ids, own, answer, 0.0):
+                    possible.add((doc, item))
+    got = found(spark, texts, items, answer_col="answer")
+    assert len(sure) > 40 and sure <= got <= possible and len(got) > 0.9 * len(possible)
+
+
+def test_equal_weights_at_every_size():
+    """Weights depend on the counts alone, without steps."""
+    counts = np.arange(0, 1000.0)
+    weights = decontaminate.term_weights(counts, 1000)[1:]
+    assert (np.diff(weights) < 0).all() and np.abs(np.diff(weights)).max() <= np.log(3 / 2) + 1e-9

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,24 +15,21 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import bounded_batches, row_key, saved, sent_by_value
 
 # Words of the benchmark that one search takes; a larger benchmark is searched in blocks.
-BLOCK_WORDS = 16_000
+BLOCK_WORDS = 64_000
 # Items longer than this are searched for in parts.
 PART_WORDS = 64
 # Words of a passage, by the least words of the items that it is compared with; passages start every half of it.
 PASSAGES = {8: 1, 16: 12, 32: 24}
 # Corpus passages that the latent space is fitted on, beside all of the benchmark's: those of the smallest hashes.
 FIT_PASSAGES = 4096
-# Weight of the benchmark's rows in the fit. Rank of the randomised decomposition beyond one axis per item part, and
-# its oversampling: the benchmark's own directions come first, then the strongest of the corpus.
-ITEM_WEIGHT, RANK, EXTRA = 16.0, 64, 16
+# Weight of the benchmark's rows in the fit, rank of the randomised decomposition, and its oversampling.
+ITEM_WEIGHT, RANK, EXTRA = 16.0, 96, 16
 # Least cosine of a candidate; share of an item's words that must be found in order, without and with its answer.
 COSINE, COPY, PARAPHRASE = 0.1, 0.8, 0.55
 # Rarest words of an item that stand for its answer where none is given.
 ANSWER_WORDS = 3
-# Share and number of documents above which a term is common, and least terms of an item that are not.
-COMMON, COMMON_DOCS, LEAST_TERMS = 0.05, 100, 3
-# Passages projected at once.
-MOST_ROWS = 4096
+# Passages projected at once, and what 32-bit sums may be off by.
+MOST_ROWS, ROUNDING = 512, 1e-4
 
 _TABLE = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -61,54 +59,47 @@ class Items:
         self.scales = [(w, np.flatnonzero(width == w)) for w in PASSAGES if (width == w).any()]
 
     def numbers(self, text: str) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in terms(text)], np.int32)
+        words = terms(text)
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, len(words))
 
 
-def term_weights(items: Items, counts: np.ndarray, n_docs: int) -> np.ndarray:
-    """Weight of each term: its inverse document frequency. Those of more than `COMMON` of the documents are common.
-
-    An item with fewer than `LEAST_TERMS` other terms, because it is made of common words or because it has itself leaked
-    into many documents, gets the rarer half of its terms back at the weight of an unknown word.
-    """
-    rare = np.log((1 + n_docs) / (1 + counts)) + 0.01
-    unknown = np.log(1 + n_docs) + 0.01
-    scarce = counts <= max(COMMON * n_docs, COMMON_DOCS)
-    weights = rare.copy()
-    back = []
-    for ids in items.ids:
-        own = np.unique(ids)
-        if scarce[own].sum() < LEAST_TERMS:
-            back.append(own[np.argsort(counts[own], kind="stable")][: max(LEAST_TERMS, len(own) // 2)])
-    for own in back:
-        weights[own] = unknown
-    weights[0] = unknown
+def term_weights(counts: np.ndarray, n_docs: int) -> np.ndarray:
+    """Weight of each term, by the documents that hold it alone. 0, any word outside the benchmark, counts as the rarest."""
+    weights = np.log((1 + n_docs) / (1 + counts)) + 0.01
+    weights[0] = np.log(1 + n_docs) + 0.01
     return weights
 
 
 class Space:
     """A latent space: the weight of each term, its axes, and the items in it."""
 
-    def __init__(self, items: Items, weights: np.ndarray, axes: np.ndarray):
+    def __init__(self, items: Items, weights: np.ndarray, axes: np.ndarray, counts: np.ndarray | None = None):
         pad = items.size  # stands behind the end of a text
         self.square = np.append(weights**2, 0.0)
         self.square[0] = 0.0
         self.other = float(weights[0] ** 2)
+        self.counts = counts
         self.axes = np.vstack([axes * weights[:, None], np.zeros((1, axes.shape[1]))]).astype(np.float32)
         self.axes[0] = 0
-        made = np.array([self.axes[np.unique(x)].sum(axis=0) for x in items.ids], np.float32).reshape(len(items.ids), -1)
-        self.queries = made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
+        known = [np.unique(x) for x in items.ids]
+        made = np.array([self.axes[x].sum(axis=0) for x in known], np.float32).reshape(len(known), -1)
+        sizes = np.sqrt(np.array([self.square[x].sum() for x in known]))
+        self.queries = (made / np.maximum(sizes, 1e-9)[:, None]).astype(np.float32)
+        self.rest = np.sqrt(np.maximum(0.0, 1.0 - (self.queries.astype(np.float64) ** 2).sum(axis=1)))
         self.pad = pad
-        for at, (ids, given) in enumerate(zip(items.ids, items.answers, strict=True)):
+        for at, given in enumerate(items.answers):
             if given is None:
-                known = np.unique(ids)
-                items.answers[at] = known[np.argsort(-self.square[known], kind="stable")][:ANSWER_WORDS].tolist()
+                items.answers[at] = known[at][np.argsort(-self.square[known[at]], kind="stable")][:ANSWER_WORDS].tolist()
 
-    def candidates(self, texts: list[np.ndarray], width: int, chosen: np.ndarray, least: float) -> Iterator[tuple[int, int, int, float]]:
-        """Passages and items with a cosine of `least` or more, as (text, start, item part, cosine).
+    def candidates(
+        self, texts: list[np.ndarray], width: int, chosen: np.ndarray, least: float, seeds: Seeds | None = None
+    ) -> Iterator[tuple[int, int, int, float]]:
+        """Passages and items that may have a cosine of `least` or more, as (text, start, item part, cosine).
 
-        Passages are two neighbouring half blocks. A passage's length counts all its words, unknown ones as the rarest. The
-        share of known words bounds the cosine, so passages below `least` by it are passed over without loss.
+        Passages are two neighbouring half blocks, each compared with the items whose seeds it holds, or without seeds with
+        all. The cosine over benchmark terms is at most the product in the latent space plus that of the parts outside it, by
+        their lengths, so a passage and an item below `least` by this bound are passed over without loss. The cosine given is the
+        latent one, over the length of all the passage's words.
         """
         half = width // 2
         sizes = np.array([max(2, -(-len(x) // half)) for x in texts])
@@ -117,24 +108,71 @@ class Space:
         for at, x in zip(first, texts, strict=False):
             blocks[at * half : at * half + len(x)] = x
         blocks = blocks.reshape(-1, half)
-        known, other = self.square[blocks].sum(axis=1), (blocks == 0).sum(axis=1) * self.other
-        known, other = known[:-1] + known[1:], other[:-1] + other[1:]
-        passed = (known > 0) & (known >= least**2 * (known + other))
-        passed[first[1:-1] - 1] = False  # two texts
-        rows = np.flatnonzero(passed)
+        if seeds is None:
+            known = self.square[blocks].sum(axis=1)
+            rows = np.flatnonzero(known[:-1] + known[1:])
+            row, part = np.repeat(rows, len(chosen)), np.tile(chosen, len(rows))
+        else:
+            row, part = seeds.meetings(blocks)
+        inner = ~np.isin(row, np.append(first[1:] - 1, -1))  # not those before the first text, across two, or past the last
+        row, part = row[inner], part[inner]
+        order = np.argsort(row, kind="stable")
+        rows, starts = np.unique(row[order], return_index=True)
+        starts = np.append(starts, len(order))
         owner = np.searchsorted(first, rows, side="right") - 1
         for at in range(0, len(rows), MOST_ROWS):
             own = rows[at : at + MOST_ROWS]
             ids = np.sort(np.hstack([blocks[own], blocks[own + 1]]), axis=1)
             counted = self.square[ids] > 0
             counted[:, 1:] &= ids[:, 1:] != ids[:, :-1]
-            lengths = np.sqrt((self.square[ids] * counted).sum(axis=1) + other[own])
-            starts = np.concatenate([[0], np.cumsum(counted.sum(axis=1))[:-1]])
-            made = np.add.reduceat(self.axes[ids[counted]], starts, axis=0)
-            cosines = made @ self.queries[chosen].T / lengths[:, None]
-            for row, hit in zip(*np.nonzero(cosines >= least), strict=True):
-                text = int(owner[at + row])
-                yield text, int(own[row] - first[text]) * half, int(chosen[hit]), float(cosines[row, hit])
+            square = (self.square[ids] * counted).sum(axis=1)
+            made = np.add.reduceat(self.axes[ids[counted]], np.concatenate([[0], np.cumsum(counted.sum(axis=1))[:-1]]), axis=0)
+            outside = np.sqrt(np.maximum(0.0, square - (made.astype(np.float64) ** 2).sum(axis=1)))
+            whole = np.sqrt(square + (ids == 0).sum(axis=1) * self.other)
+            pairs = order[starts[at] : starts[at + len(own)]]
+            mine, asked = np.searchsorted(own, row[pairs]), part[pairs]
+            product = np.einsum("ij,ij->i", made[mine], self.queries[asked])
+            bound = (product + outside[mine] * self.rest[asked]) / np.sqrt(square[mine])
+            for hit in np.flatnonzero(bound >= least - ROUNDING).tolist():
+                text = int(owner[at + mine[hit]])
+                yield text, int(own[mine[hit]] - first[text]) * half, int(asked[hit]), float(product[hit] / whole[mine[hit]])
+
+
+class Seeds:
+    """The words by which a passage meets items: of each item so many of its rarest that every finding holds one of them.
+
+    A share of `copy` of an item's words leaves out so few of them that one more of its rarest words are never all left out. A
+    paraphrase holds all words of the answer, so also the rarest of these.
+    """
+
+    def __init__(self, items: Items, counts: np.ndarray, chosen: np.ndarray, copy: float):
+        found: list[tuple[int, int]] = []
+        for part in chosen.tolist():
+            ids, answer = items.ids[part], items.answers[part]
+            left_out = sum((len(ids) - m) / len(ids) >= copy for m in range(1, len(ids) + 1))
+            words = set(ids[np.argsort(counts[ids], kind="stable")][: left_out + 1].tolist())
+            if answer:
+                words.add(min(answer, key=lambda w: (counts[w], w)))
+            found.extend((word, part) for word in words)
+        found.sort()
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        self.parts = pairs[:, 1]
+        self.sizes = np.bincount(pairs[:, 0], minlength=items.size + 1)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+
+    def in_text(self, ids: np.ndarray) -> bool:
+        return bool(self.sizes[ids].any())
+
+    def meetings(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Passages (by their first half block) and item parts of which they hold a seed."""
+        at = np.flatnonzero(self.sizes[blocks.ravel()])
+        words = blocks.ravel()[at]
+        many = self.sizes[words]
+        block = np.repeat(at // blocks.shape[1], many)
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        part = self.parts[np.repeat(self.starts[words], many) + within]
+        pairs = np.unique(np.column_stack([np.concatenate([block - 1, block]), np.concatenate([part, part])]), axis=0)
+        return pairs[:, 0], pairs[:, 1]
 
 
 def common_words(item: np.ndarray, region: np.ndarray) -> int:
@@ -150,25 +188,27 @@ def common_words(item: np.ndarray, region: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
-def _checked(texts: list[np.ndarray], items: Items, space: Space, least: float, copy: float, paraphrase: float) -> list[list[dict]]:
-    """The best verified finding of each item in each text. Regions reach one item's length beyond the passage."""
+def _checked(texts: list[np.ndarray], items: Items, space: Space, seeds: list[Seeds], least: float, copy: float, paraphrase: float) -> list[list[dict]]:
+    """The best verified finding of each item in each text. Regions hold every stretch of an item's reach that meets the passage."""
     best: list[dict[int, dict]] = [{} for _ in texts]
-    for width, chosen in items.scales:
-        for text, start, part, cosine in space.candidates(texts, width, chosen, least):
-            item, ids = items.ids[part], texts[text]
-            low, high = max(0, start - len(item)), min(len(ids), start + width + len(item))
-            if common_words(item, ids[low:high]) < paraphrase * len(item):
+    for (width, chosen), own in zip(items.scales, seeds, strict=True):
+        met = [n for n, ids in enumerate(texts) if own.in_text(ids)]
+        if not met:
+            continue
+        for at, start, part, cosine in space.candidates([texts[n] for n in met], width, chosen, least, own):
+            item, ids, reach = items.ids[part], texts[met[at]], len(items.ids[part]) + len(items.ids[part]) // 2
+            low, high = max(0, start - reach), min(len(ids), start + width + reach)
+            there = set(ids[low:high].tolist())
+            if sum(w in there for w in item.tolist()) < paraphrase * len(item) or common_words(item, ids[low:high]) < paraphrase * len(item):
                 continue
-            share, at, reach = 0.0, low, len(item) + len(item) // 2
+            answer, owner = set(items.answers[part] or ()), items.owner[part]
             for begin in range(low, max(low + 1, high - len(item) + 1), max(1, len(item) // 8)):
-                found = common_words(item, ids[begin : begin + reach]) / len(item)
-                if found > share:
-                    share, at = found, begin
-            answer = items.answers[part]
-            answered = bool(answer) and set(answer) <= set(ids[at : at + reach].tolist())
-            owner = items.owner[part]
-            if (share >= copy or (share >= paraphrase and answered)) and share > best[text].get(owner, {"lcs": 0.0})["lcs"]:
-                best[text][owner] = {"item": owner, "cosine": cosine, "lcs": share, "start": at, "end": min(len(ids), at + reach)}
+                stretch = ids[begin : begin + reach]
+                share = common_words(item, stretch) / len(item)
+                if share < paraphrase or share <= best[met[at]].get(owner, {"lcs": 0.0})["lcs"]:
+                    continue
+                if share >= copy or (answer and answer <= set(stretch.tolist())):
+                    best[met[at]][owner] = {"item": owner, "cosine": cosine, "lcs": share, "start": begin, "end": min(len(ids), begin + reach)}
     return [[found[k] for k in sorted(found)] for found in best]
 
 
@@ -181,15 +221,16 @@ def _read(docs: DataFrame, items: Items, n_docs: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(items.size, np.int64)
         hashes, passages = [], []
+        get = items.vocabulary.get
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                ids = items.numbers(text or "")
-                counts[np.unique(ids)] += 1
+                words = terms(text or "")
+                counts[[get(w, 0) for w in set(words)]] += 1  # a number that comes twice, that of other words, is not used
                 mark = xxhash.xxh64_intdigest((text or "").encode(), 7)
-                if mark < below and len(ids):
-                    at = mark % -(-len(ids) // width) * width
+                if mark < below and words:
+                    at = mark % -(-len(words) // width) * width
                     hashes.append(mark - (most >> 1))
-                    passages.append(np.unique(ids[at : at + width]).astype("<i4").tobytes())
+                    passages.append(np.unique([get(w, 0) for w in words[at : at + width]]).astype("<i4").tobytes())
         yield pa.record_batch(
             [
                 pa.array([*range(items.size), *[None] * len(hashes)], pa.int32()),
@@ -246,22 +287,25 @@ def fitted(docs: DataFrame, items: Items, rank: int = RANK) -> Space:
     counts = np.zeros(items.size)
     for row in seen.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["term"]] = row["n"]
-    idf = term_weights(items, counts, n_docs)
+    idf = term_weights(counts, n_docs)
     sample = seen.where("term IS NULL").orderBy("n", "ids").limit(FIT_PASSAGES).collect()
     passages = [(1.0, bytes(r["ids"])) for r in sample] + [(ITEM_WEIGHT, np.unique(x).astype("<i4").tobytes()) for x in items.ids]
-    return Space(items, idf, _axes(spark, passages, idf, min(len(idf), len(items.ids) + rank)))
+    return Space(items, idf, _axes(spark, passages, idf, min(len(idf), rank)), counts)
 
 
 def _search(spark: SparkSession, items: Items, space: Space, limits: tuple[float, float, float]):
     """The Arrow function that lists the verified findings of each text."""
-    sent = sent_by_value(spark, (items, space))
+    seeds = [Seeds(items, space.counts, chosen, limits[1]) for _, chosen in items.scales]
+    sent, held = sent_by_value(spark, (items, space, seeds)), []
     fields = [("item", pa.int32()), ("cosine", pa.float64()), ("lcs", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]
 
     @F.arrow_udf("array<struct<item:int,cosine:double,lcs:double,start:int,end:int>>")
     def search(texts: pa.Array) -> pa.Array:
-        own, known = pickle.loads(sent.value)
+        if not held:  # once in a task
+            held.extend(pickle.loads(sent.value))
+        own, known, asked = held
         numbers = [own.numbers(t or "") for t in texts.to_pylist()]
-        return pa.array(_checked(numbers, own, known, *limits), pa.list_(pa.struct(fields)))
+        return pa.array(_checked(numbers, own, known, asked, *limits), pa.list_(pa.struct(fields)))
 
     return search
 
@@ -284,7 +328,8 @@ def leaks(
 
     Passages are TF-IDF vectors over the benchmark's terms, with document counts over all texts. A randomised decomposition,
     fitted on all items and at most `FIT_PASSAGES` corpus passages (those of the smallest hashes, one a document), gives the
-    latent space in which every passage of every text is compared with the items. Candidates of `cosine` or more are verified:
+    latent space in which the passages of every text are compared with the items of which they hold a word that no finding can do
+    without (see `Seeds`). Candidates that may have a cosine of `cosine` or more are verified:
     `copy` of the item's words in order, or `paraphrase` of them and every word of its answer. Without an answer
     column the rarest words stand for it. An item over `PART_WORDS` words is found by any of its parts. The benchmark is
     read in blocks of about `block_words` words, so what is sent to the workers is bounded. Null or wordless texts and items match
