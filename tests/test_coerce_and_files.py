@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,11 +127,39 @@ def test_all_keys_of_answers(spark):
     answers = spark.createDataFrame(
         [('{"result": [{"a": "1", "X": 2}, {"b": {"c": [1]}, "x": "3"}]}',), ('{"result": [{}]}',), ("broken",), ('{"result": [{"a": null}]}',)], "value string"
     )
-    maps = landed.envelope_maps(answers, "value")
-    assert landed.row_keys(maps) == ["X", "a", "b"]
-    assert rows(landed.spread_keys(maps, ["X", "a", "b"])) == [(None, None, None), (None, None, None), ("2", "1", None), ("3", None, '{"c":[1]}')]
-    some = landed.spread_keys(maps, ["a"], rest="_rest").collect()
-    assert sorted(sorted(r["_rest"]) for r in some) == [[], [], ["X"], ["b", "x"]]
+    found = landed.envelope_variants(answers, "value")
+    keys = landed.row_keys(found)
+    assert keys == [landed.RowKey(("X", "x")), landed.RowKey(("a",)), landed.RowKey(("b",), False, True)]
+    wide = landed.spread_keys(found, keys)
+    assert rows(wide.select("X", "a", F.to_json("b_nested"))) == [(None, None, None), (None, None, None), ("2", "1", None), ("3", None, '{"c":[1]}')]
+    assert wide.select(F.variant_get("b_nested", "$.c[0]", "int").alias("c")).where("c = 1").count() == 1
+    again = landed.envelope_variants(answers.orderBy("value"), "value")
+    assert rows(found, "_row_id") == rows(again, "_row_id") and found.select("_row_id").distinct().count() == 4
+
+
+def test_keys_that_are_plain_here_and_nested_there(spark):
+    texts = ["{result: [{'k': 1.5, 'K_nested': 'x'}, {k: [1, {'y': null}]}, {'K': 'up', 'k.d': true, 'q`': 1}, 5, {'k': null}]}", '{"result": [{"a": 1, "a": 2}]}']
+    found = landed.envelope_variants(spark.createDataFrame([(t,) for t in texts], "value string"), "value")
+    wide = landed.spread_keys(found, landed.row_keys(found))
+    assert wide.columns == ["_row_id", "K", "K_nested_", "K_nested", "k.d", "q`"]
+    picked = wide.select("K", F.to_json("K_nested_").alias("n"), "K_nested", F.col("`k.d`").alias("d"), F.col("`q```").alias("q"))
+    assert rows(picked) == sorted([("1.5", None, "x", None, None), (None, '[1,{"y":null}]', None, None, None), ("up", None, None, "true", "1"),
+                                   (None,) * 5, (None,) * 5], key=lambda t: tuple((x is not None, str(x)) for x in t))
+
+
+def test_work_grows_with_keys_not_with_their_square(spark):
+    def seconds(n):
+        texts = spark.range(3000).select(F.to_json(F.struct(F.array(F.struct(*[F.concat(F.lit("v"), "id").alias(f"k{i}") for i in range(n)])).alias("result"))).alias("value"))
+        texts = texts.repartition(4).checkpoint()
+        began = time.perf_counter()
+        found = landed.envelope_variants(texts, "value")
+        wide = landed.spread_keys(found, landed.row_keys(found))
+        assert len(wide.columns) == n + 1
+        wide.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    seconds(30)
+    assert seconds(300) < 40 * max(seconds(30), 0.2)
 
 
 def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from tidewatch.sources.landed import SCHEMAS, envelope_rows
-from tidewatch.sources.sinks import read_index
+from tidewatch.sources.sinks import loaded_inputs, loaded_partitions, read_index, with_input, write_index
 from tidewatch.streaming.ingest import ingest, prepare, prepare_answers
 
 
@@ -63,6 +64,81 @@ def test_answers_with_keys_of_their_own_and_places(spark, tmp_path):
     ]
 
 
+def run_tracked(spark, landed, out, state, external=None, **how):
+    source = with_input(spark.readStream.text(str(landed)), "value")
+    answers = envelope_rows(source, "value", "struct<site string, hit_count string, seen_time string, day string>")
+    typed = answers.withColumn("day_key", F.col("day").try_cast("date")).drop("day")
+    make = lambda df: prepare(df, "access", "day_key")
+    ingest(typed, make, str(out), str(state), external, **how).awaitTermination()
+
+
+def answer(site, day):
+    return {"result": [{"site": site, "hit_count": "1", "seen_time": "20190201", "day": day}]}
+
+
+def test_no_file_is_loaded_twice_whatever_the_checkpoint(spark, tmp_path):
+    landed, other, out = tmp_path / "in", tmp_path / "other", tmp_path / "out"
+    landed.mkdir()
+    other.mkdir()
+    land(landed, "1 %41.json", answer("a", "2019-02-01"), answer("b", "no day"))
+    land(other, "1.json", answer("c", "2019-02-01"))
+    for n in range(3):
+        run_tracked(spark, landed, out, tmp_path / f"state{n}")
+    assert rows(read_index(spark, str(out)), "site") == [("a",), ("b",)]
+    run_tracked(spark, other, out, tmp_path / "state3")
+    land(landed, "2.json", answer("d", "2019-02-03"))
+    run_tracked(spark, landed, out, tmp_path / "state4")
+    assert rows(read_index(spark, str(out)), "site") == [("a",), ("b",), ("c",), ("d",)]
+    assert loaded_inputs(spark, str(out)).count() == 3
+    land(other, "1.json", answer("c", "2019-02-01"), answer("e", "2019-02-01"))  # another length is another file
+    run_tracked(spark, other, out, tmp_path / "state5")
+    assert rows(read_index(spark, str(out)), "site") == [("a",), ("b",), ("c",), ("c",), ("d",), ("e",)]
+
+
+def test_inputs_of_a_batch_whose_note_was_lost(spark, tmp_path):
+    landed, out = tmp_path / "in", tmp_path / "out"
+    landed.mkdir()
+    land(landed, "1.json", answer("a", "2019-02-01"))
+
+    def fail(df, n):
+        raise RuntimeError("lost")
+
+    try:
+        run_tracked(spark, landed, out, tmp_path / "state", external=fail)
+    except Exception as x:
+        assert "lost" in str(x)
+    shutil.rmtree(out / "_inputs")
+    run_tracked(spark, landed, out, tmp_path / "new")
+    assert rows(read_index(spark, str(out)), "site") == [("a",)]
+    run_tracked(spark, landed, out, tmp_path / "state")  # the first stream goes on and replaces only its own attempt
+    assert rows(read_index(spark, str(out)), "site") == [("a",)]
+
+
+def test_days_of_other_loads_are_skipped_but_not_those_of_the_stream(spark, tmp_path):
+    landed, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
+    landed.mkdir()
+    before = spark.createDataFrame([("x", "2019-02-01")], "site string, day_key string").withColumn("day_key", F.to_date("day_key"))
+    write_index(prepare(before, "access", "day_key"), str(out))
+    for n, day in enumerate(("2019-02-01", "2019-02-02", "2019-02-02", "never")):
+        land(landed, f"{n}.json", answer(f"s{n}", day))
+        run_tracked(spark, landed, out, state, skip_loaded_days=True)
+    assert rows(read_index(spark, str(out)), "site") == [("s1",), ("s2",), ("s3",), ("x",)]
+
+
+def test_partitions_come_from_the_folders_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    data = [("a b+%/c", "2019.01", "2019-01-02", 1), ("x", None, None, 2), ("x", "2019.01", "2019-01-03", 3), ("x", "2019.01", "2019-01-04", 4)]
+    write_index(spark.createDataFrame(data, "tbl string, month string, day string, v int"), path, batch="b")
+    held = loaded_partitions(spark, path)
+    assert rows(held) == sorted([(*r[:3], "b") for r in data], key=lambda t: tuple((x is not None, str(x)) for x in t))
+    shutil.rmtree(tmp_path / "t" / "tbl=x" / "month=2019.01" / "day=2019-01-03")
+    again = loaded_partitions(spark, path, "x")
+    assert rows(again, "day") == [(None,), ("2019-01-04",)]
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan binaryFile [path" in plan and "parquet" not in plan.lower().replace(".parquet", "") and "content" not in plan
+    assert rows(loaded_partitions(spark, str(tmp_path / "none"))) == []
+
+
 def test_a_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
     landed, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
     landed.mkdir()

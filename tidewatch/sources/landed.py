@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,42 +112,79 @@ def envelope_rows(answers: DataFrame, text: str, row_schema: str, field: str = "
     return answers.select(*other, F.explode(parsed[field]).alias("_row")).select(*other, "_row.*")
 
 
-def envelope_maps(answers: DataFrame, text: str, field: str = "result") -> DataFrame:
-    """Rows of the array in each answer text as `_row`, a map of all their keys to text, beside the answer's other columns."""
+def envelope_variants(answers: DataFrame, text: str, field: str = "result") -> DataFrame:
+    """Rows of the array in each answer text as `_row`, a variant, and `_row_id`, beside the answer's other columns.
+
+    The id is made of the whole answer and the row's place in it, so the same answer gives the same ids whenever it is read. An
+    answer that is broken, repeats a key in one object or has no such array gives no rows.
+    """
     lenient = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
-    parsed = F.from_json(text, f"`{field}` array<map<string,string>>", lenient)
+    parsed = F.from_json(text, f"`{field}` array<variant>", lenient)
     other = [c for c in answers.columns if c != text]
-    return answers.select(*other, F.explode(parsed[field]).alias("_row"))
+    placed = answers.select(*other, F.md5(text).alias("_answer"), F.posexplode(parsed[field]).alias("_place", "_row"))
+    return placed.select(*other, "_row", F.concat_ws(":", "_answer", "_place").alias("_row_id"))
+
+
+@dataclass(frozen=True)
+class RowKey:
+    """A key of landed rows: its spellings, the column's name first, and whether it has plain and nested values."""
 
+    spellings: tuple[str, ...]
+    plain: bool = True
+    nested: bool = False
 
-def row_keys(rows: DataFrame) -> list[str]:
-    """All keys of the maps `_row`, sorted; keys that differ in case only count once, under their first spelling.
+    @property
+    def name(self) -> str:
+        return self.spellings[0]
+
+
+def row_keys(rows: DataFrame) -> list[RowKey]:
+    """All keys of the objects in `_row`, sorted; keys that differ in case only are one, under their first spelling.
 
     Keys are folded map-side; their number is that of a table's columns, and more than `MOST_KEYS` raise.
     """
-    keys = rows.select(F.explode(F.map_keys("_row")).alias("k")).groupBy(F.lower("k").alias("low")).agg(F.min("k").alias("k"))
-    found = sorted(r["k"] for r in keys.limit(MOST_KEYS + 1).collect())
-    if len(found) > MOST_KEYS:
+    entries = rows.select(F.explode(F.col("_row").try_cast("map<string,variant>")).alias("key", "value"))
+    kind = F.expr("schema_of_variant(value)")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    found = entries.groupBy("key").agg(F.bool_or(~nested).alias("plain"), F.bool_or(nested).alias("nested"))
+    listed = found.limit(MOST_KEYS + 1).collect()
+    if len(listed) > MOST_KEYS:
         raise ValueError(f"rows have more than {MOST_KEYS} keys")
-    return found
+    alike: dict[str, list[Row]] = {}
+    for row in sorted(listed, key=lambda r: r["key"]):
+        alike.setdefault(row["key"].lower(), []).append(row)
+    return [RowKey(tuple(r["key"] for r in g), any(r["plain"] for r in g), any(r["nested"] for r in g)) for g in alike.values()]
 
 
-def spread_keys(rows: DataFrame, keys: Iterable[str], rest: str | None = None) -> DataFrame:
-    """Columns for the given keys of `_row`, and the other keys as the map `rest` if it is named.
+def spread_keys(rows: DataFrame, keys: Iterable[RowKey], nested_suffix: str = "_nested") -> DataFrame:
+    """Columns for the given keys of `_row`: text for plain values, and a variant named with `nested_suffix` for objects and arrays.
 
-    A key is looked up as it is spelled and, where missing, in any case.
+    All keys are taken in one pass over a row, and one more for each further spelling that some keys have, so work grows with
+    the number of keys. A row's value is that of the first spelling it has. A plain and a nested column never share a name, so a
+    table whose loads differ in what a key holds stays readable.
     """
     keys = list(keys)
-
-    def value(key: str) -> Column:
-        alike = F.map_values(F.map_filter("_row", lambda k, _: F.lower(k) == key.lower()))
-        return F.coalesce(F.get(F.map_values(F.map_filter("_row", lambda k, _: k == key)), F.lit(0)), F.get(alike, F.lit(0)))
-
-    named = {k: value(k) for k in keys}
-    out = rows.withColumns(named)
-    if rest is not None:
-        out = out.withColumn(rest, F.map_filter("_row", lambda k, _: ~F.lower(k).isin(*[k.lower() for k in keys])))
-    return out.drop("_row")
+    depth = max((len(k.spellings) for k in keys), default=0)
+    taken = {k.name.lower() for k in keys}
+    out = rows
+    for n in range(depth):
+        fields = [T.StructField(k.spellings[n], T.VariantType()) for k in keys if len(k.spellings) > n]
+        out = out.withColumn(f"_values{n}", F.col("_row").try_cast(T.StructType(fields)))
+    columns = {}
+    for key in keys:
+        found = F.coalesce(*[F.col(f"_values{n}")[name] for n, name in enumerate(key.spellings)])
+        is_nested = F.schema_of_variant(found).startswith("OBJECT") | F.schema_of_variant(found).startswith("ARRAY")
+        if not key.nested:
+            columns[key.name] = found.cast("string")
+            continue
+        if key.plain:
+            columns[key.name] = F.when(~is_nested, found).cast("string")
+        name = key.name + nested_suffix
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        columns[name] = F.when(is_nested, found)
+    return out.withColumns(columns).drop("_row", *[f"_values{n}" for n in range(depth)])
 
 
 def row_count(text: Column, field: str = "rowCount") -> Column:

@@ -18,6 +18,11 @@ from tidewatch.functions.times import day_label, month_label
 BATCH = 5000
 # Partition columns of an index table, before the batch.
 INDEX_KEYS = ("tbl", "month", "day")
+# Columns that name the file a row came from, and where an index table keeps the files it has taken, beside its rows.
+INPUT_KEYS = ("input_file", "input_bytes")
+REGISTER = "_inputs"
+# Files of batches without a note that are read for the inputs their rows name: one batch's, as a stream stops where it fails.
+MOST_LOST = 100_000
 
 
 def with_partitions(df: DataFrame, table: Column, day: Column, offset_hours: int = 8) -> DataFrame:
@@ -63,12 +68,69 @@ def _remove_other_batches(spark: SparkSession, path: str, batch: str) -> None:
                 store.delete(entry.getPath(), True)
 
 
-def has_index(spark: SparkSession, path: str) -> bool:
-    """Whether there is a table at `path` yet."""
+def exists(spark: SparkSession, path: str) -> bool:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def has_index(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at `path` yet."""
+    return exists(spark, path)
+
+
+def index_files(spark: SparkSession, path: str, *tables: str) -> DataFrame:
+    """Files of an index table with the partition they lie in: `path`, `tbl`, `month`, `day`, `batch`, all as text.
+
+    The folders are listed; no file is opened. A partition without a value is null.
+    """
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(path).select("path")
+
+    def label(key: str) -> Column:
+        text = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
+        return F.when(text != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))).alias(key)
+
+    files = listed.select("path", *[label(k) for k in (*INDEX_KEYS, "batch")])
+    return files.where(F.col("tbl").isin(*tables)) if tables else files
+
+
+def loaded_partitions(spark: SparkSession, path: str, *tables: str) -> DataFrame:
+    """Tables, months, days and batches that an index table at `path` holds, from its folders alone; none if there is no table."""
+    if not has_index(spark, path):
+        return spark.createDataFrame([], "tbl string, month string, day string, batch string")
+    return index_files(spark, path, *tables).drop("path").distinct()
+
+
+def with_input(source: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a file source, by default all, with the file and its length that each row comes from, as `INPUT_KEYS`."""
+    return source.select(*(columns or ["*"]), F.col("_metadata.file_path").alias("input_file"), F.col("_metadata.file_size").alias("input_bytes"))
+
+
+def register_inputs(inputs: DataFrame, path: str, batch: str) -> None:
+    """Note the files (`INPUT_KEYS`) that a batch of the index table at `path` has taken. A repeated batch replaces its note."""
+    inputs.coalesce(1).write.mode("overwrite").parquet(f"{path}/{REGISTER}/{batch}")
+
+
+def loaded_inputs(spark: SparkSession, path: str, batch: str | None = None) -> DataFrame:
+    """Files that batches of the index table at `path`, other than `batch`, have taken.
+
+    They are read from the register. A batch that was written but whose note was lost is asked for the files that its rows
+    name, which reads its partitions only.
+    """
+    kind = "input_file string, input_bytes bigint"
+    none = spark.createDataFrame([], kind)
+    if not has_index(spark, path):
+        return none
+    noted, own = none.select("*", F.lit(None).cast("string").alias("batch")), F.lit(batch or "")
+    if exists(spark, f"{path}/{REGISTER}"):
+        notes = spark.read.schema(kind).option("recursiveFileLookup", True).parquet(f"{path}/{REGISTER}")
+        noted = notes.select(*INPUT_KEYS, F.regexp_extract("_metadata.file_path", f"/{REGISTER}/([^/]*)/", 1).alias("batch"))
+    found = noted.where(F.col("batch") != own).select(*INPUT_KEYS)
+    held = index_files(spark, path).select("path", "batch").where(F.col("batch") != own)
+    lost = held.join(noted.select("batch").distinct(), "batch", "left_anti").where(F.col("batch").startswith("stream-"))
+    files = [r["path"] for r in lost.limit(MOST_LOST).collect()]
+    return found.unionByName(spark.read.schema(kind).parquet(*files).select(*INPUT_KEYS)).distinct() if files else found
+
+
 def read_index(spark: SparkSession, path: str, *tables: str) -> DataFrame:
     """The table of `write_index`, partition columns as text, with the columns of all its batches."""
     found = spark.read.option("mergeSchema", True).parquet(path).schema

@@ -10,9 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.coerce import coerce_by_suffix, ip_columns
 from tidewatch.operators.geo import geo_enrich
+from tidewatch.operators.joins import broadcast_if_short
 from tidewatch.session import checkpointed
-from tidewatch.sources.landed import envelope_maps, row_keys, spread_keys
-from tidewatch.sources.sinks import with_partitions, write_index
+from tidewatch.sources.landed import envelope_variants, row_keys, spread_keys
+from tidewatch.sources.sinks import INPUT_KEYS, loaded_inputs, loaded_partitions, register_inputs, with_partitions, write_index
 
 
 def prepare(
@@ -36,11 +37,29 @@ def prepare_answers(
     offset_hours: int = 8,
 ) -> DataFrame:
     """Rows of answers (`value`) with a column for every key that any of them has, then as `prepare`. `day` is the key of the
-    local day. A row without a readable day has null partitions. Serves whole loads and micro-batches alike."""
-    rows = checkpointed(envelope_maps(answers, "value", field))
+    local day. Objects and arrays stay what they are, in variant columns. A row without a readable day has null partitions, and
+    `_row_id`, by which loads know it. Serves whole loads and micro-batches alike."""
+    rows = checkpointed(envelope_variants(answers, "value", field))
     keys = row_keys(rows)
-    wide = spread_keys(rows, [*keys, *([] if day in keys else [day])])
-    return prepare(wide.withColumn(day, F.col(day).try_cast("date")), table, day, exclude, offset_hours, ranges)
+    wide = spread_keys(rows, keys)
+    if day not in wide.columns:
+        wide = wide.withColumn(day, F.lit(None).cast("string"))
+    dated = wide.withColumn(day, F.col(day).try_cast("date"))
+    known = dated.withColumn("_row_id", F.when(F.col(day).isNull(), F.col("_row_id")))
+    return prepare(known, table, day, (*exclude, "_row_id"), offset_hours, ranges)
+
+
+def not_yet_loaded(batch: DataFrame, path: str, name: str) -> DataFrame:
+    """Rows of a micro-batch whose files (`INPUT_KEYS`) no other batch of the index table at `path` has taken.
+
+    The files of the batch are few and are compared first; rows are filtered only if some are known.
+    """
+    spark = batch.sparkSession
+    known = batch.select(*INPUT_KEYS).distinct().join(loaded_inputs(spark, path, name), list(INPUT_KEYS), "left_semi")
+    known = checkpointed(known)
+    if known.isEmpty():
+        return batch
+    return batch.join(broadcast_if_short(known), list(INPUT_KEYS), "left_anti").select(*batch.columns)
 
 
 def ingest(
@@ -49,18 +68,33 @@ def ingest(
     path: str,
     checkpoint: str,
     external: Callable[[DataFrame, int], None] | None = None,
+    skip_loaded_days: bool = False,
 ) -> StreamingQuery:
     """Write what has landed since the last run into the index table at `path`, then stop.
 
     The table is that of `write_index`. A micro-batch is named after the stream, whose id lives in its checkpoint, and its own
     number. So a batch that is repeated after a failure replaces its first attempt, and a stream with another
     checkpoint, whose numbers begin anew, replaces nothing.
+
+    If `rows` names the file of each row (`sinks.with_input`) and `prepare_rows` keeps these columns, files that any other batch has taken are
+    left out, whichever checkpoint or stream took them: the table keeps a register of its inputs. A file counts as another one
+    if its path or length differs. With `skip_loaded_days`, rows of days that the table already holds from other loads than
+    this stream are left out too; a row without a day is kept.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = prepare_rows(batch)
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_index(out, path, f"stream-{stream}-{batch_id}")
+        name, spark = f"stream-{stream}-{batch_id}", batch.sparkSession
+        tracked = set(INPUT_KEYS) <= set(batch.columns)
+        fresh = not_yet_loaded(batch, path, name) if tracked else batch
+        out = prepare_rows(fresh)
+        if skip_loaded_days:
+            held = loaded_partitions(spark, path).where(~F.col("batch").startswith(f"stream-{stream}-"))
+            held = checkpointed(held.select("tbl", "day").distinct())
+            out = out.join(broadcast_if_short(held), ["tbl", "day"], "left_anti").select(*out.columns)
+        write_index(out, path, name)
+        if tracked:
+            register_inputs(fresh.select(*INPUT_KEYS).distinct(), path, name)
         if external is not None:
             external(out, batch_id)
 
