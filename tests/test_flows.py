@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,27 @@ def test_load_skips_loaded_days(spark, tmp_path):
     ]
 
 
+def test_rows_without_a_day_are_loaded_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    row = '{"site": "a", "day": "soon"}'
+    texts = [f'{{"result": [{row}, {row}, {{"site": "b", "day": "2019-01-01"}}]}}', '{"result": [{"site": "c"}]}']
+    answers = spark.createDataFrame([(x,) for x in texts], "value string")
+    assert flows.load_answers(answers, path, "log", "day").count() == 4
+    assert flows.load_answers(answers, path, "log", "day").count() == 0
+    more = answers.unionByName(spark.createDataFrame([(f'{{"result": [{row}], "page": 2}}',)], "value string"))
+    assert rows(flows.load_answers(more, path, "log", "day"), "site") == [("a",)]  # equal, but of another answer
+    assert rows(sinks.read_index(spark, path, "log"), "site", "day") == [("a", None)] * 3 + [("b", "2019-01-01"), ("c", None)]
+    assert flows.load_answers(answers, path, "other", "day").count() == 4
+
+
+def test_loaded_days_are_found_without_reading_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    answers = spark.createDataFrame([('{"result": [{"site": "a", "day": "2019-01-01"}, {"site": "b", "day": "2019-01-02"}]}',)], "value string")
+    flows.load_answers(answers, path, "log", "day")
+    shutil.rmtree(tmp_path / "t" / "tbl=log" / "month=2019.01" / "day=2019-01-02")
+    assert rows(flows.load_answers(answers, path, "log", "day"), "site") == [("b",)]
+
+
 def test_host_sheet_and_documents(spark, tmp_path):
     (tmp_path / "s.csv").write_text("row_idx,status,cpu,mem,host,name,grp,nc_id,ip,pip\n2,running,1,2,h1,n,g,x,1.1.1.1,\n3,stopped,1,2,h2,n,g,x,,\n")
     hosts = spark.createDataFrame([("9", "h1", "n(1.1.1.1)(None)", None)], SCHEMAS["actual_hosts"])

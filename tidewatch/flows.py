@@ -16,12 +16,13 @@ from tidewatch.operators.documents import appraisal_rejects, document_records, d
 from tidewatch.operators.firewall import policy_table
 from tidewatch.operators.geo import geo_enrich
 from tidewatch.operators.inventory import inventory_actions, running_rows
+from tidewatch.operators.joins import broadcast_if_short
 from tidewatch.operators.repair import host_alerts, host_events, purge_changes, repair_changes
 from tidewatch.operators.sheets import prefix_until_blank
 from tidewatch.operators.spines import PAGE, loaded_days, missing_days, with_days, with_pages
 from tidewatch.session import checkpointed
 from tidewatch.sources.landed import read_flow_files, read_lines, read_sheet
-from tidewatch.sources.sinks import append_records, has_index, read_index, write_index, write_policy_sheet
+from tidewatch.sources.sinks import append_records, has_index, loaded_partitions, loaded_undated, write_index, write_policy_sheet
 from tidewatch.streaming.ingest import prepare_answers
 
 
@@ -61,12 +62,16 @@ def load_answers(
     """The whole load of landed answers (`value`, one answer a row) into the index table at `path`; gives the rows written.
 
     Every key that any row has becomes a column and is typed by its name; `day` is the key of the local day. With
-    `ranges`, addresses get their places. Days that the table already holds of `table` are skipped.
+    `ranges`, addresses get their places. Days that the table already holds of `table`, by its folders, are skipped. Rows without a
+    readable day are told apart by the answer and the place in it that they come from, and skipped if the table holds them.
     """
+    spark = answers.sparkSession
     rows = checkpointed(prepare_answers(answers, table, day, field, exclude, ranges, offset_hours))
-    if has_index(answers.sparkSession, path):
-        have = read_index(answers.sparkSession, path, table).select("day").distinct()
-        rows = rows.join(have, "day", "left_anti").select(*rows.columns)
+    if has_index(spark, path):
+        days = checkpointed(loaded_partitions(spark, path, table).where("day IS NOT NULL").select("day").distinct())
+        dated = rows.where("day IS NOT NULL").join(broadcast_if_short(days), "day", "left_anti").select(*rows.columns)
+        undated = rows.where("day IS NULL").join(loaded_undated(spark, path, table), "_row_id", "left_anti").select(*rows.columns)
+        rows = dated.unionByName(undated)
     write_index(rows, path)
     return rows
 

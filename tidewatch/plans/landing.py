@@ -156,27 +156,33 @@ def record_table(t: Tables) -> DataFrame:
     """
     SELECT event_id::VARCHAR AS id, event_id * 1000 AS hit_count, CASE WHEN event_type = 'click' THEN user_id END AS click_port,
            CASE WHEN event_type = 'view' THEN 'seen' END AS "viewNote", date_trunc('second', ts) - INTERVAL 8 HOUR AS seen_time,
-           strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y.%m') AS month
+           CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d') END AS day,
+           CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y.%m') END AS month, (props->>'$.k')::BIGINT AS k
     FROM events
     """,
 )
 def load_answers(t: Tables) -> DataFrame:
-    """Answers whose rows have keys of their own. Even days are loaded first; the second load, of all days, skips them."""
+    """Answers whose rows have keys of their own, some nested, some without a day. Even days are loaded first; two later loads, of all
+    days, skip them and each other's rows."""
     path = work_path(t.spark, "answers")
     kind = F.col("event_type")
+    day = F.date_format("ts", "yyyy-MM-dd")
     row = F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.format_number(F.col("event_id") * 1000, 0).alias("hit_count"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen_time"),
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.when(kind != "error", day).when(F.col("event_id") % 2 == 0, "someday").alias("day"),
         F.when(kind == "click", F.col("user_id")).alias("click_port"),
         F.when(kind == "view", "seen").alias("viewNote"),
+        F.parse_json("props").alias("props"),
     )
     answers = t.events.select("ts", F.to_json(F.struct(F.lit("1").alias("rowCount"), F.array(row).alias("result"))).alias("value"))
     flows.load_answers(answers.where(F.day("ts") % 2 == 0).select("value"), path, "access", "day")
-    flows.load_answers(answers.select("value"), path, "access", "day")
+    for _ in range(2):
+        flows.load_answers(answers.select("value"), path, "access", "day")
     out = sinks.read_index(t.spark, path, "access")
-    return out.select("id", "hit_count", "click_port", "viewNote", ntz("seen_time").alias("seen_time"), "day", "month")
+    nested = F.variant_get("props_nested", "$.k", "bigint").alias("k")
+    return out.select("id", "hit_count", "click_port", "viewNote", ntz("seen_time").alias("seen_time"), "day", "month", nested)
 
 
 _END = "1998-12-01"

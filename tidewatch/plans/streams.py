@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from tidewatch.plans.ingest import ntz
 from tidewatch.plans.registry import Tables, query
 from tidewatch.session import work_path
+from tidewatch.sources.sinks import INPUT_KEYS, with_input
 from tidewatch.streaming.ingest import ingest, prepare
 
 
 def landed_events(t: Tables) -> DataFrame:
-    """The event file as a stream of text rows."""
+    """The event file as a stream of text rows, with the file they come from."""
     source = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-    return source.select(
+    return with_input(source).select(
+        *INPUT_KEYS,
         F.format_number(F.col("event_id") * 1000, 0).alias("hit_count"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen_time"),
         "event_type",
@@ -31,9 +33,9 @@ def landed_events(t: Tables) -> DataFrame:
     """,
 )
 def ingest_stream(t: Tables) -> DataFrame:
-    """Runs the stream twice: the second run finds nothing new and changes nothing."""
+    """Runs the stream three times, last with a new checkpoint: later runs find nothing new and change nothing."""
     path, checkpoint = work_path(t.spark, "ingest"), work_path(t.spark, "offsets")
-    for _ in range(2):
+    for checkpoint in (checkpoint, checkpoint, work_path(t.spark, "offsets")):
         run = ingest(landed_events(t), lambda rows: prepare(rows, "access", "local_day"), path, checkpoint)
         run.awaitTermination()
     out = t.spark.read.option("inferSchema", False).parquet(path)

@@ -100,6 +100,12 @@ def loaded_partitions(spark: SparkSession, path: str, *tables: str) -> DataFrame
     return index_files(spark, path, *tables).drop("path").distinct()
 
 
+def loaded_undated(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """`_row_id` of the rows without a day that an index table holds; only their partitions are read."""
+    fields = "_row_id string, " + ", ".join(f"{k} string" for k in (*INDEX_KEYS, "batch"))
+    return spark.read.schema(fields).parquet(path).where((F.col("tbl") == table) & F.col("day").isNull()).select("_row_id").distinct()
+
+
 def with_input(source: DataFrame, *columns: str) -> DataFrame:
     """Columns of a file source, by default all, with the file and its length that each row comes from, as `INPUT_KEYS`."""
     return source.select(*(columns or ["*"]), F.col("_metadata.file_path").alias("input_file"), F.col("_metadata.file_size").alias("input_bytes"))
