@@ -1,15 +1,19 @@
 from __future__ import annotations
 
+import ipaddress
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from tidewatch.functions.net import long_to_ip
-from tidewatch.operators.geo import BROADCAST_BYTES, PIECE_BYTES, disjoint_ranges, finest_bits, geo_enrich
+from tidewatch.functions.net import ip_key, long_to_ip
+from tidewatch.operators.geo import BROADCAST_BYTES, PIECE_BYTES, disjoint_ranges, finest_bits, geo_enrich, visible_stretches
 from tidewatch.sources.landed import SCHEMAS
 
+GEO6 = SCHEMAS["geo_ranges6"]
+
 
 def make_ranges(rnd):
     out, at = [], 0
@@ -72,3 +76,77 @@ def test_overlapping_ranges_have_one_rule(spark, limit):
         return f"n{-max(held)[2]:03d}" if held else None
 
     assert [(r["n"], r["sip_country_name"]) for r in got.orderBy("n").collect()] == [(n, place(n)) for n in numbers]
+
+
+def held_by(ranges, n):
+    """The range that counts for an address: starts last, then ends first."""
+    found = [(lo, -hi) for lo, hi in ranges if lo <= n <= hi]
+    return (max(found)[0], -max(found)[1]) if found else None
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_sweep_equals_brute_force(seed):
+    rnd = random.Random(seed)
+    ranges = {(lo, lo + rnd.randrange(0, rnd.choice([1, 8, 60, 200]))) for lo in (rnd.randrange(200) for _ in range(rnd.choice([1, 5, 60])))}
+    order = sorted(ranges, key=lambda r: (r[0], -r[1]))
+    out = list(visible_stretches((b, lo, hi, (lo, hi)) for b in (1, 2) for lo, hi in order))
+    for bucket in (1, 2):
+        own = {n: mark for b, lo, hi, mark in out if b == bucket for n in range(lo, hi + 1)}
+        assert sum(hi - lo + 1 for b, lo, hi, _ in out if b == bucket) == len(own)
+        assert own == {n: held_by(ranges, n) for n in range(500) if held_by(ranges, n)}
+
+
+def test_many_nested_ranges_in_one_bucket(spark):
+    ranges = [(i, 65_535 - i) for i in range(30_000)]
+    began = time.perf_counter()
+    assert len(list(visible_stretches((0, lo, hi, lo) for lo, hi in ranges))) == 59_999
+    assert time.perf_counter() - began < 2
+    table = spark.createDataFrame([(lo, hi, 1.0, 2.0, f"n{lo}", *[None] * 6) for lo, hi in ranges], SCHEMAS["geo_ranges"])
+    df = spark.createDataFrame([(n,) for n in (1, 29_999, 30_000, 35_535, 35_536, 65_534)], "n bigint").select("n", long_to_ip(F.col("n")).alias("sip"))
+    got = {r["n"]: r["sip_country_name"] for r in geo_enrich(df, ["sip"], table).collect()}
+    assert got == {1: "n1", 29_999: "n29999", 30_000: "n29999", 35_535: "n29999", 35_536: "n29999", 65_534: "n1"}
+
+
+def test_address_keys(spark):
+    def key(text):
+        try:
+            address = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        return f"{int(address) if address.version == 6 else int(address) + (0xFFFF << 32):032x}"
+
+    texts = ["::", "::1", "1::", "2001:DB8::8a2e:370:7334", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::ffff:1.2.3.4", "64:ff9b::255.0.0.1", "1.2.3.4",
+             "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1::2::3", ":::", "1:::2", "12345::", "g::", "::1.2.3", "::1.2.3.400", "1.2.3.4:5", "", " ::1", ":1:2:3:4:5:6:7:8", "1.2.3", "0.0.0.0"]
+    rnd = random.Random(4)
+    texts += [str(ipaddress.IPv6Address(rnd.getrandbits(128) & ~(((1 << rnd.choice([0, 16, 64])) - 1) << rnd.choice([0, 32])))) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r["t"]: r["k"] for r in df.select("t", ip_key(F.col("t")).alias("k")).collect()} == {t: key(t) for t in texts}
+
+
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
+def test_mixed_addresses(spark, limit):
+    rnd = random.Random(8)
+    base = int(ipaddress.IPv6Address("2001:db8::"))
+    ranges = [(base + (rnd.getrandbits(rnd.choice([20, 70, 100])) << rnd.choice([0, 8])), 1 << rnd.choice([0, 1, 16, 64, 80])) for _ in range(120)]
+    ranges = [(lo, lo + size - 1 + rnd.choice([0, 0, 5])) for lo, size in ranges] + [(base, base), (1 << 125, (1 << 127) - 1), (base + 9, base + 3)]
+    v6 = lambda n: str(ipaddress.IPv6Address(n))
+    table6 = spark.createDataFrame([(v6(lo), v6(hi).upper(), 1.0, 2.0, f"{lo:x}-{hi:x}", *[None] * 6) for lo, hi in ranges], GEO6)
+    table4 = spark.createDataFrame([(16909056, 16909063, 3.0, 4.0, "four", *[None] * 6)], SCHEMAS["geo_ranges"])
+    numbers = sorted({n for lo, hi in ranges for n in (lo, hi, hi + 1)} | {(1 << 127) + 5})
+    rows_ = [(i, rnd.choice([v6(n), ipaddress.IPv6Address(n).exploded]), n) for i, n in enumerate(numbers)]
+    odd = [(-1, "1.2.3.4"), (-2, "::ffff:1.2.3.4"), (-3, "9.9.9.9"), (-4, "bad::1::"), (-5, None)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows_] + odd, "id int, sip string")
+    got = {r["id"]: r["sip_country_name"] for r in geo_enrich(df, ["sip"], table4, limit, table6).collect()}
+    good = [(lo, hi) for lo, hi in ranges if lo <= hi]
+
+    def place(n):
+        held = held_by(good, n)
+        return f"{held[0]:x}-{held[1]:x}" if held else None
+
+    assert got == {i: place(n) for i, _, n in rows_} | {-1: "four", -2: "four", -3: None, -4: None, -5: None}
+
+
+def test_no_ranges_and_no_addresses_of_one_kind(spark):
+    none6, none4 = spark.createDataFrame([], GEO6), spark.createDataFrame([], SCHEMAS["geo_ranges"])
+    df = spark.createDataFrame([("2001:db8::1",), ("1.2.3.4",)], "sip string")
+    assert rows(geo_enrich(df, ["sip"], none4, ranges6=none6), "sip_country_name") == [(None,), (None,)]

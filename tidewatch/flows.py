@@ -43,10 +43,10 @@ def page_requests(days: DataFrame, count: str = "row_count", limit: int = PAGE)
     return with_pages(days, count, limit).withColumn("url", url)
 
 
-def load_flows(spark: SparkSession, folder: str, ranges: DataFrame) -> DataFrame:
-    """Flow files with short names, typed columns, and the places of their addresses."""
+def load_flows(spark: SparkSession, folder: str, ranges: DataFrame, ranges6: DataFrame | None = None) -> DataFrame:
+    """Flow files with short names, typed columns, and the places of their addresses, of IPv6 ones too if `ranges6` is given."""
     typed = coerce_by_suffix(rename_headers(read_flow_files(spark, folder)))
-    return geo_enrich(typed, ip_columns(typed), ranges)
+    return geo_enrich(typed, ip_columns(typed), ranges, ranges6=ranges6)
 
 
 def load_answers(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os.path
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.net import ip_to_long
+from tidewatch.functions.net import MAPPED, ip_key, ip_to_long, long_to_ip
 from tidewatch.session import checkpointed
 
 # Names of the derived columns after the address column's name.
@@ -27,6 +29,9 @@ BUCKET_BITS = (8, 10, 12, 14, 16, 20, 24)
 BROADCAST_BYTES = 128 << 20
 BUCKET_PIECES = 256
 PIECE_BYTES = 96  # a piece without its texts
+# Hex digits of the prefix by which IPv6 ranges are dealt out. Disjoint ranges that share a shorter prefix and differ in the
+# next digit are at most 15 for each prefix, so there are less than 16 ** SHORT of them.
+SHORT = 4
 
 
 def _bucket(address: Column, bits: int) -> Column:
@@ -50,27 +55,81 @@ def _place() -> Column:
     return F.struct(F.when(F.col("lon") != 0, F.struct("lon", "lat")).alias("location"), *PLACE_FIELDS).alias("_place")
 
 
+def visible_stretches(ranges: Iterable[tuple]) -> Iterator[tuple]:
+    """Stretches of which no two overlap, from ranges (bucket, first, last, mark) sorted by bucket, then as they win: by original start, and
+    of equal starts the longest first. Gives (bucket, first, last, mark).
+
+    A sweep that keeps the open ranges on a stack, the one that counts on top. A range that ends no later than one which starts after it
+    never counts again and leaves the stack, so the ends on it fall from bottom to top and each range is put and taken once.
+    """
+    bucket, at, stack = None, 0, []
+
+    def closed(before: int | None) -> Iterator[tuple]:
+        nonlocal at
+        while stack and (before is None or stack[-1][0] < before):
+            last, mark = stack.pop()
+            if last >= at:
+                yield bucket, at, last, mark
+                at = last + 1
+
+    for own, first, last, mark in ranges:
+        if own != bucket:
+            yield from closed(None)
+            bucket, at = own, first
+        yield from closed(first)
+        if stack and at < first:
+            yield bucket, at, first - 1, stack[-1][1]
+        at = first
+        while stack and stack[-1][0] <= last:
+            stack.pop()
+        stack.append((last, mark))
+    yield from closed(None)
+
+
+def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`visible_stretches` over sorted batches of `_bucket`, `_lo`, `_hi`, `start_ip`, `end_ip`, holding one batch and the open ranges."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    found: list[tuple] = []
+
+    def packed() -> pa.RecordBatch:
+        lo, hi, marks = zip(*found, strict=True)
+        columns = [lo, hi, [m[0] for m in marks], [m[1] for m in marks]]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["_at", "_to", "_start", "_end"])
+
+    for _, first, last, mark in visible_stretches((b, lo, hi, (start, end)) for b, lo, hi, start, end in rows):
+        found.append((first, last, mark))
+        if len(found) == 8192:
+            yield packed()
+            found.clear()
+    if found:
+        yield packed()
+
+
+def _one_place(ranges: DataFrame) -> DataFrame:
+    """Ranges that do not end before they start, equal ones once, under the least place: `start_ip`, `end_ip`, `_place`."""
+    good = ranges.where("start_ip <= end_ip").groupBy("start_ip", "end_ip").agg(F.min(F.struct(_place(), "lon", "lat")).alias("_p"))
+    return good.select("start_ip", "end_ip", F.col("_p._place").alias("_place"))
+
+
 def disjoint_ranges(ranges: DataFrame) -> DataFrame:
     """Ranges as `start_ip`, `end_ip`, `_place` of which no two overlap.
 
     An address in several ranges belongs to the one that starts last, of these to the one that ends first, of equal ranges to
     the least place. Ranges that end before they start, and null ends, are dropped. Only buckets of 65,536 addresses in
-    which ranges overlap are cut anew, at the ends of their ranges.
+    which ranges overlap are cut anew, by one sweep over each (see `visible_stretches`).
     """
-    good = ranges.where("start_ip <= end_ip").groupBy("start_ip", "end_ip").agg(F.min(F.struct(_place(), "lon", "lat")).alias("_p"))
-    whole = good.select("start_ip", "end_ip", F.col("_p._place").alias("_place"))
+    whole = _one_place(ranges)
     pieces = _cut(whole, WALK_BITS, "start_ip", "end_ip", "_place")
     before = Window.partitionBy("_bucket").orderBy("_lo", "_hi", "start_ip", "end_ip").rowsBetween(Window.unboundedPreceding, -1)
     crowded = pieces.withColumn("_reach", F.max("_hi").over(before)).where("_lo <= _reach").select("_bucket").distinct()
     crowded = checkpointed(crowded)
     if crowded.isEmpty():
         return whole
-    mixed = pieces.join(crowded, "_bucket", "left_semi")
-    ends = mixed.select("_bucket", F.explode(F.array("_lo", F.col("_hi") + 1)).alias("_at")).distinct()
-    parts = ends.withColumn("_to", F.lead("_at").over(Window.partitionBy("_bucket").orderBy("_at")) - 1).where("_to IS NOT NULL")
-    held = parts.join(mixed, "_bucket").where("_lo <= _at AND _hi >= _to")
-    best = held.groupBy("_bucket", "_at", "_to").agg(F.max_by("_place", F.struct("start_ip", -F.col("end_ip"))).alias("_place"))
-    cut = best.select(F.col("_at").alias("start_ip"), F.col("_to").alias("end_ip"), "_place")
+    mixed = pieces.join(crowded, "_bucket", "left_semi").select("_bucket", "_lo", "_hi", "start_ip", "end_ip")
+    sorted_ = mixed.repartition("_bucket").sortWithinPartitions("_bucket", "start_ip", F.desc("end_ip"))
+    best = sorted_.mapInArrow(_swept, "_at long, _to long, _start long, _end long")
+    met = best.join(whole, (F.col("_start") == F.col("start_ip")) & (F.col("_end") == F.col("end_ip")))
+    cut = met.select(F.col("_at").alias("start_ip"), F.col("_to").alias("end_ip"), "_place")
     return pieces.join(crowded, "_bucket", "left_anti").select(F.col("_lo").alias("start_ip"), F.col("_hi").alias("end_ip"), "_place").unionByName(cut)
 
 
@@ -130,8 +189,94 @@ def places_of(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
     )
 
 
+def _swept_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As `_swept`, over keys of hex digits, with the prefix that both ends of a stretch share."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    names = ["_level", "_prefix", "_at", "_to", "_start", "_end"]
+    found: list[tuple] = []
+
+    def packed() -> pa.RecordBatch:
+        columns = [list(c) for c in zip(*found, strict=True)]
+        return pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.string()) for c in columns[1:])], names)
+
+    ranges = ((b, int(lo, 16), int(hi, 16), (start, end)) for b, lo, hi, start, end in rows)
+    for _, first, last, mark in visible_stretches(ranges):
+        lo, hi = f"{first:032x}", f"{last:032x}"
+        prefix = os.path.commonprefix([lo, hi])
+        found.append((len(prefix), prefix, lo, hi, *mark))
+        if len(found) == 8192:
+            yield packed()
+            found.clear()
+    if found:
+        yield packed()
+
+
+def prefix_pieces(ranges: DataFrame) -> DataFrame:
+    """IPv6 ranges (`start_ip`, `end_ip` as text, and the places) as stretches of which no two overlap, each under the prefix of
+    `_level` hex digits that all its addresses share: `_level`, `_prefix`, `_at`, `_to`, `_place`.
+
+    The rule for overlapping ranges is that of `disjoint_ranges`. Ranges are cut at the borders of 2^112 addresses and
+    swept in order.
+    """
+    keyed = ranges.withColumns({"start_ip": ip_key(F.col("start_ip")), "end_ip": ip_key(F.col("end_ip"))})
+    whole = checkpointed(_one_place(keyed))
+    first, last = (F.conv(F.substring(c, 1, 4), 16, 10).cast("int") for c in ("start_ip", "end_ip"))
+    cut = whole.select("start_ip", "end_ip", F.explode(F.sequence(first, last)).alias("_bucket"))
+    border = F.lower(F.lpad(F.hex("_bucket"), 4, "0"))
+    cut = cut.withColumns({"_lo": F.greatest("start_ip", F.rpad(border, 32, "0")), "_hi": F.least("end_ip", F.rpad(border, 32, "f"))})
+    sorted_ = cut.repartition("_bucket").sortWithinPartitions("_bucket", "start_ip", F.desc("end_ip"))
+    fields = "_level int, _prefix string, _at string, _to string, _start string, _end string"
+    swept = sorted_.select("_bucket", "_lo", "_hi", "start_ip", "end_ip").mapInArrow(_swept_keys, fields)
+    met = swept.join(whole, (F.col("_start") == F.col("start_ip")) & (F.col("_end") == F.col("end_ip")))
+    return met.select("_level", "_prefix", "_at", "_to", "_place")
+
+
+def places_of_keys(keys: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Place of each address in column `_key`, by joins on its prefixes of the lengths that `pieces` have (33 at most).
+
+    A prefix holds at most 15 stretches, as disjoint ones differ in the digit after it, so no address is compared with many.
+    Stretches under short prefixes, where many addresses meet, are few by that bound and are broadcast.
+    """
+    levels = sorted(r["_level"] for r in pieces.select("_level").distinct().collect())
+
+    def met(levels: list[int], pieces: DataFrame) -> DataFrame:
+        prefixes = [F.struct(F.lit(n).alias("_level"), F.substring("_key", 1, n).alias("_prefix")) for n in levels]
+        wide = keys.select("_key", F.explode(F.array(*prefixes)).alias("_p")).select("_key", "_p.*")
+        return wide.join(pieces, ["_level", "_prefix"]).where(F.col("_key").between(F.col("_at"), F.col("_to"))).select("_key", "_place")
+
+    found = [
+        met(own, F.broadcast(part) if own[0] < SHORT else part)
+        for own, part in (
+            ([n for n in levels if n < SHORT], pieces.where(F.col("_level") < SHORT)),
+            ([n for n in levels if n >= SHORT], pieces.where(F.col("_level") >= SHORT)),
+        )
+        if own
+    ]
+    if not found:
+        return keys.select("_key").limit(0).crossJoin(pieces.select("_place").limit(0))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _joined_back(df: DataFrame, key: Column, places: DataFrame) -> DataFrame:
+    """`df` with the `_place` of its key. Rows without a key go to many tasks under keys that meet nothing."""
+    spread = F.concat(F.lit("-"), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string"))
+    return df.withColumn("_key", F.coalesce(key, spread)).join(places, F.col("_key") == F.col("_met"), "left").drop("_key", "_met")
+
+
+def _with_places6(df: DataFrame, ip_cols: Sequence[str], ranges6: DataFrame) -> DataFrame:
+    """Fills the place columns of addresses with a key in `_k_<column>`, the distinct ones of which are looked up and joined back."""
+    keys = df.select(F.explode(F.array(*[F.col(f"_k_{ip}") for ip in ip_cols])).alias("_key")).where("_key IS NOT NULL").distinct()
+    places = checkpointed(places_of_keys(keys, checkpointed(prefix_pieces(ranges6)))).withColumnRenamed("_key", "_met")
+    for ip in ip_cols:
+        names = [f"{ip}_{f}" for f in ("location", *PLACE_FIELDS)]
+        other = [c for c in df.columns if c not in names]
+        filled = [F.coalesce(F.col(n), F.col("_place")[f]).alias(n) for n, f in zip(names, ("location", *PLACE_FIELDS), strict=True)]
+        df = _joined_back(df, F.col(f"_k_{ip}"), places).select(*other, *filled)
+    return df
+
+
 def geo_enrich(
-    df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, ranges6: DataFrame | None = None
 ) -> DataFrame:
     """Left lookup of each address column; adds its location, country, city and region columns.
 
@@ -140,7 +285,25 @@ def geo_enrich(
     smallest buckets that allows, and `df` is not shuffled at all. Otherwise distinct addresses are placed by
     an ordered walk and joined back. Addresses that have no place go to many tasks under keys that meet nothing;
     hot addresses are split by adaptive execution.
+
+    `ranges6` has the ranges of IPv6 addresses, their ends as text. With it, IPv6 addresses in any spelling get their places too,
+    and IPv4 addresses that are written as IPv6 ones (`::ffff:1.2.3.4`) those of `ranges`.
     """
+    if ranges6 is not None:
+        columns, fields = df.columns, ("location", *PLACE_FIELDS)
+        df = df.withColumns({f"_k_{ip}": F.when(F.contains(F.col(ip), F.lit(":")), ip_key(F.col(ip))) for ip in ip_cols})
+        for ip in ip_cols:
+            key = F.col(f"_k_{ip}")
+            dotted = long_to_ip(F.conv(F.substring(key, 25, 8), 16, 10).cast("bigint"))
+            df = df.withColumn(f"_v4_{ip}", F.when(F.substring(key, 1, 24) == MAPPED, dotted).otherwise(F.col(ip)))
+        placed = _with_places4(df, [f"_v4_{ip}" for ip in ip_cols], ranges, broadcast_bytes)
+        named = placed.withColumnsRenamed({f"_v4_{ip}_{f}": f"{ip}_{f}" for ip in ip_cols for f in fields})
+        filled = _with_places6(named, ip_cols, ranges6)
+        return filled.select(*columns, *[f"{ip}_{f}" for ip in ip_cols for f in fields])
+    return _with_places4(df, ip_cols, ranges, broadcast_bytes)
+
+
+def _with_places4(df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_bytes: int) -> DataFrame:
     ranges = checkpointed(disjoint_ranges(ranges))
     bits = finest_bits(ranges, broadcast_bytes)
     if bits is not None:
@@ -150,10 +313,8 @@ def geo_enrich(
         return df
     texts = df.select(F.explode(F.array(*[F.col(c) for c in ip_cols])).alias("_text")).distinct()
     places = checkpointed(places_of(texts, ranges)).withColumnRenamed("_text", "_met")
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string")
     for ip in ip_cols:
         columns = df.columns
-        key = F.when(_usable(F.col(ip)).isNotNull(), F.col(ip)).otherwise(F.concat(F.lit("-"), spread))
-        joined = df.withColumn("_key", key).join(places, F.col("_key") == F.col("_met"), "left")
+        joined = _joined_back(df, F.when(_usable(F.col(ip)).isNotNull(), F.col(ip)), places)
         df = joined.select(*columns, *_place_columns(ip, F.col("_place")))
     return df

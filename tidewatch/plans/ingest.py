@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.net import long_to_ip
 from tidewatch.operators.coerce import (
@@ -17,7 +18,7 @@ from tidewatch.operators.coerce import (
 )
 from tidewatch.operators.geo import geo_enrich
 from tidewatch.plans.registry import Tables, query
-from tidewatch.sources.landed import envelope_rows, row_count
+from tidewatch.sources.landed import SCHEMAS, envelope_rows, row_count
 
 
 def ntz(c: str | Column) -> Column:
@@ -255,6 +256,49 @@ def flow_places_walk(t: Tables) -> DataFrame:
     return _flow_places(t, broadcast_bytes=0)
 
 
+@query(
+    "flow_places6",
+    """
+    WITH a AS (SELECT l_orderkey, l_linenumber AS n, printf('%04x', l_suppkey % 65536) AS s, printf('%04x', l_partkey % 65536) AS p, l_suppkey FROM lineitem),
+         k AS (SELECT *, CASE WHEN n % 7 = 0 THEN NULL WHEN n % 3 = 0 THEN '20010db8' || s || repeat('0', 16) || p
+                              WHEN n % 3 = 1 THEN '20010db8' || s || repeat('0', 15) || '1' || p END AS key FROM a),
+         h AS (SELECT s_suppkey AS n, '20010db8' || printf('%04x', s_suppkey % 65536) AS h FROM supplier),
+         r AS (SELECT rpad(h, 32, '0') AS lo, rpad(h, 32, 'f') AS hi, 'outer' || n AS place FROM h WHERE n % 3 <> 0 UNION ALL
+               SELECT rpad(h, 27, '0') || '10000', rpad(h, 27, '0') || '107ff', 'inner' || n FROM h WHERE n % 2 = 0 UNION ALL
+               SELECT rpad('20010db8', 32, '0'), rpad('20010db80028', 32, 'f'), r_name FROM region WHERE r_regionkey = 0),
+         b AS (SELECT key, place FROM (SELECT DISTINCT key FROM k) JOIN r ON key BETWEEN lo AND hi
+               QUALIFY row_number() OVER (PARTITION BY key ORDER BY lo DESC, hi) = 1)
+    SELECT l_orderkey, n AS l_linenumber,
+           CASE WHEN n % 7 <> 0 AND n % 3 = 2 AND l_suppkey % 5 = 0 THEN 'four' || l_suppkey ELSE place END AS sip_country_name
+    FROM k LEFT JOIN b USING (key)
+    """,
+)
+def flow_places6(t: Tables) -> DataFrame:
+    """Addresses of both kinds in several spellings, some unreadable, against overlapping IPv6 ranges."""
+
+    def hexed(c: str) -> Column:
+        return F.hex(F.col(c) % 65536)
+
+    net, part = F.concat(F.lit("2001:DB8:"), hexed("l_suppkey")), hexed("l_partkey")
+    n = F.col("l_linenumber")
+    address = (
+        F.when(n % 7 == 0, "fe80::g")
+        .when(n % 3 == 0, F.concat(net, F.lit("::"), part))
+        .when(n % 3 == 1, F.lower(F.concat(net, F.lit(":0:0:0:1:"), F.lpad(part, 4, "0"))))
+        .otherwise(F.concat(F.lit("::ffff:"), long_to_ip(F.col("l_suppkey") + 16777216)))
+    )
+    s = F.col("s_suppkey")
+    net = F.concat(F.lit("2001:db8:"), hexed("s_suppkey"))
+    outer = t.supplier.where(s % 3 != 0).select(F.concat(net, F.lit("::")).alias("start_ip"), F.concat(net, F.lit(":ffff" * 5)).alias("end_ip"), F.concat(F.lit("outer"), s).alias("country_name"))
+    inner = t.supplier.where(s % 2 == 0).select(F.concat(net, F.lit("::1:0")).alias("start_ip"), F.concat(net, F.lit("::1:7ff")).alias("end_ip"), F.concat(F.lit("inner"), s).alias("country_name"))
+    wide = t.region.where("r_regionkey = 0").select(F.lit("2001:db8::").alias("start_ip"), F.lit("2001:db8:28" + ":ffff" * 5).alias("end_ip"), F.col("r_name").alias("country_name"))
+    none = {f.name: F.lit(None).cast(f.dataType) for f in T.StructType.fromDDL(SCHEMAS["geo_ranges6"]) if f.name not in outer.columns}
+    four = t.supplier.where(s % 5 == 0).select((s + 16777216).alias("start_ip"), (s + 16777216).alias("end_ip"), F.concat(F.lit("four"), s).alias("country_name"))
+    flows = t.lineitem.select("l_orderkey", "l_linenumber", address.alias("sip"))
+    placed = geo_enrich(flows, ["sip"], four.withColumns(none), ranges6=outer.unionByName(inner).unionByName(wide).withColumns(none))
+    return placed.select("l_orderkey", "l_linenumber", "sip_country_name")
+
+
 @query(
     "merge_columns",
     """

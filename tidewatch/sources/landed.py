@@ -17,6 +17,8 @@ from tidewatch.session import checkpointed
 # Most keys that the rows of a table may have.
 MOST_KEYS = 10_000
 
+_PLACES = "lon double, lat double, country_name string, country_name_zh string, country_iso_code string, city_name_en string, city_name_zh string, region_code string, region_zh string"
+
 # Columns of the landed tables.
 SCHEMAS = {
     "etl_jobs": "httpurl string, tblname string, purl string",
@@ -27,11 +29,8 @@ SCHEMAS = {
     "items": "itemid bigint, hostid bigint, key_ string",
     "hosts": "hostid bigint, name string",
     "proxy_history": "id bigint, clock bigint",
-    "geo_ranges": (
-        "start_ip bigint, end_ip bigint, lon double, lat double, country_name string,"
-        " country_name_zh string, country_iso_code string, city_name_en string,"
-        " city_name_zh string, region_code string, region_zh string"
-    ),
+    "geo_ranges": f"start_ip bigint, end_ip bigint, {_PLACES}",
+    "geo_ranges6": f"start_ip string, end_ip string, {_PLACES}",
     "vms": "vm_id bigint, name string, node string, type string, status string",
     "vm_volumes": "vm_id bigint, key string, value string",
     "vm_config": "vm_id bigint, smbios1 string",
