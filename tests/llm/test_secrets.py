@@ -47,6 +47,35 @@ def test_further_rules(spark):
     assert secret_scan.scan(rows.docs(spark, [])).count() == 0
 
 
+def brute(text, rule, rank):
+    found = re.finditer(rule.pattern, text or "", re.A)
+    return [(m.start(), rank, m.end(), rule.kind) for m in found if len(m[rule.group]) >= rule.least]
+
+
+def test_all_rules_against_brute_force(spark):
+    """Texts of pieces of all secrets, whole, cut short and run together, with each rule searched for in every text."""
+    draw = random.Random(15)
+    begin, end, run = "-----BEGIN EC PRIVATE KEY-----", "-----END EC PRIVATE KEY-----", "aB3+/" * 5
+    parts = [begin, begin[:-1], end, run, run[:19], "\n", "\\n", "Proc-Type: 4,X", "ghp_", "ghs_", "Q7" * 18, "Q7" * 17, "xoxb-", "xoxq-", "123456-7890", "AIza", "aI-_" * 8 + "abc",
+             "eyJ", "abcdefgh", ".", "abcdefg", "://", "user", ":", "pa$$", "@", "host", " ", "token", "=", "AKIA", "é", "0f" * 12]
+    texts = [(n, "".join(draw.choice(parts) for _ in range(draw.randint(1, 14)))) for n in range(1500)]
+    texts += [(2000 + n, a + b + c) for n, (a, b, c) in enumerate((x, y, z) for x in ("ghp_", "xoxb-", "AIza", "eyJabcdefgh.abcdefgh.", "://user:", begin) for y in parts for z in ("", "@", end))]
+    got = dict(spans(spark, texts))
+    for i, text in texts:
+        assert got[i] == sorted(s for rank, rule in enumerate(secret_scan.RULES) for s in brute(text, rule, rank)), text
+    assert {s[3] for own in got.values() for s in own} == {r.kind for r in secret_scan.RULES}
+
+
+@pytest.mark.parametrize("stretch", [1 << 20, 7])
+def test_one_walk_finds_all_trigrams(spark, monkeypatch, stretch):
+    monkeypatch.setattr(secret_scan, "_STRETCH", stretch)
+    texts = [*rows.odd_texts(), *((100 + n, t) for n, t in enumerate([*TRICKY, "a" + "PAPASSWORDD" * 3, "-----BEGIN", "xoxoxabc"]))]
+    asked = secret_scan.trigrams_of(secret_scan.RULES)
+    want = {(i, t) for i, text in texts for t in asked if t in (text or "").lower()}
+    index = secret_scan.postings(rows.docs(spark, texts))
+    assert {(r["id"], r["trigram"]) for r in index.collect()} == want and "://" in asked
+
+
 def test_random_texts(spark):
     draw = random.Random(8)
     parts = ["token", "SECRET", "api_key", "apikey", "=", ":", " ", "'", '"', "abc", "AKIA", "0f" * 6, "é", "Z" * 9, "passwd", "\n"]

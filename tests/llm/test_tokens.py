@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -93,6 +94,15 @@ def test_random_matches_and_long_runs(table, reference):
         assert ids.tolist() == reference._core_bpe.encode_single_piece(word), word[:40]
 
 
+def test_a_megabyte_without_a_break(table, reference):
+    draw = random.Random(9)
+    for word in (bytes(draw.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(1 << 20)), b"ab" * (1 << 18), "é".encode() * 100_000):
+        began = time.perf_counter()
+        (ids,) = bpe.encode_words([word], table)
+        assert time.perf_counter() - began < 30
+        assert ids.tolist() == reference._core_bpe.encode_single_piece(word)
+
+
 def test_pair_table_finds_all_pairs(table):
     tokens = bpe.read_ranks(RANKS)
     ids = {t: i for i, t in enumerate(tokens)}

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import pickle
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +19,16 @@ from tidewatch.llm.common import bounded_batches, piece_calls, sent_by_value
 # Characters after which a text is cut at the next safe space.
 PIECE_CHARS = 1 << 20
 # Bytes of pieces worked on at once.
-CALL_BYTES = 4 << 20
+CALL_BYTES = 2 << 20
 # Distinct matches kept with their ids in a task, and the longest of them.
-KEPT, KEPT_CHARS = 300_000, 64
+KEPT, KEPT_CHARS = 150_000, 64
 # Cells of one matrix.
-CELLS = 1 << 20
-# Rows longer than this merge all equal pairs of a round at once where that gives the same result.
+CELLS = 1 << 18
+# Rows longer than this are merged by a heap of pairs instead of in a matrix.
 LONG = 512
 NONE = np.int64(1 << 40)
+# Bits of a place in a heap entry.
+_PLACE = 36
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -43,7 +46,7 @@ class PairTable:
 
     def __init__(self, tokens: list[bytes]):
         ids = {t: i for i, t in enumerate(tokens)}
-        self.size = len(tokens)
+        self.size, self._pairs = len(tokens), None
         missing = [b for b in range(256) if bytes([b]) not in ids]
         if missing:
             raise ValueError(f"no token for bytes {missing}")
@@ -66,6 +69,13 @@ class PairTable:
             open_ = open_[~won]
             slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
 
+    def pairs(self) -> dict[int, int]:
+        """The table as a dictionary, made when it is first asked for."""
+        if self._pairs is None:
+            used = self.keys >= 0
+            self._pairs = dict(zip(self.keys[used].tolist(), self.merged[used].tolist(), strict=True))
+        return self._pairs
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -112,24 +122,31 @@ def _merge_rows(ids: np.ndarray, table: PairTable) -> Iterator[tuple[np.ndarray,
 
 
 def _merge_long(ids: np.ndarray, table: PairTable) -> np.ndarray:
-    """All merges of one long row. A round merges every pair of the lowest rank, from the left, if none of these
-    merges makes a pair of lower rank; else the leftmost alone."""
+    """All merges of one long row, the leftmost pair of the lowest rank first: a heap of pairs by rank and place over a linked list of
+    what is left, so that the work grows with the row, times a logarithm. A pair that has changed since it was put on the heap is passed over."""
+    n, size, pairs = len(ids), table.size, table.pairs()
     ranks = table.merges(ids[:-1], ids[1:])
-    while len(ids) > 1 and (best := ranks.min()) != NONE:
-        at = np.flatnonzero(ranks == best)
-        run = np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)
-        chosen = np.concatenate([r[::2] for r in run])  # overlapping pairs: every other one, from the left
-        for take in (chosen, chosen[:1]):
-            keep = np.ones(len(ids), bool)
-            keep[take + 1] = False
-            joined = ids.copy()
-            joined[take] = best
-            joined = joined[keep]
-            fresh = table.merges(joined[:-1], joined[1:])
-            if len(take) == 1 or not len(fresh) or fresh.min() >= best:
-                break
-        ids, ranks = joined, fresh
-    return ids
+    held = np.flatnonzero(ranks != NONE)
+    heap = ((ranks[held] << _PLACE) | held).tolist()
+    heapify(heap)
+    row, after, before = ids.tolist(), [*range(1, n + 1)], [*range(-1, n - 1)]
+    while heap:
+        top = heappop(heap)
+        rank, at = top >> _PLACE, top & ((1 << _PLACE) - 1)
+        right = after[at]
+        if right >= n or row[at] < 0 or pairs.get(row[at] * size + row[right]) != rank:
+            continue
+        row[at], row[right] = rank, -1
+        right = after[at] = after[right]
+        left = before[at]
+        if right < n:
+            before[right] = at
+            if (fresh := pairs.get(rank * size + row[right])) is not None:
+                heappush(heap, fresh << _PLACE | at)
+        if left >= 0 and (fresh := pairs.get(row[left] * size + rank)) is not None:
+            heappush(heap, fresh << _PLACE | left)
+    done = np.array(row, np.int64)
+    return done[done >= 0]
 
 
 def encode_words(words: list[bytes], table: PairTable) -> list[np.ndarray]:

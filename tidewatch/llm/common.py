@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from tidewatch.session import shared_folder, work_path
 
 # Rows and bytes of one Arrow batch handed to a Python worker.
-BATCH_ROWS = 2048
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 1024
+BATCH_BYTES = 4 << 20
+# Rows of ids and keys, about 50 bytes each in a task, that may be sent to all tasks.
+MOST_SENT = 500_000
 
 # A single space between two characters that are neither a space nor SentencePiece's mark for one.
 SAFE_CUT = re.compile("(?<=[^\\s▁]) (?=[^\\s▁])")
@@ -66,10 +68,18 @@ def row_key(df: DataFrame) -> Column:
     return F.xxhash64(*[_hashable(F.col(f"`{c}`"), odd[c]) if c in odd else F.col(f"`{c}`") for c in sorted(told)])
 
 
+def sent_if_few(rows: DataFrame) -> DataFrame:
+    """`rows`, cheap to count, for a join: sent to all tasks if they are `MOST_SENT` at most, else as they are."""
+    return F.broadcast(rows) if rows.limit(MOST_SENT + 1).count() <= MOST_SENT else rows
+
+
 def without_rows(df: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of `df` but for those whose id and `row_key` are in `dropped` (columns `id`, `key`)."""
+    """Rows of `df` but for those whose id and `row_key` are in `dropped` (columns `id`, `key`).
+
+    The dropped keys are written first. If they are few, the rows of `df` are not shuffled.
+    """
     keyed = df.withColumn("_tw_key", row_key(df))
-    gone = dropped.select(F.col("id").alias("_tw_gone_id"), F.col("key").alias("_tw_gone_key"))
+    gone = sent_if_few(saved(dropped.select(F.col("id").alias("_tw_gone_id"), F.col("key").alias("_tw_gone_key"))))
     same = F.col(id_col).eqNullSafe(F.col("_tw_gone_id")) & (F.col("_tw_key") == F.col("_tw_gone_key"))
     return keyed.join(gone, same, "left_anti").drop("_tw_key")
 

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import row_key
+from tidewatch.llm.common import row_key, saved, sent_if_few
 from tidewatch.llm.trigrams import ANY, trigram_query
 
 
@@ -48,6 +48,8 @@ MORE = (
     Rule("url_login", r"://[A-Za-z0-9._~-]{1,64}:[A-Za-z0-9._~!$&*+=-]{1,64}@"),
 )
 RULES = BASE + MORE
+# Characters of a long text that are searched for trigrams at once.
+_STRETCH = 1 << 20
 
 
 def trigrams_of(rules: tuple[Rule, ...]) -> list[str]:
@@ -55,12 +57,33 @@ def trigrams_of(rules: tuple[Rule, ...]) -> list[str]:
     return sorted({t for r in rules for c in trigram_query(r.pattern) for t in c})
 
 
+def walk_pattern(trigrams: list[str]) -> str:
+    """A pattern that stops before every one of the trigrams, overlapping ones too, and holds it in its only group: by first
+    characters, so that most places of a text are passed at their first one."""
+
+    def said(text: str) -> str:
+        return "".join(c if c.isalnum() else "\\" + c for c in text)
+
+    heads = sorted({t[0] for t in trigrams})
+    return "(?=(" + "|".join(said(h) + "(?:" + "|".join(said(t[1:]) for t in trigrams if t[0] == h) + ")" for h in heads) + "))"
+
+
 def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The inverted index: a row `trigram`, `id`, `key` for each trigram of the rules that a text holds, in either case."""
-    asked = F.array(*[F.lit(t) for t in trigrams_of(rules)])
+    """The inverted index: a row `trigram`, `id`, `key` for each trigram of the rules that a text holds, in either case.
+
+    A text is walked once for all trigrams, a long one in stretches of `_STRETCH` characters that overlap, so that what is
+    found is folded before it is gathered.
+    """
+    pattern = F.lit(walk_pattern(trigrams_of(rules)))
     low = F.lower(F.col("text"))
+
+    def held(text: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(text, pattern, F.lit(1)))
+
+    starts = F.sequence(F.lit(0), F.floor(F.length("text") / _STRETCH).cast("int"))
+    long = F.array_distinct(F.flatten(F.transform(starts, lambda i: held(F.substring(low, i * _STRETCH + 1, F.lit(_STRETCH + 2))))))
     rows = docs.select(F.col(id_col).alias("id"), row_key(docs).alias("key"), F.col(text_col).cast("string").alias("text"))
-    return rows.select(F.explode(F.filter(asked, lambda t: F.contains(low, t))).alias("trigram"), "id", "key")
+    return rows.select(F.explode(F.when(F.length("text") <= _STRETCH, held(low)).otherwise(long)).alias("trigram"), "id", "key")
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -114,11 +137,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     """`docs` with `spans` (or `name`): start, rank of the rule, end (exclusive) and kind of every secret, by start and rule.
 
     Rules with mandatory trigrams are verified only in texts that the intersected postings name; the others
-    scan every text. Null and empty texts have no spans. Every row gives one row; repeated rows and null ids keep
+    scan every text. The named texts are written first, and sent to all tasks if they are few, so that no text is shuffled. Null and empty texts have no spans. Every row gives one row; repeated rows and null ids keep
     theirs; an empty table gives none. A column of that name is replaced.
     """
-    found = candidates(postings(docs, rules, id_col, text_col), rules)
-    found = found.select(F.col("id").alias("_tw_id"), F.col("key").alias("_tw_found"), F.col("rules").alias("_tw_rules"))
+    found = saved(candidates(postings(docs, rules, id_col, text_col), rules))
+    found = sent_if_few(found).select(F.col("id").alias("_tw_id"), F.col("key").alias("_tw_found"), F.col("rules").alias("_tw_rules"))
     same = F.col(id_col).eqNullSafe(F.col("_tw_id")) & (F.col("_tw_key") == F.col("_tw_found"))
     rows = docs.withColumn("_tw_key", row_key(docs)).join(found, same, "left")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

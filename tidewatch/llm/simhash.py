@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bounded_batches, raw_texts, row_key, saved
+from tidewatch.llm.common import bounded_batches, raw_texts, row_key, saved, sent_if_few, without_rows
 from tidewatch.llm.components import components
 
 BITS = 64
@@ -158,14 +158,16 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
 
     Equal rows of one id are one row. Ids that are null come last.
     """
-    found = near_duplicates(docs, id_col, **how).groupBy("root", "id", "key").agg(F.count(F.lit(1)).alias("n"))
+    found = saved(near_duplicates(docs, id_col, **how).groupBy("root", "id", "key").agg(F.count(F.lit(1)).alias("n")))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "n")).alias("w")
-    chosen = saved(found.groupBy("root").agg(first).select("w.id", "w.key", "w.n"))
-    same = F.col(id_col).eqNullSafe(F.col("_tw_id")) & (F.col("_tw_key") == F.col("_tw_chosen"))
-    kept = docs.withColumn("_tw_key", row_key(docs)).join(
-        chosen.select(F.col("id").alias("_tw_id"), F.col("key").alias("_tw_chosen"), F.col("n").alias("_tw_n")), same
-    )
-    extra = ("_tw_key", "_tw_id", "_tw_chosen", "_tw_n")
-    if chosen.where("n > 1").isEmpty():
-        return kept.drop(*extra)
-    return kept.where("_tw_n = 1").drop(*extra).unionByName(kept.where("_tw_n > 1").drop(*extra).dropDuplicates())
+    chosen = found.groupBy("root").agg(first).select(F.col("root").alias("_root"), "w.id", "w.key", "w.n")
+    chosen = saved(chosen.withColumnsRenamed({"id": "_id", "key": "_key", "n": "_n"}))
+    same = (F.col("root") == F.col("_root")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    kept = without_rows(docs, found.join(chosen, same, "left_anti").select("id", "key"), id_col)
+    again = chosen.where("_n > 1").select("_id", F.col("_key").alias("_tw_chosen"))
+    if again.isEmpty():
+        return kept
+    equal = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_tw_key") == F.col("_tw_chosen"))
+    keyed, again = kept.withColumn("_tw_key", row_key(kept)), sent_if_few(again)
+    single = keyed.join(again, equal, "left_anti")
+    return single.unionByName(keyed.join(again, equal, "left_semi").dropDuplicates([id_col, "_tw_key"])).drop("_tw_key")
