@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,10 +73,70 @@ def test_small_groups_beside_large_ones_are_judged(spark):
     assert not any(got[i][0] for i, _ in junk)
 
 
-def test_few_rows_are_judged_by_the_base_rule(spark):
-    got = quality.judged(rows.docs(spark))
-    assert got.where("kept = base_failed").count() == 0
-    assert got.where("distance IS NOT NULL").count() == 0
+def estimated(x):
+    """Centre, precision and unit of a group's rows, by the rule as it is written, in memory."""
+    floors = np.array(list(quality.FLOORS.values()))
+
+    def at_share(values, share):
+        values = np.sort(values)
+        return values[int(np.ceil(share * len(values))) - 1 if share * len(values) > 0 else 0]
+
+    bins = np.floor(x * quality.PER_UNIT)
+    cut = [np.array([at_share(bins[:, d], q) for d in range(x.shape[1])]) / quality.PER_UNIT for q in (0.25, 0.5, 0.75)]
+    center, precision = cut[1], np.diag(1 / np.maximum((cut[2] - cut[0]) / 1.349, floors) ** 2)
+
+    def far(rows_):
+        off = rows_ - center
+        return np.maximum(0, np.einsum("ij,jk,ik->i", off, precision, off))
+
+    def level(d2):
+        return np.floor(np.log2(d2 + 1e-9) * quality.PER_DOUBLING)
+
+    def up_to(levels, share):
+        """The last level that is needed to hold a share of the rows."""
+        return max(v for v in np.unique(levels) if (levels < v).sum() < share * len(levels))
+
+    for _ in range(quality.ROUNDS):
+        levels = level(far(x))
+        near = x[levels <= up_to(levels, quality.COVERAGE)]
+        center = near.mean(axis=0)
+        precision = np.linalg.inv(near.T @ near / len(near) - np.outer(center, center) + np.diag(floors**2))
+    kinds = np.unique(x, axis=0)
+    mid = max(up_to(level(far(x)), 0.5), up_to(level(far(kinds)), 0.5))
+    return center, precision, max(2 ** ((mid + 0.5) / quality.PER_DOUBLING) / 7.344, quality.LEAST_SCALE)
+
+
+def brute_distances(found, min_rows):
+    """Scaled squared distance of each row that passes the base rule, by language and source, language, or the whole table."""
+    good = [r for r in found if not r["base_failed"]]
+    groups = [lambda r: (r["lang"], r["source"]), lambda r: r["lang"], lambda r: 0]
+    sizes = [Counter(map(g, good)) for g in groups]
+    own = [next(n for n in range(3) if n == 2 or sizes[n][groups[n](r)] >= min_rows) for r in good]
+    x = np.array([[r[f"x{i}"] for i in range(8)] for r in good])
+    out, known = [], {}
+    for r, n, row in zip(good, own, x, strict=True):
+        name = n, groups[n](r)
+        if name not in known:
+            known[name] = estimated(x[[groups[n](o) == name[1] for o in good]])
+        center, precision, unit = known[name]
+        out.append((r["id"], (row - center) @ precision @ (row - center) / unit))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 5, 50, 199, 201, 420])
+def test_every_table_has_an_estimate_as_by_brute_force(spark, n):
+    texts = [(i, rows.prose(40 + i * 37 % 200, 1000 + i)) for i in range(n - n // 12)] + [(1000 + i, re.sub(" ", "%%% ", rows.prose(60, i))) for i in range(n // 12)]
+    table = rows.docs(spark, texts).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 3))
+    got = quality.judged(table).withColumns(quality.statistics())
+    found = [r.asDict() for r in got.join(table.select(F.col("doc_id").alias("id"), "lang", "source"), "id").collect()]
+    expected = dict(brute_distances(found, quality.MIN_ROWS))
+    assert len(found) == n and all((r["distance"] is None) == r["base_failed"] for r in found)
+    for r in found:
+        if not r["base_failed"]:
+            assert r["distance"] == pytest.approx(expected[r["id"]], rel=1e-6, abs=1e-9)
+        assert r["kept"] == (not r["base_failed"] and expected[r["id"]] <= quality.LIMIT)
+    if n >= 50:
+        assert not any(r["kept"] for r in found if r["id"] >= 1000) and all(r["kept"] for r in found if r["id"] < 1000)
 
 
 @pytest.mark.skipif(not rows.HAVE_TABLES, reason="no test tables")

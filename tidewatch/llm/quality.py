@@ -130,8 +130,8 @@ def statistics() -> dict[str, Column]:
 def _grouped(rows: DataFrame, by: list[str], min_rows: int) -> DataFrame:
     """`rows` with `grp`, the group whose estimate judges them, and `feeds`, the groups whose estimates they enter.
 
-    A row is judged by its group of all columns of `by`, or of fewer where that has less than `min_rows` rows, and last by all rows.
-    It enters each of these groups that judges some row. In a table of less than `min_rows` rows `grp` is null.
+    A row is judged by its group of all columns of `by`, or of fewer where that has less than `min_rows` rows, and last by all rows,
+    however few these are. It enters each of these groups that judges some row.
     """
     used = range(len(by), -1, -1)
     name = {
@@ -141,7 +141,7 @@ def _grouped(rows: DataFrame, by: list[str], min_rows: int) -> DataFrame:
     groups = saved(rows.groupBy(name[len(by)].alias("_whole"), *by).agg(F.count(F.lit(1)).alias("_n")))
     out = groups
     for n in used:
-        big = groups.groupBy(name[n].alias("_name")).agg(F.sum("_n").alias("_all")).where(F.col("_all") >= min_rows)
+        big = groups.groupBy(name[n].alias("_name")).agg(F.sum("_n").alias("_all")).where(F.col("_all") >= (min_rows if n else 1))
         out = out.join(big.select(F.col("_name").alias(f"_big{n}")), name[n] == F.col(f"_big{n}"), "left")
     out = saved(out.withColumn("grp", F.coalesce(*[F.col(f"_big{n}") for n in used])))
     judges = out.where("grp IS NOT NULL").select(F.col("grp").alias("_judge")).distinct()
@@ -254,8 +254,8 @@ def judged(
     `ROUNDS` steps each take the nearest three quarters of the rows and their mean and covariance, which
     never raises the determinant. Distances are divided by their median over the rows or, if greater, over the rows of distinct
     statistics, so that copies of one text do not shrink the unit. A document further than `limit` is rejected. Rows of groups of fewer
-    than `min_rows` rows are judged by the estimate over all rows of their language, and failing that over all rows of the table;
-    in a table of fewer rows than that the base rule decides alone.
+    than `min_rows` rows are judged by the estimate over all rows of their language, and failing that over all rows of the table,
+    however few: `FLOORS` keep every estimate regular.
     A null language or source is a value of its own. All rows enter every estimate. Null and empty texts have no
     words and fail. Repeated rows count as often as they come; an empty table gives none.
     """
