@@ -35,6 +35,33 @@ def test_an_insult_with_a_mention():
     assert (scores[labels[2000:] == 0] < 0.7).mean() > 0.95
 
 
+@pytest.mark.parametrize("rule", [lambda a, b: a == b, lambda a, b: a != b, lambda a, b: a and b])
+def test_a_pair_of_words_that_are_as_frequent_in_both_classes(rule):
+    """Neither word tells anything alone; texts of 8 or of 200 words."""
+    draw = np.random.default_rng(3)
+    terms = toxicity.Terms(toxicity.SLOTS)
+    lists, labels = [], []
+    for n in range(6000):
+        one, two = draw.integers(0, 2, 2)
+        words = [f"w{x}" for x in draw.integers(0, 300, 8 if n % 4 else 200)] + ["vile"] * one + ["folk"] * two
+        lists.append(terms.of(" ".join(words)))
+        labels.append(float(rule(one, two)))
+    labels = np.array(labels, np.float32)
+    machine = toxicity.Machine()
+    machine.fit(lists[:4000], labels[:4000])
+    assert (machine.values != 0).all()
+    assert area(machine.scores(lists[4000:]), labels[4000:]) > 0.95
+
+
+def test_the_bias_follows_all_labelled_rows(spark):
+    """Fewer rows of a class than there are do not make the class rarer."""
+    texts = [(i, rows.prose(30, i) + (" vile" if i % 10 == 0 else "")) for i in range(900)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    machine = toxicity.trained(rows.docs(spark, texts), labels, most_rows=60)
+    even = toxicity.trained(rows.docs(spark, texts), labels.where("toxic = 1").unionByName(labels.where("toxic = 0").limit(60)))
+    assert machine.bias[0] < even.bias[0] - 1
+
+
 def test_odd_texts_no_labels_and_empty(spark):
     table = rows.docs(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")
