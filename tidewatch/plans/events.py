@@ -112,7 +112,10 @@ _KEEP_FIRST = f"""
 """
 
 
-@query("alert_chain", f"WITH {_CHAIN} SELECT id AS alertid, eventid, name FROM al")
+CHAIN_SQL = f"WITH {_CHAIN} SELECT id AS alertid, eventid, name FROM al"
+
+
+@query("alert_chain", CHAIN_SQL)
 def alert_chain(t: Tables) -> DataFrame:
     return host_alerts(monitoring(t), LO, HI)
 
@@ -122,7 +125,7 @@ def event_chain(t: Tables) -> DataFrame:
     return host_events(monitoring(t), LO, HI)
 
 
-def _changes(t: Tables, policy: str) -> DataFrame:
+def changes_of(t: Tables, policy: str) -> DataFrame:
     tables = monitoring(t)
     events = checkpointed(host_events(tables, LO, HI))
     return repair_changes(host_alerts(tables, LO, HI, events=events), events, repair_sheet(t), policy)
@@ -130,12 +133,12 @@ def _changes(t: Tables, policy: str) -> DataFrame:
 
 @query("repair_update_all", f"WITH {_CHAIN}, {_SHEET} {_UPDATE_ALL}")
 def repair_update_all(t: Tables) -> DataFrame:
-    return _changes(t, "update_all")
+    return changes_of(t, "update_all")
 
 
 @query("repair_keep_first", f"WITH {_CHAIN}, {_SHEET} {_KEEP_FIRST}")
 def repair_keep_first(t: Tables) -> DataFrame:
-    return _changes(t, "keep_first")
+    return changes_of(t, "keep_first")
 
 
 @query(
@@ -150,22 +153,22 @@ def repair_keep_first(t: Tables) -> DataFrame:
 )
 def change_statements(t: Tables) -> DataFrame:
     text = change_text({"alerts": "alertid", "events": "eventid"})
-    return _changes(t, "update_all").select("row_idx", text.alias("statement"))
+    return changes_of(t, "update_all").select("row_idx", text.alias("statement"))
 
 
-@query(
-    "apply_changes",
-    f"""
+APPLIED_SQL = f"""
     WITH {_CHAIN}, {_SHEET}, c AS (SELECT * FROM ({_KEEP_FIRST}) WHERE tbl = 'events'),
     f AS (SELECT id, bool_or(action = 'delete') AS gone,
                  arg_max(new_clock, row_idx * 10 + seq) FILTER (WHERE action = 'update') AS clock
           FROM c GROUP BY id)
     SELECT o_orderkey AS eventid, o_custkey AS objectid, coalesce(f.clock, epoch(o_orderdate)::BIGINT) AS clock
     FROM orders LEFT JOIN f ON f.id = o_orderkey WHERE NOT coalesce(gone, false)
-    """,
-)
+    """
+
+
+@query("apply_changes", APPLIED_SQL)
 def applied(t: Tables) -> DataFrame:
-    return apply_changes(monitoring(t)["events"], _changes(t, "keep_first"), "events", "eventid")
+    return apply_changes(monitoring(t)["events"], changes_of(t, "keep_first"), "events", "eventid")
 
 
 @query(
@@ -187,17 +190,17 @@ def purge_not_listed(t: Tables) -> DataFrame:
     return alerts.unionByName(purge_changes(host_events(tables, LO, HI), keep, "events", "eventid"))
 
 
-@query(
-    "retention",
-    """
+RETENTION_SQL = """
     WITH RECURSIVE e AS (SELECT event_id AS id, floor(epoch(ts))::BIGINT AS clock FROM events),
     step(i, cutoff) AS (
       SELECT min(clock) + 1000, NULL::BIGINT FROM e
       UNION ALL SELECT i + 1000, i FROM step WHERE i < epoch(DATE '2024-01-15')),
     c AS (SELECT max(cutoff) AS cutoff FROM step)
     SELECT id, clock FROM e, c WHERE cutoff IS NULL OR clock >= cutoff
-    """,
-)
+    """
+
+
+@query("retention", RETENTION_SQL)
 def retention(t: Tables) -> DataFrame:
     clock = F.unix_seconds(F.col("ts").cast("timestamp"))
     rows = t.events.select(F.col("event_id").alias("id"), clock.alias("clock"))

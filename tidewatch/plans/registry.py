@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.plans.local import ensure_shared_folder
 
 Query = Callable[["Tables"], DataFrame]
-MODULES = ("ingest", "backfill", "events", "network", "machines", "hosts", "papers", "models", "requests", "streams", "landing")
+MODULES = ("ingest", "backfill", "events", "network", "machines", "hosts", "papers", "models", "requests", "streams", "landing", "stored")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}

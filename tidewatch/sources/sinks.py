@@ -100,6 +100,14 @@ def loaded_partitions(spark: SparkSession, path: str, *tables: str) -> DataFrame
     return index_files(spark, path, *tables).drop("path").distinct()
 
 
+def loaded_counts(spark: SparkSession, path: str, *tables: str) -> DataFrame:
+    """Rows of each table, month and day of an index table, from its folders and the row counts in the footers of its files."""
+    labels = T.StructType([T.StructField(k, T.StringType()) for k in (*INDEX_KEYS, "batch")])
+    rows = spark.read.schema(labels).parquet(path)
+    chosen = rows.where(F.col("tbl").isin(*tables)) if tables else rows
+    return chosen.groupBy(*INDEX_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def loaded_undated(spark: SparkSession, path: str, table: str) -> DataFrame:
     """`_row_id` of the rows without a day that an index table holds; only their partitions are read."""
     fields = "_row_id string, " + ", ".join(f"{k} string" for k in (*INDEX_KEYS, "batch"))
