@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from tidewatch.operators.repair import apply_changes, host_alerts, retained
+from tidewatch.operators.repair import apply_changes, host_alerts, host_events, retained
 from tidewatch.operators.rollups import CASCADE, extend_rollups, roll_up, series
 from tidewatch.operators.rpclog import recent_requests
 from tidewatch.operators.vmstats import consolidate
@@ -68,15 +68,15 @@ def test_chain_over_stored_tables_shuffles_neither_large_side(spark, tmp_path):
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     stored = store_monitoring(tables, str(tmp_path / "s"), 4)
     assert rows(host_alerts(stored, 100, 140)) == rows(host_alerts(tables, 100, 140))
-    stored |= {n: F.broadcast(stored[n]) for n in ("triggers", "functions", "items", "hosts")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        chain = host_alerts(stored, 100, 140)
+        chain = host_alerts(stored, 100, 140, events=host_events(stored, 100, 140, measured=True))
         plan = chain._jdf.queryExecution().executedPlan().toString()
+        assert rows(chain) == rows(host_alerts(tables, 100, 140))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
-    large = plan[plan.rindex("Join [eventid"):]
-    assert plan.count("Bucketed: true") == 2 and "Exchange hashpartitioning(eventid" not in plan and "Join" in large
+    assert plan.count("Bucketed: true") == 2 and "SortMergeJoin [eventid" in plan
+    assert "Exchange hashpartitioning(eventid" not in plan and "Exchange hashpartitioning(objectid" not in plan
 
 
 @pytest.mark.parametrize("cf", ["AVERAGE", "MAX", "MEDIAN"])

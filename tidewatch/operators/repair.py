@@ -22,11 +22,12 @@ STEP_SECONDS = 1000
 KEEP_DAYS = 31
 
 
-def host_events(tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PING_KEY) -> DataFrame:
+def host_events(tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PING_KEY, measured: bool = False) -> DataFrame:
     """Events in a closed clock range with the host of their trigger: `eventid, clock, name`.
 
     An event repeats if its trigger has several matching functions, as in the inner joins it stands for.
-    The small chain of functions, items and hosts is joined first, the events last.
+    The small chain of functions, items and hosts is joined first, the events last. If it is `measured` and found short, it is sent to all
+    tasks, and events keep the layout they are stored in.
     """
     chain = (
         tables["functions"]
@@ -35,6 +36,7 @@ def host_events(tables: Mapping[str, DataFrame], lo: int, hi: int, key: str = PI
         .join(tables["triggers"].select("triggerid"), "triggerid")
         .select("triggerid", "name")
     )
+    chain = broadcast_if_short(chain) if measured else chain
     events = tables["events"].filter(F.col("clock").between(lo, hi))
     return events.join(chain, events["objectid"] == chain["triggerid"]).select("eventid", "clock", "name")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.repair import host_alerts, retention_end
+from tidewatch.operators.repair import host_alerts, host_events, retention_end
 from tidewatch.operators.rollups import CASCADE, extend_rollups, roll_up, series
 from tidewatch.plans.events import APPLIED_SQL, CHAIN_SQL, HI, LO, RETENTION_SQL, changes_of, monitoring
 from tidewatch.plans.registry import Tables, query
@@ -40,7 +40,8 @@ def stored_retention(t: Tables) -> DataFrame:
 def keyed_chain(t: Tables) -> DataFrame:
     """The chain of alerts over alerts and events that are stored by event."""
     buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    return host_alerts(store_monitoring(monitoring(t), work_path(t.spark, "by-event"), buckets), LO, HI)
+    stored = store_monitoring(monitoring(t), work_path(t.spark, "by-event"), buckets)
+    return host_alerts(stored, LO, HI, events=host_events(stored, LO, HI, measured=True))
 
 
 _SERIES_SQL = " UNION ALL ".join(
