@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from tests.llm import rows
 from tidewatch.llm import licenses
 
@@ -47,3 +49,33 @@ def test_no_statement_and_no_rows(spark):
 def test_every_template_is_recognised(spark):
     files = [(n, f"f{n}", text) for n, (_, text) in enumerate(licenses.TEMPLATES)]
     assert found(spark, files) == sorted(((n, name, "stated") for n, (name, _) in enumerate(licenses.TEMPLATES)), key=str)
+
+
+def test_statements_wherever_they_stand(spark):
+    """Wrapped in comments, inside a long line, behind a long sentence, and as the head of a licence file."""
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */\nint x;"
+    copying = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n Everyone is permitted to copy"
+    apache = "# Licensed under the Apache License, Version 2.0 (the\n# \"License\"); you may not use this file except in\n# compliance with the License."
+    sentence = " ".join(rows.WORDS[:22]) + "."
+    files = [
+        (1, "m/x.c", mpl), (2, "g/COPYING", copying), (3, "g/src/y.py", "nothing here"), (4, "a/z.py", apache),
+        (5, "s", sentence + " Released under the MIT License."), (6, "l", " ".join(rows.WORDS * 40) + " Released under the MIT License. " + " ".join(rows.WORDS * 40)),
+        (7, "n", " ".join(rows.WORDS * 5)), (8, "v", "The license was lost and the public version is free."),
+    ]
+    assert found(spark, files) == sorted(
+        [(1, "MPL-2.0", "stated"), (2, "GPL-3.0", "stated"), (3, "GPL-3.0", "inherited"), (4, "Apache-2.0", "stated"), (5, "MIT", "stated"), (6, "MIT", "stated"), (7, None, "none"), (8, None, "none")], key=str)
+
+
+def test_seeds_lose_no_stretch():
+    """Whatever part of a template is left, a likeness of the least cosine holds a seed."""
+    draw = random.Random(3)
+    idf = {t: draw.uniform(1, 12) for t in licenses.TERMS}
+    found_at = licenses.seeds(idf)
+    for number, (_, text) in enumerate(licenses.TEMPLATES):
+        words = licenses._template_words(text)
+        own = {t for t, places in found_at.items() if any(n == number for n, _, _ in places)}
+        whole = {t: words.count(t) * idf[t] for t in words}
+        for _ in range(200):
+            kept = {t for t in whole if draw.random() < draw.random()}
+            if sum(whole[t] ** 2 for t in kept) >= licenses.LEAST_COSINE**2 * sum(x * x for x in whole.values()):
+                assert kept & own

@@ -134,27 +134,29 @@ _PATH = """concat_ws('/', source, CASE WHEN doc_id % 100 <> 0 THEN lang END, CAS
                      CASE WHEN doc_id % 10 = 0 THEN 'LICENSE-' || doc_id ELSE 'doc-' || doc_id || '.txt' END)"""
 SQL["op7_licenses"] = f"""
     WITH t AS (SELECT * FROM (VALUES {_template_rows()}) AS v(template, licence, said)),
-         tw AS (SELECT template, licence, term, count(*) AS tf FROM (
-                  SELECT template, licence, unnest(regexp_extract_all(lower(said), '[\\p{{L}}\\p{{N}}]+(?:\\.[0-9]+)*')) AS term FROM t) GROUP BY ALL),
-         s AS (SELECT doc_id, line, regexp_extract_all(lower(said), '[\\p{{L}}\\p{{N}}]+(?:\\.[0-9]+)*') AS words FROM (
-                  SELECT doc_id, unnest(string_split(text, chr(10))) AS said, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents)
-               WHERE regexp_matches(said, '{licenses.SIGN}')),
-         d AS (SELECT words, count(*) AS n FROM s GROUP BY 1),
-         dw AS (SELECT words, n, term, count(*) AS tf FROM (SELECT words, n, unnest(words) AS term FROM d) GROUP BY ALL),
-         total AS (SELECT count(*) + {len(licenses.TEMPLATES)} AS total FROM s),
-         idf AS (SELECT term, ln((1 + total) / (1 + coalesce(df, 0))) + 1 AS idf
-                 FROM (SELECT DISTINCT term FROM tw) LEFT JOIN (SELECT term, sum(n) AS df FROM dw GROUP BY 1) USING (term), total),
-         own AS (SELECT words, term, tf * coalesce(idf, ln(1 + total) + 1) AS w FROM dw LEFT JOIN idf USING (term), total),
-         len AS (SELECT words, sqrt(sum(w * w)) AS l FROM own GROUP BY 1),
-         tn AS (SELECT template, sqrt(sum(tf * idf * tf * idf)) AS l FROM tw JOIN idf USING (term) GROUP BY 1),
-         dot AS (SELECT own.words, tw.template, tw.licence, sum(own.w * tw.tf * idf.idf) AS v
-                 FROM own JOIN tw USING (term) JOIN idf USING (term) GROUP BY ALL),
-         cos AS (SELECT words, licence, round(v / len.l / tn.l, 6) AS cosine FROM dot JOIN len USING (words) JOIN tn USING (template)),
-         best AS (SELECT words, licence, cosine FROM cos WHERE cosine >= {licenses.LEAST_COSINE}
-                  QUALIFY row_number() OVER (PARTITION BY words ORDER BY cosine DESC, licence) = 1),
+         tp AS (SELECT template, licence, len(ws) AS size, unnest(ws) AS term, generate_subscripts(ws, 1) - 1 AS place FROM (
+                  SELECT template, licence, regexp_extract_all(lower(said), '[\\p{{L}}\\p{{N}}]+(?:\\.[0-9]+)*') AS ws FROM t)),
+         tw AS (SELECT template, licence, term, count(*) AS tf FROM tp GROUP BY ALL),
+         w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+(?:\\.[0-9]+)*') AS ws FROM documents),
+         df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(ws) AS term FROM w) WHERE term IN (SELECT term FROM tw) GROUP BY 1),
+         total AS (SELECT count(*) + {len(licenses.TEMPLATES)} AS total FROM documents),
+         idf AS MATERIALIZED (SELECT term, ln((1 + total) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tw) LEFT JOIN df USING (term), total),
+         b2 AS (SELECT template, term, (tf * idf) * (tf * idf) AS b FROM tw JOIN idf USING (term)),
+         cum AS (SELECT *, sum(b) OVER (PARTITION BY template) AS whole,
+                        coalesce(sum(b) OVER (PARTITION BY template ORDER BY round(b, 9) DESC, term ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b2),
+         seed AS (SELECT template, term FROM cum WHERE whole - before >= {licenses.LEAST_COSINE**2!r} * whole),
+         p AS (SELECT doc_id, unnest(ws) AS term, generate_subscripts(ws, 1) - 1 AS pos FROM w),
+         s AS (SELECT DISTINCT doc_id, tp.template, tp.size, pos - place AS st FROM p JOIN tp USING (term) JOIN seed ON seed.template = tp.template AND seed.term = tp.term),
+         v AS MATERIALIZED (SELECT doc_id, template, greatest(st, 0) AS start, ws[greatest(st, 0) + 1:st + size] AS words FROM s JOIN w USING (doc_id)),
+         kw AS (SELECT template, words, term, count(*) AS tf FROM (SELECT template, words, unnest(words) AS term FROM (SELECT DISTINCT template, words FROM v)) GROUP BY ALL),
+         own AS (SELECT kw.*, kw.tf * coalesce(idf, ln(1 + total) + 1) AS a FROM kw LEFT JOIN idf USING (term), total),
+         tn AS (SELECT template, sqrt(sum(b)) AS l FROM b2 GROUP BY 1),
+         cos AS (SELECT own.template, words, round(sum(a * sqrt(b) / l) / sqrt(sum(a * a)), 6) AS cosine
+                 FROM own JOIN tn USING (template) LEFT JOIN b2 ON b2.template = own.template AND b2.term = own.term GROUP BY 1, 2),
+         best AS (SELECT doc_id, start, licence, cosine FROM v JOIN cos USING (template, words) JOIN t USING (template) WHERE cosine >= {licenses.LEAST_COSINE}),
          f AS (SELECT doc_id, {_PATH} AS path, b.licence, b.cosine FROM documents LEFT JOIN (
-                 SELECT doc_id, licence, cosine FROM s JOIN best USING (words)
-                 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line, licence) = 1) b USING (doc_id)),
+                 SELECT doc_id, licence, cosine FROM best
+                 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, start, licence) = 1) b USING (doc_id)),
          g AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, licence, cosine FROM f WHERE licence IS NOT NULL AND contains(path, '/LICENSE-')
                QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY cosine DESC, licence) = 1),
          a AS (SELECT doc_id, g.licence, g.cosine FROM f JOIN g ON f.licence IS NULL AND starts_with(f.path, g.folder || '/')
