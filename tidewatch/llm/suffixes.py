@@ -1,4 +1,8 @@
-"""Repeated passages by a sparse suffix array: anchors at minimisers, runs of equal suffixes, extension to both sides."""
+"""Repeated passages from suffixes at minimisers: runs of suffixes that begin alike, and extension of matches to both sides.
+
+Suffixes are grouped by the hash of their first words instead of sorted: a run that very many texts share is folded in the tasks that
+read it, where a sort would bring it into one. Runs of words are compared by hashes of 64 bits.
+"""
 
 from __future__ import annotations
 
@@ -122,7 +126,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     folded to the least and greatest of what surrounds them. A run of one document is dropped. Where all neighbours
     of a run agree in all passages around the anchor, these are repeats as they are, however many copies there
     are. In the other runs each passage around the anchor is compared by itself, which extends a match to the left and to
-    the right as far as it goes, exactly. Words are parted by \\x20 and \\x09-\\x0D. Equal rows count as one document;
+    the right as far as it goes. Words are parted by \\x20 and \\x09-\\x0D. Equal rows count as one document;
     a null or short text has no passage; empty tables give no rows.
     """
     if passage <= PREFIX + GRAM:

@@ -12,7 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bounded_batches
+from tidewatch.llm.common import bounded_batches, saved, sent_if_few
 
 # Payloads below this many bytes are never revisited.
 LEAST_BYTES = 100
@@ -71,14 +71,15 @@ def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
 def _planned(pages: DataFrame, least: int) -> DataFrame:
     """Pages (`page_id`, `url`, `html`) with `digest` and `refers_to`, the page that a revisit refers to.
 
-    Only digests and ids meet in the shuffles; equal payloads are folded map-side before.
+    Digests and ids meet in the shuffles, equal payloads folded map-side before. The revisits are written first, and if they are few they are
+    sent to the pages, which then are not shuffled.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.withColumn("digest", F.sha2(html, 256))
     heads = rows.where(F.octet_length(html) >= least).select("page_id", "digest")
     many = heads.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL")
     again = heads.join(many, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).groupBy("page_id", "digest").agg(F.min("first").alias("refers_to"))
-    again = again.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to")
+    again = sent_if_few(saved(again.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to")))
     same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
     return rows.join(again, same, "left").drop("_page", "_digest")
 
