@@ -21,8 +21,6 @@ INDEX_KEYS = ("tbl", "month", "day")
 # Columns that name the file a row came from, and where an index table keeps the files it has taken, beside its rows.
 INPUT_KEYS = ("input_file", "input_bytes")
 REGISTER = "_inputs"
-# Files of batches without a note that are read for the inputs their rows name: one batch's, as a stream stops where it fails.
-MOST_LOST = 100_000
 
 
 def with_partitions(df: DataFrame, table: Column, day: Column, offset_hours: int = 8) -> DataFrame:
@@ -139,10 +137,13 @@ def loaded_inputs(spark: SparkSession, path: str, batch: str | None = None) -> D
         notes = spark.read.schema(kind).option("recursiveFileLookup", True).parquet(f"{path}/{REGISTER}")
         noted = notes.select(*INPUT_KEYS, F.regexp_extract("_metadata.file_path", f"/{REGISTER}/([^/]*)/", 1).alias("batch"))
     found = noted.where(F.col("batch") != own).select(*INPUT_KEYS)
-    held = index_files(spark, path).select("path", "batch").where(F.col("batch") != own)
-    lost = held.join(noted.select("batch").distinct(), "batch", "left_anti").where(F.col("batch").startswith("stream-"))
-    files = [r["path"] for r in lost.limit(MOST_LOST).collect()]
-    return found.unionByName(spark.read.schema(kind).parquet(*files).select(*INPUT_KEYS)).distinct() if files else found
+    held = index_files(spark, path).select("batch").where((F.col("batch") != own) & F.col("batch").startswith("stream-")).distinct()
+    lost = [r["batch"] for r in held.join(noted.select("batch").distinct(), "batch", "left_anti").collect()]  # as many as runs that failed
+    if not lost:
+        return found
+    labels = ", ".join(f"{k} string" for k in (*INDEX_KEYS, "batch"))
+    rows = spark.read.schema(f"{kind}, {labels}").parquet(path).where(F.col("batch").isin(*lost))
+    return found.unionByName(rows.select(*INPUT_KEYS)).distinct()
 
 
 def read_index(spark: SparkSession, path: str, *tables: str) -> DataFrame:

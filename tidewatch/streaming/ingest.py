@@ -93,8 +93,8 @@ def ingest(
             held = checkpointed(held.select("tbl", "day").distinct())
             out = out.join(broadcast_if_short(held), ["tbl", "day"], "left_anti").select(*out.columns)
         write_index(out, path, name)
-        if tracked:
-            register_inputs(fresh.select(*INPUT_KEYS).distinct(), path, name)
+        none = spark.createDataFrame([], "input_file string, input_bytes bigint")  # a note even so: the batch is not asked for its inputs later
+        register_inputs(fresh.select(*INPUT_KEYS).distinct() if tracked else none, path, name)
         if external is not None:
             external(out, batch_id)
 
