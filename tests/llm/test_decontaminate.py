@@ -184,3 +184,22 @@ def test_equal_weights_at_every_size():
     counts = np.arange(0, 1000.0)
     weights = decontaminate.term_weights(counts, 1000)[1:]
     assert (np.diff(weights) < 0).all() and np.abs(np.diff(weights)).max() <= np.log(3 / 2) + 1e-9
+
+
+def test_fit_takes_all_passages(spark):
+    """The axes hold as much of all passages as the best ones do: those of the texts' subjects, which lie across the items."""
+    draw = random.Random(31)
+    words = [f"word{n}" for n in range(120)]
+    block = decontaminate.Items([(n, " ".join(words[10 * n : 10 * n + 10]), None) for n in range(12)])
+    texts = [(n, " ".join(" ".join(draw.choices(words[n % 4 :: 4], k=32)) for _ in range(40))) for n in range(60)]
+    space = decontaminate.fitted(rows.docs(spark, texts).selectExpr("text"), block, 4)
+    weights, matrix = np.sqrt(space.square[1:-1]), []
+    for weight, ids in [*((1.0, block.numbers(t)) for _, t in texts), *((decontaminate.ITEM_WEIGHT, x) for x in block.ids)]:
+        for at in range(0, len(ids), 32):
+            matrix.append(np.zeros(block.size - 1))
+            matrix[-1][ids[at : at + 32] - 1] = weight
+    matrix = np.array(matrix) * weights
+    axes = space.axes[1:-1] / weights[:, None]
+    assert np.allclose(axes.T @ axes, np.eye(4), atol=1e-3)
+    best = np.linalg.svd(matrix, compute_uv=False)[:4] ** 2
+    assert ((matrix @ axes) ** 2).sum() > 0.99 * best.sum()

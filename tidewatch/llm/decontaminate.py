@@ -8,7 +8,6 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +19,9 @@ BLOCK_WORDS = 64_000
 PART_WORDS = 64
 # Words of a passage, by the least words of the items that it is compared with; passages start every half of it.
 PASSAGES = {8: 1, 16: 12, 32: 24}
-# Corpus passages that the latent space is fitted on, beside all of the benchmark's: those of the smallest hashes.
-FIT_PASSAGES = 4096
+# Passages that one row of the fit holds, and that are multiplied at once; terms whose sums travel as one row, and the most frequent
+# ones, which are multiplied as a full matrix.
+FIT_ROWS, FIT_AT_ONCE, FIT_TERMS, FIT_DENSE = 8192, 512, 4096, 384
 # Weight of the benchmark's rows in the fit, rank of the randomised decomposition, and its oversampling.
 ITEM_WEIGHT, RANK, EXTRA = 16.0, 96, 16
 # Least cosine of a candidate; share of an item's words that must be found in order, without and with its answer.
@@ -212,85 +212,142 @@ def _checked(texts: list[np.ndarray], items: Items, space: Space, seeds: list[Se
     return [[found[k] for k in sorted(found)] for found in best]
 
 
-def _read(docs: DataFrame, items: Items, n_docs: int) -> DataFrame:
-    """One pass over all texts: documents per term (`term`, `n`), and passages for the fit (`hash`, `ids`)."""
-    most = 1 << 64
-    below = min(most, most // max(1, n_docs) * 4 * FIT_PASSAGES)
+def _passages(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct benchmark terms of each passage (a row of term numbers), one passage after the other, and how many each has."""
+    ids = np.sort(ids, axis=1)
+    known = ids > 0
+    known[:, 1:] &= ids[:, 1:] != ids[:, :-1]
+    sizes = known.sum(axis=1)
+    return ids[known], sizes[sizes > 0]
+
+
+def _packed(passages: np.ndarray, size: int) -> Iterator[tuple[bytes, bytes]]:
+    """Passages as rows of the fit: terms, of which there are `size`, and how many each passage has."""
+    kind = np.min_scalar_type(size).newbyteorder("<")
+    for at in range(0, len(passages), FIT_ROWS):
+        terms_, sizes = _passages(passages[at : at + FIT_ROWS])
+        if len(sizes):
+            yield terms_.astype(kind).tobytes(), sizes.astype("<i4").tobytes()
+
+
+def _read(docs: DataFrame, items: Items) -> DataFrame:
+    """One pass over all texts: documents per term (`term`, `n`), and all their passages for the fit (`ids`, `sizes`)."""
     width = max(PASSAGES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(items.size, np.int64)
-        hashes, passages = [], []
-        get = items.vocabulary.get
+        names = ["term", "n", "ids", "sizes"]
         for batch in batches:
+            parts = []
             for text in batch.column(0).to_pylist():
-                words = terms(text or "")
-                counts[[get(w, 0) for w in set(words)]] += 1  # a number that comes twice, that of other words, is not used
-                mark = xxhash.xxh64_intdigest((text or "").encode(), 7)
-                if mark < below and words:
-                    at = mark % -(-len(words) // width) * width
-                    hashes.append(mark - (most >> 1))
-                    passages.append(np.unique([get(w, 0) for w in words[at : at + width]]).astype("<i4").tobytes())
-        yield pa.record_batch(
-            [
-                pa.array([*range(items.size), *[None] * len(hashes)], pa.int32()),
-                pa.array([*counts.tolist(), *hashes], pa.int64()),
-                pa.array([*[None] * items.size, *passages], pa.binary()),
-            ],
-            ["term", "n", "ids"],
-        )
-
-    return docs.select("text").mapInArrow(read, "term int, n long, ids binary")
-
-
-def _axes(spark: SparkSession, passages: list[tuple[float, bytes]], idf: np.ndarray, rank: int) -> np.ndarray:
-    """Right singular vectors of the weighted passages (rows) by a randomised range finder with one power step.
+                ids = items.numbers(text or "")
+                counts[np.unique(ids)] += 1
+                parts += [ids, np.zeros(-len(ids) % width, np.int32)]
+            for ids, sizes in _packed(np.concatenate(parts).reshape(-1, width) if parts else np.zeros((0, width), np.int32), items.size):
+                columns = [pa.array([None], pa.int32()), pa.array([None], pa.int64()), pa.array([ids], pa.binary()), pa.array([sizes], pa.binary())]
+                yield pa.record_batch(columns, names)
+        none = pa.nulls(items.size, pa.binary())
+        yield pa.record_batch([pa.array(range(items.size), pa.int32()), pa.array(counts), none, none], names)
+
+    return docs.select("text").mapInArrow(read, "term int, n long, ids binary, sizes binary")
+
+
+def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, source: np.ndarray) -> None:
+    """Add `source[rows]` to `out[at]`, `at` being sorted: the first of each place at once, then the second, and so on."""
+    begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+    many = np.diff(np.append(begins, len(at)))
+    while len(begins):
+        out[at[begins]] += source[rows[begins]]
+        more = many > 1
+        begins, many = begins[more] + 1, many[more] - 1
+
+
+def _summed(parts: DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Sums of the arrays `part` of each number `at`, added up in Spark, so that what comes back does not grow with the tasks."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held[at] = held.get(at, 0) + np.frombuffer(part, np.float32).astype(np.float64)
+        for at, total in held.items():
+            yield pa.record_batch([pa.array([at], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["at", "part"])
+
+    for row in parts.repartition("at").mapInArrow(add, "at int, part binary").toLocalIterator():
+        yield row["at"], np.frombuffer(row["part"], np.float64)
+
+
+def _axes(rows: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
+    """Right singular vectors of the weighted passages (`weight, ids, sizes`, see `_packed`) by a randomised range finder, a power
+    step and Nyström's formula, which needs no third pass.
 
     Every product with the matrix is a Spark job: tasks hold rows and return a sum of bounded size.
     """
-    rows = saved(spark.createDataFrame(passages, "weight double, ids binary").repartition(4))
-    width = min(len(idf), rank + EXTRA)
+    width, size = min(len(idf), rank + EXTRA), len(idf)
+    kind, context = np.min_scalar_type(size).newbyteorder("<"), rows.sparkSession.sparkContext
+    often = np.argsort(idf, kind="stable")[:FIT_DENSE]
+    often = often[often > 0]
 
-    def product(right: np.ndarray, gram: bool) -> np.ndarray:
-        sent = spark.sparkContext.broadcast((right * idf[:, None]).astype(np.float32))
+    def product(right: np.ndarray) -> np.ndarray:
+        sent = context.broadcast((right * idf[:, None]).astype(np.float32))
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             side = sent.value
-            out = np.zeros((side.shape[1] if gram else side.shape[0], side.shape[1]), np.float32)
+            slot = np.full(size, -1)
+            slot[often] = np.arange(len(often))
+            out, dense = np.zeros((size, width)), np.zeros((len(often), width))
             for batch in batches:
-                for weight, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    own = np.frombuffer(packed, "<i4")
-                    own = own[own > 0]
-                    row = weight * side[own].sum(axis=0)
-                    if gram:
-                        out += np.outer(row, row)
-                    else:
-                        out[own] += weight * (idf[own, None] * row).astype(np.float32)
-            yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], ["part"])
-
-        parts = rows.mapInArrow(multiply, "part binary").toLocalIterator()
-        shape = (width if gram else len(idf), width)
-        return sum((np.frombuffer(p["part"], np.float32).reshape(shape).astype(np.float64) for p in parts), np.zeros(shape))
-
-    basis = np.random.default_rng(11).standard_normal((len(idf), width))
-    for _ in range(2):
-        basis = np.linalg.qr(product(basis, gram=False))[0]
-    values, vectors = np.linalg.eigh(product(basis, gram=True))
-    return basis @ vectors[:, np.argsort(-values)[:rank]]
+                for weight, packed, counted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    terms_, sizes = np.frombuffer(packed, kind), np.frombuffer(counted, "<i4")
+                    ends = np.concatenate([[0], np.cumsum(sizes)])
+                    for at in range(0, len(sizes), FIT_AT_ONCE):
+                        many = sizes[at : at + FIT_AT_ONCE]
+                        own, row = terms_[ends[at] : ends[at + len(many)]], np.repeat(np.arange(len(many)), many)
+                        place = slot[own]
+                        full = np.zeros((len(many), len(often)), np.float32)
+                        full[row[place >= 0], place[place >= 0]] = 1
+                        made, own, row = full @ side[often], own[place < 0], row[place < 0]
+                        _add_rows(made, row, own, side)
+                        made *= weight * weight
+                        dense += full.T @ made
+                        order = np.argsort(own, kind="stable")
+                        _add_rows(out, own[order], row[order], made)
+            out[often] += dense
+            out *= idf[:, None]
+            for at in range(0, len(out), FIT_TERMS):
+                part = out[at : at + FIT_TERMS].astype(np.float32).tobytes()
+                yield pa.record_batch([pa.array([at], pa.int32()), pa.array([part], pa.binary())], ["at", "part"])
+
+        total = np.zeros((size, width))
+        for at, part in _summed(rows.mapInArrow(multiply, "at int, part binary")):
+            total[at : at + FIT_TERMS] = part.reshape(-1, width)
+        sent.destroy()
+        return total
+
+    basis = np.linalg.qr(product(np.random.default_rng(11).standard_normal((size, width))))[0]
+    made = product(basis)
+    values, vectors = np.linalg.eigh(basis.T @ made)
+    sure = values > values.max() * 1e-6  # 32-bit sums tell no less
+    root = made @ (vectors[:, sure] / np.sqrt(values[sure]))
+    return np.linalg.svd(root, full_matrices=False)[0][:, :rank]
 
 
 def fitted(docs: DataFrame, items: Items, rank: int = RANK) -> Space:
-    """The latent space of a block: term weights over all documents of `docs` (`text`), axes of its passages."""
+    """The latent space of a block: term weights over all documents of `docs` (`text`), axes of all their passages and the items."""
     spark = docs.sparkSession
     n_docs = docs.count()
-    seen = saved(_read(docs, items, n_docs))
+    seen = saved(_read(docs, items))
     counts = np.zeros(items.size)
     for row in seen.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["term"]] = row["n"]
     idf = term_weights(counts, n_docs)
-    sample = seen.where("term IS NULL").orderBy("n", "ids").limit(FIT_PASSAGES).collect()
-    passages = [(1.0, bytes(r["ids"])) for r in sample] + [(ITEM_WEIGHT, np.unique(x).astype("<i4").tobytes()) for x in items.ids]
-    return Space(items, idf, _axes(spark, passages, idf, min(len(idf), rank)), counts)
+    padded = np.zeros((len(items.ids), PART_WORDS), np.int64)
+    for row, ids in zip(padded, items.ids, strict=True):
+        row[: len(ids)] = ids
+    kind = "weight float, ids binary, sizes binary"
+    asked = spark.createDataFrame([(ITEM_WEIGHT, *row) for row in _packed(padded, items.size)], kind)
+    rows = seen.where("term IS NULL").select(F.lit(1.0).cast("float").alias("weight"), "ids", "sizes").unionByName(asked)
+    return Space(items, idf, _axes(rows, idf, min(len(idf), rank)), counts)
 
 
 def _search(spark: SparkSession, items: Items, space: Space, limits: tuple[float, float, float]):
@@ -327,8 +384,7 @@ def leaks(
     (share of the item's words found in order), `start` and `end` (words).
 
     Passages are TF-IDF vectors over the benchmark's terms, with document counts over all texts. A randomised decomposition,
-    fitted on all items and at most `FIT_PASSAGES` corpus passages (those of the smallest hashes, one a document), gives the
-    latent space in which the passages of every text are compared with the items of which they hold a word that no finding can do
+    fitted on all items and all passages of all texts (`PASSAGES`' longest, one after the other), gives the latent space in which the passages of every text are compared with the items of which they hold a word that no finding can do
     without (see `Seeds`). Candidates that may have a cosine of `cosine` or more are verified:
     `copy` of the item's words in order, or `paraphrase` of them and every word of its answer. Without an answer
     column the rarest words stand for it. An item over `PART_WORDS` words is found by any of its parts. The benchmark is
