@@ -5,8 +5,10 @@ import random
 import pytest
 
 from tests.helpers import rows
+from tidewatch.operators import firewall
 from tidewatch.operators.firewall import POLICY_COLUMNS, policy_table
 from tidewatch.sources.landed import read_lines
+from tidewatch.sources.sinks import write_policy_sheet
 
 SCHEMA = "file string, line_no bigint, line string"
 
@@ -83,3 +85,23 @@ def test_random_files_at_any_chunk_size(spark, size):
 def test_from_files(spark, tmp_path):
     (tmp_path / "fw.txt").write_text("\n".join(SMALL))
     assert policy_table(read_lines(spark, str(tmp_path))).count() == 5
+
+
+def test_lines_are_shuffled_once_as_text(spark, monkeypatch):
+    """What is shuffled and sorted by chunk is the text, in tasks cut by lines, and what is grouped holds no states."""
+    monkeypatch.setattr(firewall, "TASK_LINES", 20)
+    lines = numbered(spark, a=make_lines(4, 900))
+    plan = policy_table(lines, 64)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(file#" in plan and ", 45)" in plan
+    sorts = [x.split("Sort [", 1)[1] for x in plan.splitlines() if "Sort [" in x and "_chunk" in x and "line_no" in x]
+    assert len(sorts) == 1
+    got = rows(policy_table(lines, 64), "file", *POLICY_COLUMNS)
+    assert sorted(got) == sorted(("a", *r) for r in by_blocks(make_lines(4, 900)))
+
+
+def test_packed_sheet_has_the_same_rows(spark, tmp_path):
+    table = policy_table(numbered(spark, f=SMALL))
+    write_policy_sheet(table, str(tmp_path / "plain"))
+    write_policy_sheet(table, str(tmp_path / "packed"), "gzip")
+    plain, packed = (spark.read.option("header", True).csv(str(tmp_path / n)) for n in ("plain", "packed"))
+    assert list((tmp_path / "packed").glob("*.csv.gz")) and rows(plain, *plain.columns) == rows(packed, *packed.columns)

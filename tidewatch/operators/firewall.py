@@ -23,6 +23,8 @@ POLICY_COLUMNS = (
     "policy",
 )
 POLICY_HEADERS = {"rule_state": "rule启用状态", "policy": "策略"}
+# Lines that a task sorts and groups.
+TASK_LINES = 500_000
 _HEAD = tuple(c for c in POLICY_COLUMNS if c not in ("source_ip", "dest_ip", "service"))
 
 
@@ -52,9 +54,11 @@ def _end() -> Column:
     return F.when((_field(0) == "rule") & (F.size("_f") != 3), F.col("line_no"))
 
 
+_LISTS = {"_src": "source-ip", "_dst": "destination-ip", "_svc": "service"}
+
+
 def _lists() -> list[Column]:
-    words = {"_src": "source-ip", "_dst": "destination-ip", "_svc": "service"}
-    return [F.collect_list(F.when(_field(0) == w, _field(1))).alias(n) for n, w in words.items()]
+    return [F.collect_list(F.when(_field(0) == w, _field(1))).alias(n) for n, w in _LISTS.items()]
 
 
 def _head(rule_state: Column) -> Column:
@@ -78,25 +82,39 @@ def _head(rule_state: Column) -> Column:
     )
 
 
-def _whole_rules(split: DataFrame, carry: DataFrame, size: int) -> DataFrame:
-    """Rules that lie inside one chunk, with their lists; grouping needs no further shuffle."""
-    tagged = carry_forward(split, ["file"], "line_no", _noted(), {"_start": _end()}, carry, size)
+def _split(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("_f", line_fields(F.col("line"))).drop("line")
+
+
+def _whole_rules(lines: DataFrame, carry: DataFrame, size: int) -> DataFrame:
+    """Rules that lie inside one chunk, with their lists; grouping needs no further shuffle.
+
+    The lines are shuffled and sorted as they are, and cut into fields and given their states only then. Grouping sorts what it
+    takes in, so a row holds one list value or the head of a rule by then, and no states. Lines are short and pack well, so tasks are
+    cut by their number: by packed bytes, a task would have to sort more than its memory holds.
+    """
+    n_lines = carry.agg(F.sum("_n")).first()[0] or 0
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, -(-n_lines // TASK_LINES))
+    dealt = lines.repartition(tasks, "file", "_chunk").sortWithinPartitions("file", "_chunk", "line_no")
+    tagged = carry_forward(_split(dealt), ["file"], "line_no", _noted(), {"_start": _end()}, carry, size)
     tagged = tagged.withColumn("_start", F.coalesce("_start", F.lit(-1)))
     inside = tagged.filter(F.expr(f"floor(_start / {size})") == F.col("_chunk"))
-    closing = F.max(F.when(_end().isNotNull(), _head(_field(1)))).alias("_head")
-    pieces = inside.groupBy("file", "_chunk", "_start").agg(*_lists(), closing)
+    listed = F.coalesce(*[F.when(_field(0) == w, i) for i, w in enumerate(_LISTS.values())])
+    head = F.when(_end().isNotNull(), _head(_field(1))).alias("_head")
+    rows = inside.select("file", "_chunk", "_start", listed.cast("byte").alias("_list"), F.when(listed.isNotNull(), _field(1)).alias("_value"), head)
+    lists = [F.collect_list(F.when(F.col("_list") == i, F.col("_value"))).alias(n) for i, n in enumerate(_LISTS)]
+    pieces = rows.where("_list IS NOT NULL OR _head IS NOT NULL").groupBy("file", "_chunk", "_start").agg(*lists, F.max("_head").alias("_head"))
     return pieces.filter(F.col("_head").isNotNull())
 
 
-def _cut_pieces(split: DataFrame, carry: DataFrame, size: int) -> DataFrame:
+def _cut_pieces(lines: DataFrame, carry: DataFrame) -> DataFrame:
     """Pieces of rules that cross a chunk border: the lines of each chunk up to its first end line, and
     those after its last. The former continue the rule that began after the last end line before."""
     before = F.col("line_no") <= F.coalesce("_first_end", F.lit(2**62))
     after = F.col("line_no") > F.col("_last_end")
+    met = lines.join(small_or_hashed(carry), ["file", "_chunk"]).filter(before | after)
     lines = (
-        split.withColumn("_chunk", chunk_of("line_no", size))
-        .join(small_or_hashed(carry), ["file", "_chunk"])
-        .filter(before | after)
+        _split(met)
         .withColumn("_start", F.when(after, F.col("_last_end")).otherwise(F.coalesce("_c__start", F.lit(-1))))
     )
     noted = _noted()
@@ -130,12 +148,12 @@ def policy_table(lines: DataFrame, size: int = CHUNK) -> DataFrame:
     expanded where they are, so no list is longer than a chunk. Rules that cross a border leave at most
     two pieces per chunk; these few are written to the shared folder and joined.
     """
-    split = lines.select("file", "line_no", line_fields(F.col("line")).alias("_f"))
-    ends = [F.min(_end()).alias("_first_end"), F.max(_end()).alias("_last_end")]
-    carry = checkpointed(chunk_carry(split, ["file"], "line_no", {**_noted(), "_start": _end()}, ends, size))
-    cut = checkpointed(_cut_pieces(split, carry, size))
+    lines = lines.select("file", "line_no", "line", chunk_of("line_no", size).alias("_chunk"))
+    ends = [F.min(_end()).alias("_first_end"), F.max(_end()).alias("_last_end"), F.count(F.lit(1)).alias("_n")]
+    carry = checkpointed(chunk_carry(_split(lines), ["file"], "line_no", {**_noted(), "_start": _end()}, ends, size))
+    cut = checkpointed(_cut_pieces(lines, carry))
     rule = ["file", "_start"]
     joined = cut.filter(F.col("_head").isNotNull()).select(*rule, "_head")
     for part in ("_src", "_dst", "_svc"):
         joined = joined.join(cut.filter(F.size(part) > 0).select(*rule, part), rule)
-    return _products(_whole_rules(split, carry, size)).unionByName(_products(joined))
+    return _products(_whole_rules(lines, carry, size)).unionByName(_products(joined))

@@ -21,6 +21,10 @@ def chunk_of(order: str, size: int = CHUNK) -> Column:
     return F.expr(f"`{order}` div {size}")
 
 
+def _in_chunks(df: DataFrame, order: str, size: int) -> DataFrame:
+    return df if "_chunk" in df.columns else df.withColumn("_chunk", chunk_of(order, size))
+
+
 def chunk_carry(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,10 +38,11 @@ def chunk_carry(
     The result has one row per chunk: keys, `_chunk`, the values as `_c_<name>`, and the extra
     aggregates over the chunk itself.
     """
+    df = _in_chunks(df, order, size)
     last = [
         F.max(F.when(e.isNotNull(), F.struct(F.col(order), e.alias("v")))).alias(f"_s_{n}") for n, e in exprs.items()
     ]
-    per_chunk = df.withColumn("_chunk", chunk_of(order, size)).groupBy(*keys, "_chunk").agg(*last, *extra)
+    per_chunk = df.groupBy(*keys, "_chunk").agg(*last, *extra)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.last(f"_s_{n}", True).over(before)["v"].alias(f"_c_{n}") for n in exprs]
     plain = [c for c in per_chunk.columns if not c.startswith("_s_")]
@@ -58,7 +63,8 @@ def carry_forward(
     `current` looks at rows up to and including the row itself, `previous` only at earlier rows.
     The result has `_chunk` too, and is left hash-partitioned by (keys, `_chunk`): rows are shuffled once
     for the join, which hashes the few carried rows, and the windows. `carry` may hand in the result of
-    `chunk_carry` for the same expressions.
+    `chunk_carry` for the same expressions. A `df` that has its `_chunk` keeps it: dealt out by (keys, `_chunk`) and sorted by
+    these and `order`, it is neither shuffled nor sorted again.
     """
     current, previous = dict(current or {}), dict(previous or {})
     exprs = {**current, **previous}
@@ -66,10 +72,11 @@ def carry_forward(
         carry = chunk_carry(df, keys, order, exprs, size=size)
     place = [*keys, "_chunk"]
     states = [F.col(f"_c_{n}") for n in exprs]
+    kept = [c for c in df.columns if c != "_chunk"]
     joined = (
-        df.withColumn("_chunk", chunk_of(order, size))
+        _in_chunks(df, order, size)
         .join(carry.select(*place, *states).hint("shuffle_hash"), place)
-        .select(*df.columns, "_chunk", *states, *[e.alias(f"_e_{n}") for n, e in exprs.items()])
+        .select(*kept, "_chunk", *states, *[e.alias(f"_e_{n}") for n, e in exprs.items()])
     )
     within = Window.partitionBy(*place).orderBy(order)
     upto = within.rowsBetween(Window.unboundedPreceding, 0)
@@ -78,7 +85,7 @@ def carry_forward(
         F.coalesce(F.last(f"_e_{n}", True).over(upto if n in current else ahead), F.col(f"_c_{n}")).alias(n)
         for n in exprs
     ]
-    return joined.select(*df.columns, "_chunk", *filled)
+    return joined.select(*kept, "_chunk", *filled)
 
 
 def concat_ordered(

@@ -165,10 +165,10 @@ def send_documents(df: DataFrame, send: Callable[[list[Row]], None], size: int =
     df.foreachPartition(each)
 
 
-def write_policy_sheet(policies: DataFrame, path: str) -> None:
-    """The flat policy table as CSV with its fixed ten columns."""
+def write_policy_sheet(policies: DataFrame, path: str, compression: str = "none") -> None:
+    """The flat policy table as CSV with its fixed ten columns, packed by a codec that CSV readers know, such as `gzip`, if one is named."""
     named = [F.col(c).alias(POLICY_HEADERS.get(c, c)) for c in POLICY_COLUMNS]
-    policies.select(*named).write.mode("overwrite").option("header", True).csv(path)
+    policies.select(*named).write.mode("overwrite").options(header=True, compression=compression).csv(path)
 
 
 def write_changes(changes: DataFrame, text: Column, path: str) -> None:
