@@ -71,7 +71,7 @@ def policy_files(t: Tables) -> DataFrame:
 def policy_sheet(t: Tables) -> DataFrame:
     """The flat policies as the ten-column sheet. CSV knows no difference between an empty and a missing field."""
     path = work_path(t.spark, "sheet")
-    sinks.write_policy_sheet(policy_table(policy_lines(t)), path)
+    sinks.write_policy_sheet(policy_table(policy_lines(t)), path, "gzip")
     sheet = t.spark.read.options(header=True, nullValue="").csv(path)
     return sheet.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in sheet.columns])
 
