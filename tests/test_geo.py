@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from tidewatch.functions.net import ip_key, long_to_ip
+from tidewatch.operators import geo as geo_operators
 from tidewatch.operators.geo import BROADCAST_BYTES, PIECE_BYTES, disjoint_ranges, finest_bits, geo_enrich, visible_stretches
 from tidewatch.sources.landed import SCHEMAS
 
@@ -50,6 +51,27 @@ def test_both_ways_equal_brute_force(spark, limit):
     assert got.filter("id = -3").first()["dip_country_name"] == place(9)[0]
 
 
+def test_rows_are_walked_once_and_few_addresses_are_sent(spark, monkeypatch):
+    """Beyond a broadcast of the ranges, rows are shuffled once for each column of many addresses, busy buckets by several tasks, and not at
+    all for a column of few."""
+    monkeypatch.setattr(geo_operators, "WALK_ROWS", 40)
+    rnd = random.Random(5)
+    ranges = make_ranges(rnd)
+    data = [(i, rnd.choice([7, rnd.randrange(60_000), rnd.randrange(4_400_000)]), rnd.choice([None, 8, 400_000])) for i in range(3000)]
+    df = spark.createDataFrame(data, "id int, n bigint, m bigint").select("id", long_to_ip(F.col("n")).alias("sip"), long_to_ip(F.col("m")).alias("dip"))
+    df = df.withColumn("sip", F.when(F.col("id") % 50 == 0, "1.2.3").when(F.col("id") % 50 != 1, F.col("sip")))
+    got = geo_enrich(df, ["sip", "dip"], spark.createDataFrame(ranges, SCHEMAS["geo_ranges"]), 5_000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+
+    def place(n):
+        return next((r[4] for r in ranges if n and r[0] <= n <= r[1]), None)
+
+    want = {i: (place(n) if i % 50 > 1 else None, place(m)) for i, n, m in data}
+    assert {r["id"]: (r["sip_country_name"], r["dip_country_name"]) for r in got.collect()} == want and got.count() == 3000
+    assert got.columns[3:5] == ["sip_location", "sip_country_name"]
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_finest_bits(spark):
     geo = spark.createDataFrame([(0, 2**24 - 1, 1.0, 1.0, *[None] * 7)], SCHEMAS["geo_ranges"])
     whole = disjoint_ranges(geo)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.net import MAPPED, ip_key, ip_to_long, long_to_ip
+from tidewatch.operators.joins import small_or_hashed
 from tidewatch.session import checkpointed
 
 # Names of the derived columns after the address column's name.
@@ -29,6 +30,8 @@ BUCKET_BITS = (8, 10, 12, 14, 16, 20, 24)
 BROADCAST_BYTES = 128 << 20
 BUCKET_PIECES = 256
 PIECE_BYTES = 96  # a piece without its texts
+# Rows of one /16 bucket that a task walks; a bucket with more is dealt to several tasks.
+WALK_ROWS = 1 << 20
 # Hex digits of the prefix by which IPv6 ranges are dealt out. Disjoint ranges that share a shorter prefix and differ in the
 # next digit are at most 15 for each prefix, so there are less than 16 ** SHORT of them.
 SHORT = 4
@@ -138,11 +141,14 @@ def range_pieces(ranges: DataFrame, bits: int = WALK_BITS) -> DataFrame:
     return _cut(ranges, bits, "_place")
 
 
+def _piece_size() -> Column:
+    return F.coalesce(F.octet_length(F.to_json("_place")), F.lit(0)) + PIECE_BYTES
+
+
 def finest_bits(ranges: DataFrame, limit: int) -> int | None:
     """Bits of the smallest bucket that cuts disjoint ranges into pieces of at most `limit` bytes in all; None if none does,
     or if a bucket would hold more than `BUCKET_PIECES` of them."""
-    lo, hi = F.col("start_ip"), F.col("end_ip")
-    size = F.coalesce(F.octet_length(F.to_json("_place")), F.lit(0)) + PIECE_BYTES
+    lo, hi, size = F.col("start_ip"), F.col("end_ip"), _piece_size()
     pieces = [F.sum((_bucket(hi, b) - _bucket(lo, b) + 1) * size).alias(str(b)) for b in BUCKET_BITS]
     counted = ranges.agg(*pieces).first()
     bits = next((b for b in BUCKET_BITS if (counted[str(b)] or 0) <= limit), None)
@@ -189,6 +195,36 @@ def places_of(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
     )
 
 
+def _address_counts(df: DataFrame, ip_cols: Sequence[str]) -> DataFrame:
+    """Rows `_n` and about how many distinct addresses `_d` each column (`_of`) has in each /16 bucket, kept."""
+    each = F.array(*[F.struct(F.lit(i).alias("_of"), _usable(F.col(ip)).alias("_at")) for i, ip in enumerate(ip_cols)])
+    found = df.select(F.explode(each).alias("_a")).select("_a.*").where("_at IS NOT NULL")
+    counts = found.groupBy("_of", _bucket(F.col("_at"), WALK_BITS).alias("_bucket"))
+    return checkpointed(counts.agg(F.count(F.lit(1)).alias("_n"), F.approx_count_distinct("_at", 0.2).alias("_d")))
+
+
+def _walked(df: DataFrame, ip: str, ranges: DataFrame, busy: DataFrame) -> DataFrame:
+    """`df` with the place columns of an address column, by walking its rows and the ranges in order: rows are shuffled once, and
+    neither made distinct nor joined back. Buckets in `busy` (`_bucket`, `_tasks`) meet their ranges in that many tasks, and rows
+    without an address go to many tasks under buckets that hold no range.
+    """
+    spread = F.monotonically_increasing_id()
+    rows = df.select("*", _usable(F.col(ip)).alias("_at"), spread.alias("_row"), F.lit(1).alias("_kind"))
+    rows = rows.withColumn("_bucket", F.coalesce(_bucket(F.col("_at"), WALK_BITS), -1 - F.pmod("_row", F.lit(4096))))
+    pieces = range_pieces(ranges).select("_bucket", F.col("_lo").alias("_at"), F.lit(0).alias("_kind"), "_hi", "_place")
+    place = ["_bucket"]
+    if not busy.isEmpty():
+        place, tasks = ["_bucket", "_task"], F.coalesce("_tasks", F.lit(1))
+        rows = rows.join(small_or_hashed(busy), "_bucket", "left").withColumn("_task", F.pmod("_row", tasks)).drop("_tasks")
+        dealt = F.explode(F.sequence(F.lit(0).cast("bigint"), tasks - 1))
+        pieces = pieces.join(small_or_hashed(busy), "_bucket", "left").withColumn("_task", dealt).drop("_tasks")
+    walk = rows.drop("_row").unionByName(pieces, allowMissingColumns=True)
+    so_far = Window.partitionBy(*place).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    walk = walk.withColumn("_piece", F.last(F.when(F.col("_kind") == 0, F.struct("_hi", "_place")), True).over(so_far)).where("_kind = 1")
+    met = F.when(F.col("_at") <= F.col("_piece._hi"), F.col("_piece._place"))
+    return walk.withColumn("_place", met).select(*df.columns, *_place_columns(ip, F.col("_place")))
+
+
 def _swept_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """As `_swept`, over keys of hex digits, with the prefix that both ends of a stretch share."""
     rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
@@ -282,9 +318,9 @@ def geo_enrich(
 
     Ranges may overlap: see `disjoint_ranges` for the one that counts, whichever way is taken. The disjoint ranges are
     measured. If they can be cut into pieces of at most `broadcast_bytes`, few in every bucket, these are broadcast, in the
-    smallest buckets that allows, and `df` is not shuffled at all. Otherwise distinct addresses are placed by
-    an ordered walk and joined back. Addresses that have no place go to many tasks under keys that meet nothing;
-    hot addresses are split by adaptive execution.
+    smallest buckets that allows, and `df` is not shuffled at all. Otherwise each column is placed by an ordered walk: of its distinct
+    addresses, if the places of these can be broadcast, else of the rows, which are shuffled once by bucket. Addresses that have
+    no place go to many tasks under buckets that meet nothing, and buckets with very many rows to several tasks.
 
     `ranges6` has the ranges of IPv6 addresses, their ends as text. With it, IPv6 addresses in any spelling get their places too,
     and IPv4 addresses that are written as IPv6 ones (`::ffff:1.2.3.4`) those of `ranges`.
@@ -311,10 +347,18 @@ def _with_places4(df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broa
         for ip in ip_cols:
             df = _with_broadcast(df, ip, pieces, bits)
         return df
-    texts = df.select(F.explode(F.array(*[F.col(c) for c in ip_cols])).alias("_text")).distinct()
-    places = checkpointed(places_of(texts, ranges)).withColumnRenamed("_text", "_met")
-    for ip in ip_cols:
-        columns = df.columns
-        joined = _joined_back(df, F.when(_usable(F.col(ip)).isNotNull(), F.col(ip)), places)
-        df = joined.select(*columns, *_place_columns(ip, F.col("_place")))
-    return df
+    counts = _address_counts(df, ip_cols)
+    distinct = {r["_of"]: r["_d"] for r in counts.groupBy("_of").agg(F.sum("_d").alias("_d")).collect()}
+    size = ranges.agg(F.avg(_piece_size())).first()[0] or 0
+    columns = df.columns
+    few = [i for i in range(len(ip_cols)) if distinct.get(i, 0) * size <= broadcast_bytes]
+    for i in sorted(range(len(ip_cols)), key=few.__contains__):
+        ip, own = ip_cols[i], df.columns
+        if i in few:
+            texts = df.select(F.col(ip).alias("_text")).distinct()
+            places = checkpointed(places_of(texts, ranges))
+            df = df.join(F.broadcast(places), F.col(ip) == F.col("_text"), "left").select(*own, *_place_columns(ip, F.col("_place")))
+        else:
+            busy = counts.where((F.col("_of") == i) & (F.col("_n") > WALK_ROWS))
+            df = _walked(df, ip, ranges, busy.select("_bucket", F.ceil(F.col("_n") / WALK_ROWS).alias("_tasks")))
+    return df.select(*columns, *[f"{ip}_{f}" for ip in ip_cols for f in ("location", *PLACE_FIELDS)])
