@@ -7,6 +7,9 @@ import pytest
 from tests.helpers import rows
 from tidewatch.operators import firewall
 from tidewatch.operators.firewall import POLICY_COLUMNS, policy_table
+from tidewatch.plans import landing
+from tidewatch.plans.network import policy_lines
+from tidewatch.plans.registry import Tables
 from tidewatch.sources.landed import read_lines
 from tidewatch.sources.sinks import write_policy_sheet
 
@@ -87,6 +90,29 @@ def test_from_files(spark, tmp_path):
     assert policy_table(read_lines(spark, str(tmp_path))).count() == 5
 
 
+def test_files_written_in_parts(spark, tmp_path, monkeypatch):
+    """A file is written by several tasks, in order, and its parts are numbered as one file."""
+    at = {"orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double", "lineitem": "l_orderkey long, l_suppkey long, l_partkey long, l_discount double"}
+    rnd = random.Random(9)
+    made = {
+        "orders": [(i, rnd.randrange(9), rnd.choice("FOP"), float(rnd.randrange(500_000))) for i in range(400)],
+        "lineitem": [(rnd.randrange(400), rnd.randrange(9), rnd.randrange(9), rnd.choice([0.0, 0.07])) for _ in range(900)],
+    }
+    for name, schema in at.items():
+        spark.createDataFrame(made[name], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    kept = []
+    monkeypatch.setattr(landing, "work_path", lambda *_: kept.append(str(tmp_path / "written")) or kept[-1])
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = rows(landing.policy_files(Tables(spark, str(tmp_path))), "file", *POLICY_COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert got and sorted(got) == sorted(rows(policy_table(policy_lines(Tables(spark, str(tmp_path)))), "file", *POLICY_COLUMNS))
+    parts = [p.parent.name for p in (tmp_path / "written").rglob("part-*.txt")]
+    assert set(parts) == {f"file=fw{i}" for i in range(5)} and len(parts) > 5
+
+
 def test_lines_are_shuffled_once_as_text(spark, monkeypatch):
     """What is shuffled and sorted by chunk is the text, in tasks cut by lines, and what is grouped holds no states."""
     monkeypatch.setattr(firewall, "TASK_LINES", 20)

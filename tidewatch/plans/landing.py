@@ -51,16 +51,15 @@ def flow_files(t: Tables) -> DataFrame:
 
 def _policy_folder(t: Tables) -> str:
     path = work_path(t.spark, "policies")
-    lines = policy_lines(t).repartition(5, "file").sortWithinPartitions("file", "line_no")
+    lines = policy_lines(t).repartitionByRange("file", "line_no").sortWithinPartitions("file", "line_no")
     lines.select("file", F.col("line").alias("value")).write.partitionBy("file").text(path)
     return path
 
 
 @query("policy_files", FLAT_SQL)
 def policy_files(t: Tables) -> DataFrame:
-    """The policy lines as text files, read back by line number."""
-    flat = policy_table(landed.read_lines(t.spark, _policy_folder(t)))
-    return flat.withColumn("file", F.regexp_extract("file", "file=(fw[0-9]+)/", 1))
+    """The policy lines as text files, each in as many parts as tasks write it, read back by line number."""
+    return policy_table(landed.read_lines(t.spark, _policy_folder(t), "file=(fw[0-9]+)/"))
 
 
 @query(

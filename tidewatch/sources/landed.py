@@ -213,9 +213,12 @@ def read_json_lines(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(folder)
 
 
-def read_lines(spark: SparkSession, folder: str) -> DataFrame:
+def read_lines(spark: SparkSession, folder: str, parts_of: str | None = None) -> DataFrame:
     """Lines of text files as `file, line_no, line`, numbered from 0 in each file, also for files cut into many splits.
 
+    With `parts_of`, a pattern with one group, files whose paths have the same group are parts of one file, which has that name: shorter names
+    come first, and of equal length the lesser, which is the order in which Spark's tasks number what they write.
+
     The lines are read once and written to the shared folder with the start of their split and their row number in the task that
     read it. The number of a line follows from the lines in the splits before it, which is one row per split to add
     up. So numbers do not depend on how a file is cut, and a later use never reads the files anew.
@@ -223,12 +226,13 @@ def read_lines(spark: SparkSession, folder: str) -> DataFrame:
     row = F.monotonically_increasing_id()
     start = F.col("_metadata.file_block_start")
     lines = checkpointed(
-        spark.read.text(folder).select(F.col("_metadata.file_path").alias("file"), start.alias("_start"), row.alias("_row"), F.col("value").alias("line"))
+        spark.read.text(folder).select(F.col("_metadata.file_path").alias("_path"), start.alias("_start"), row.alias("_row"), F.col("value").alias("line"))
     )
-    splits = lines.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    before = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = checkpointed(splits.select("file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    numbered = lines.join(small_or_hashed(splits), ["file", "_start"])
+    splits = lines.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    splits = splits.withColumn("file", F.regexp_extract("_path", parts_of, 1) if parts_of else F.col("_path"))
+    before = Window.partitionBy("file").orderBy(F.length("_path"), "_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = checkpointed(splits.select("file", "_path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    numbered = lines.join(small_or_hashed(splits), ["_path", "_start"])
     return numbered.select("file", (F.col("_before") + F.col("_row") - F.col("_first")).alias("line_no"), "line")
 
 
