@@ -168,6 +168,21 @@ def test_mixed_addresses(spark, limit):
     assert got == {i: place(n) for i, _, n in rows_} | {-1: "four", -2: "four", -3: None, -4: None, -5: None}
 
 
+def test_addresses_are_read_once_per_text(spark, monkeypatch):
+    """Texts are made distinct before they are read as addresses, and rows get their places by text; a mapped address takes what its IPv4 range
+    lacks from the IPv6 one."""
+    read = []
+    monkeypatch.setattr(geo_operators, "ip_key", lambda c: read.append(str(c)) or ip_key(c))
+    texts = ["2001:db8::1", "2001:DB8:0::1", "::ffff:0.0.0.9", "::FFFF:0:9", "::ffff:0.0.9.9", "0.0.0.9", "fe80::g", "2002::", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "id int, sip string")
+    four = spark.createDataFrame([(9, 9, 1.0, 1.0, "four", *[None] * 6)], SCHEMAS["geo_ranges"])
+    six = spark.createDataFrame([("2001:db8::", "2001:db8::ffff", 1.0, 1.0, "six", *[None] * 6), ("::ffff:0:0", "::ffff:ffff:ffff", 1.0, 1.0, "all", "zh", *[None] * 5)], SCHEMAS["geo_ranges6"])
+    got = geo_enrich(df, ["sip"], four, ranges6=six)
+    want = [("six", None)] * 2 + [("four", "zh")] * 2 + [("all", "zh"), ("four", None)] + [(None, None)] * 3
+    assert [(r["sip_country_name"], r["sip_country_name_zh"]) for r in got.orderBy("id").collect()] == want * 3
+    assert not [c for c in read if "sip" in c] and len(read) == 3
+
+
 def test_no_ranges_and_no_addresses_of_one_kind(spark):
     none6, none4 = spark.createDataFrame([], GEO6), spark.createDataFrame([], SCHEMAS["geo_ranges"])
     df = spark.createDataFrame([("2001:db8::1",), ("1.2.3.4",)], "sip string")

@@ -268,7 +268,7 @@ def prefix_pieces(ranges: DataFrame) -> DataFrame:
 
 
 def places_of_keys(keys: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Place of each address in column `_key`, by joins on its prefixes of the lengths that `pieces` have (33 at most).
+    """`keys` that have a place, with it, by joins on prefixes of the address in `_key` of the lengths that `pieces` have (33 at most).
 
     A prefix holds at most 15 stretches, as disjoint ones differ in the digit after it, so no address is compared with many.
     Stretches under short prefixes, where many addresses meet, are few by that bound and are broadcast.
@@ -277,8 +277,8 @@ def places_of_keys(keys: DataFrame, pieces: DataFrame) -> DataFrame:
 
     def met(levels: list[int], pieces: DataFrame) -> DataFrame:
         prefixes = [F.struct(F.lit(n).alias("_level"), F.substring("_key", 1, n).alias("_prefix")) for n in levels]
-        wide = keys.select("_key", F.explode(F.array(*prefixes)).alias("_p")).select("_key", "_p.*")
-        return wide.join(pieces, ["_level", "_prefix"]).where(F.col("_key").between(F.col("_at"), F.col("_to"))).select("_key", "_place")
+        wide = keys.withColumn("_p", F.explode(F.array(*prefixes))).select(*keys.columns, "_p.*")
+        return wide.join(pieces, ["_level", "_prefix"]).where(F.col("_key").between(F.col("_at"), F.col("_to"))).select(*keys.columns, "_place")
 
     found = [
         met(own, F.broadcast(part) if own[0] < SHORT else part)
@@ -289,7 +289,7 @@ def places_of_keys(keys: DataFrame, pieces: DataFrame) -> DataFrame:
         if own
     ]
     if not found:
-        return keys.select("_key").limit(0).crossJoin(pieces.select("_place").limit(0))
+        return keys.limit(0).crossJoin(pieces.select("_place").limit(0))
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
@@ -299,15 +299,26 @@ def _joined_back(df: DataFrame, key: Column, places: DataFrame) -> DataFrame:
     return df.withColumn("_key", F.coalesce(key, spread)).join(places, F.col("_key") == F.col("_met"), "left").drop("_key", "_met")
 
 
-def _with_places6(df: DataFrame, ip_cols: Sequence[str], ranges6: DataFrame) -> DataFrame:
-    """Fills the place columns of addresses with a key in `_k_<column>`, the distinct ones of which are looked up and joined back."""
-    keys = df.select(F.explode(F.array(*[F.col(f"_k_{ip}") for ip in ip_cols])).alias("_key")).where("_key IS NOT NULL").distinct()
-    places = checkpointed(places_of_keys(keys, checkpointed(prefix_pieces(ranges6)))).withColumnRenamed("_key", "_met")
+def _with_places6(df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_bytes: int, ranges6: DataFrame) -> DataFrame:
+    """Fills the place columns of addresses with a colon. Reading an address is dear, so it is done once for each distinct text, and places are
+    joined back by text. An address of `ranges` in IPv6 spelling has its place there, and what that lacks from `ranges6`."""
+    fields = ("location", *PLACE_FIELDS)
+    texts = {ip: F.when(F.contains(F.col(ip), F.lit(":")) & F.col(ip).rlike("^[0-9A-Fa-f:.]+$"), F.col(ip)) for ip in ip_cols}
+    distinct = df.select(F.explode(F.array(*texts.values())).alias("_met")).where("_met IS NOT NULL").distinct()
+    keyed = checkpointed(distinct.withColumn("_key", ip_key(F.col("_met"))).where("_key IS NOT NULL"))
+    pieces = checkpointed(prefix_pieces(ranges6))
+    mapped = F.substring("_key", 1, 24) == MAPPED
+    only6, both = keyed.where(~mapped), keyed.where(mapped)
+    dotted = long_to_ip(F.conv(F.substring("_key", 25, 8), 16, 10).cast("bigint"))
+    four = _with_places4(both.select("_met", dotted.alias("_v4")), ["_v4"], ranges, broadcast_bytes)
+    four = four.join(places_of_keys(both, pieces).drop("_key"), "_met", "left")
+    first = F.struct(*[F.coalesce(F.col(f"_v4_{f}"), F.col("_place")[f]).alias(f) for f in fields])
+    places = checkpointed(places_of_keys(only6, pieces).drop("_key").unionByName(four.select("_met", first.alias("_place"))))
     for ip in ip_cols:
-        names = [f"{ip}_{f}" for f in ("location", *PLACE_FIELDS)]
+        names = [f"{ip}_{f}" for f in fields]
         other = [c for c in df.columns if c not in names]
-        filled = [F.coalesce(F.col(n), F.col("_place")[f]).alias(n) for n, f in zip(names, ("location", *PLACE_FIELDS), strict=True)]
-        df = _joined_back(df, F.col(f"_k_{ip}"), places).select(*other, *filled)
+        filled = [F.coalesce(F.col(n), F.col("_place")[f]).alias(n) for n, f in zip(names, fields, strict=True)]
+        df = _joined_back(df, texts[ip], places).select(*other, *filled)
     return df
 
 
@@ -325,22 +336,16 @@ def geo_enrich(
     `ranges6` has the ranges of IPv6 addresses, their ends as text. With it, IPv6 addresses in any spelling get their places too,
     and IPv4 addresses that are written as IPv6 ones (`::ffff:1.2.3.4`) those of `ranges`.
     """
+    columns = df.columns
+    ranges = checkpointed(disjoint_ranges(ranges))
+    placed = _with_places4(df, ip_cols, ranges, broadcast_bytes)
     if ranges6 is not None:
-        columns, fields = df.columns, ("location", *PLACE_FIELDS)
-        df = df.withColumns({f"_k_{ip}": F.when(F.contains(F.col(ip), F.lit(":")), ip_key(F.col(ip))) for ip in ip_cols})
-        for ip in ip_cols:
-            key = F.col(f"_k_{ip}")
-            dotted = long_to_ip(F.conv(F.substring(key, 25, 8), 16, 10).cast("bigint"))
-            df = df.withColumn(f"_v4_{ip}", F.when(F.substring(key, 1, 24) == MAPPED, dotted).otherwise(F.col(ip)))
-        placed = _with_places4(df, [f"_v4_{ip}" for ip in ip_cols], ranges, broadcast_bytes)
-        named = placed.withColumnsRenamed({f"_v4_{ip}_{f}": f"{ip}_{f}" for ip in ip_cols for f in fields})
-        filled = _with_places6(named, ip_cols, ranges6)
-        return filled.select(*columns, *[f"{ip}_{f}" for ip in ip_cols for f in fields])
-    return _with_places4(df, ip_cols, ranges, broadcast_bytes)
+        placed = _with_places6(placed, ip_cols, ranges, broadcast_bytes, ranges6)
+    return placed.select(*columns, *[f"{ip}_{f}" for ip in ip_cols for f in ("location", *PLACE_FIELDS)])
 
 
 def _with_places4(df: DataFrame, ip_cols: Sequence[str], ranges: DataFrame, broadcast_bytes: int) -> DataFrame:
-    ranges = checkpointed(disjoint_ranges(ranges))
+    """Places by disjoint ranges, kept."""
     bits = finest_bits(ranges, broadcast_bytes)
     if bits is not None:
         pieces = range_pieces(ranges, bits)
