@@ -65,6 +65,28 @@ def test_same_groups_as_the_pattern_on_random_letters(spark):
     assert got == want and sum(w is not None for w in want.values()) > 300
 
 
+def test_letters_by_the_pattern_and_from_the_end_are_the_same(spark):
+    """Letters with each mark once, whole or with a part missing or moved, and runs whose marks may be taken in several ways."""
+    draw = random.Random(2)
+    parts = ["估价", "\n张\n李三（先生/女士）:", "x", "对位于南的江路的住的价值作初步估价值作初步估价", "。", "建筑面积１2.5平方米", "y\n", "在价值时点2019年3月7日的抵押评估价值为", "，", "单价：1|,2元", "元"]
+    texts = ["".join(parts), "".join(parts) + "\n\0单价：", "".join(parts) + "单价：无", "\0" + "".join(parts), "".join(parts).replace("的住的", "的的")]
+    for _ in range(400):
+        kept = [p for p in parts if draw.random() < 0.95]
+        if draw.random() < 0.3:
+            i, j = draw.randrange(len(kept)), draw.randrange(len(kept))
+            kept[i], kept[j] = kept[j], kept[i]
+        texts.append("".join(kept))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    text = F.col("text")
+    got = docs.select(doc._letter_parts(text).alias("p"), doc._parts_from_end(text).alias("q"), "text").collect()
+    for r in got:
+        want = list(m.groups()) if (m := PATTERN.match(r["text"])) else None
+        assert r["p"] == r["q"] == want
+    assert sum(r["p"] is not None for r in got) > 50
+    plan = docs.select(doc._letter_parts(text).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_replace") < plan.index("array_max")  # the pattern first, the search from the end for the others
+
+
 def test_near_matches_of_a_megabyte_take_no_second_more(spark):
     head, almost = "填充\n张三（先生/女士）:x。", "对位于A的B价值作初步估价建筑面积1.5平方米在价值时点2019年3月7日的抵押评估价值为单价："
     for text in (head + almost * 20_000, head + "对位于的" * 250_000 + "。建筑面积1.5平方米"):

@@ -21,6 +21,13 @@ LETTER_PARTS = {
     "_g5": ("在价值时点", r"(?U)(\d+年\d+月\d+日)的抵押评估价值为"),
     "_g4": ("建筑面积", r"(?U)(\d+\.\d+)平方米"),
 }
+# The marks that every letter has, and the whole pattern for texts that have each mark once, so that the runs of any text between its
+# parts are the same whether they are as long or as short as can be; short ones are found in one pass.
+LETTER_MARKS = (SALUTATION, LETTER_PLACE[0], LETTER_PLACE[2], *[mark for mark, _ in LETTER_PARTS.values()])
+LETTER = (
+    r"(?sU)\A.+?\n" + LETTER_NAME.removeprefix("(?U)") + r".+?" + r"(\w+)".join(LETTER_PLACE)
+    + "".join(".+?" + mark + rest.removeprefix("(?U)") for mark, rest in reversed(LETTER_PARTS.values())) + r".*\z"
+)
 
 
 def glob_regex(pattern: str) -> str:
@@ -77,7 +84,7 @@ def is_uuid(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Null, empty, or only white space of any script."""
-    return F.coalesce(c, F.lit("")).rlike(r"(?U)\A\s*\z")
+    return ~F.coalesce(c, F.lit("")).rlike(r"(?U)\S")
 
 
 def head_through(c: Column, mark: str) -> Column:
@@ -97,7 +104,7 @@ def python_text(c: Column) -> Column:
 
 def flat_base64(c: Column) -> Column:
     """Base64 without line breaks."""
-    return F.regexp_replace(F.base64(c), r"[\r\n]", "")
+    return F.replace(F.replace(F.base64(c), F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(""))
 
 
 def option_list(c: Column) -> Column:

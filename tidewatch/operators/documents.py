@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import ascii_digits
-from tidewatch.functions.text import LETTER_NAME, LETTER_PARTS, LETTER_PLACE, SALUTATION, flat_base64, head_through, is_blank, tail_after
+from tidewatch.functions.text import LETTER, LETTER_MARKS, LETTER_NAME, LETTER_PARTS, LETTER_PLACE, flat_base64, head_through, is_blank, tail_after
 from tidewatch.functions.times import parse_cn_date
 from tidewatch.operators.ordered import concat_ordered
 
@@ -45,6 +45,8 @@ IMAGE_FIELDS = (
     "x_img_yt",
     "x_img_ytjg",
 )
+# Most bytes of a letter that is matched by the pattern as it is.
+LETTER_BYTES = 4096
 
 
 def document_text(paras: DataFrame) -> DataFrame:
@@ -127,7 +129,7 @@ def _last_place(text: Column) -> Column:
     return _let(text, taken)
 
 
-def _letter_parts(text: Column) -> Column:
+def _parts_from_end(text: Column) -> Column:
     """The six groups of the letter pattern as an array, null if it does not match.
 
     The parts of the pattern are joined by runs of any text, each as long as can be. So every part lies at its last
@@ -144,8 +146,26 @@ def _letter_parts(text: Column) -> Column:
     def salutation(left: Column, groups: list[Column]) -> Column:
         return _let(_last_part(left, "\n", LETTER_NAME, least=1), lambda p: F.when(p["group"].isNotNull(), F.array(p["group"], *groups)))
 
-    marks = [SALUTATION, *LETTER_PLACE, *[mark for mark, _ in LETTER_PARTS.values()]]
-    return from_end(F.when(reduce(and_, [text.contains(m) for m in marks]), text), list(LETTER_PARTS), [])
+    return from_end(F.when(reduce(and_, [text.contains(m) for m in LETTER_MARKS]), text), list(LETTER_PARTS), [])
+
+
+def _parts_by_pattern(text: Column) -> Column:
+    """The same groups by the pattern as one expression, for texts that have each mark once at most and not the character 0."""
+    groups = "".join(f"\0${n}" for n in range(1, 7))
+    pieces = F.split(F.regexp_replace(text, LETTER, groups), "\0")
+    return _let(pieces, lambda p: F.when(F.size(p) == 7, F.slice(p, 2, 6)))
+
+
+def _letter_parts(text: Column) -> Column:
+    """The six groups of the letter pattern as an array, null if it does not match.
+
+    Most letters are short and have each mark once. There the pattern has nowhere to go back to, and is matched as it is;
+    without one of the marks it cannot match. In all other texts its parts are searched from the end, as it may go back too often.
+    """
+    size = F.octet_length(text)
+    upto_second = [F.call_function("substring_index", text, F.lit(m), F.lit(2)) for m in LETTER_MARKS]
+    plain = (size <= LETTER_BYTES) & ~text.contains("\0") & reduce(and_, [F.octet_length(t) == size for t in upto_second])
+    return F.when(plain, _parts_by_pattern(text)).otherwise(_parts_from_end(text))
 
 
 def _area(parts: Column) -> Column:
