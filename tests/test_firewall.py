@@ -131,3 +131,30 @@ def test_packed_sheet_has_the_same_rows(spark, tmp_path):
     write_policy_sheet(table, str(tmp_path / "packed"), "gzip")
     plain, packed = (spark.read.option("header", True).csv(str(tmp_path / n)) for n in ("plain", "packed"))
     assert list((tmp_path / "packed").glob("*.csv.gz")) and rows(plain, *plain.columns) == rows(packed, *packed.columns)
+
+
+def test_first_pass_sorts_no_lines_and_leaves_few(spark, monkeypatch):
+    """What is known of chunks comes from numbers added up, and only lines at the edges of chunks or of states are read for more."""
+    lines = numbered(spark, a=make_lines(5, 3000), b=["service x"] * 300)
+    want = sorted(("a", *r) for r in by_blocks(make_lines(5, 3000)))
+    for bound in (firewall.BROADCAST_CHUNKS, 0):
+        monkeypatch.setattr(firewall, "BROADCAST_CHUNKS", bound)
+        kept, write = [], firewall.__dict__["checkpointed"]
+        with monkeypatch.context() as m:
+            m.setattr(firewall, "checkpointed", lambda df: kept.append((df._jdf.queryExecution().executedPlan().toString(), write(df))) or kept[-1][1])
+            got = rows(policy_table(lines, 512), "file", *POLICY_COLUMNS)
+        (marks, _), (edges, few) = kept[:2]
+        assert "HashAggregate" in marks and "Sort" not in marks
+        assert ("BroadcastHashJoin" in edges) == (bound > 0) and few.where("file = 'a'").count() < 500 and few.where("file = 'b'").count() == 300
+        assert got == want
+
+
+def test_sheet_reads_empty_fields_as_null(spark, tmp_path, monkeypatch):
+    """The query's sheet, read as a stream, has the rows of the table, with quotes and commas, and null for what is empty."""
+    lines = [*SMALL, 'comment a,"b" user \\c"', "source-ip x", "destination-ip y", "service z,", "rule enable"]
+    table = policy_table(numbered(spark, f=lines))
+    monkeypatch.setattr(landing, "policy_lines", lambda _: numbered(spark, f=lines))
+    monkeypatch.setattr(landing, "work_path", lambda *_: str(tmp_path / "sheet"))
+    got = landing.policy_sheet(Tables(spark, str(tmp_path)))
+    want = [tuple(v or None for v in r) for r in rows(table, *POLICY_COLUMNS)]
+    assert sorted(map(repr, rows(got, *got.columns))) == sorted(map(repr, want)) and len(want) == 13

@@ -68,11 +68,13 @@ def policy_files(t: Tables) -> DataFrame:
         FROM (SELECT * REPLACE ({", ".join(f"nullif({c}, '') AS {c}" for c in POLICY_COLUMNS)}) FROM ({FLAT_SQL}))""",
 )
 def policy_sheet(t: Tables) -> DataFrame:
-    """The flat policies as the ten-column sheet. CSV knows no difference between an empty and a missing field."""
+    """The flat policies as the ten-column sheet. CSV knows no difference between an empty and a missing field: both are read as null.
+
+    Packed files are read whole anyway, and as a stream (`multiLine`) they need no text of each line.
+    """
     path = work_path(t.spark, "sheet")
     sinks.write_policy_sheet(policy_table(policy_lines(t)), path, "gzip")
-    sheet = t.spark.read.options(header=True, nullValue="").csv(path)
-    return sheet.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in sheet.columns])
+    return t.spark.read.options(header=True, nullValue="", multiLine=True).csv(path)
 
 
 @query("json_lines", "SELECT event_id, event_type, value, user_id FROM events")

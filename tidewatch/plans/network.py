@@ -28,25 +28,21 @@ def policy_lines(t: Tables) -> DataFrame:
     cust = F.col("o_custkey").cast("string")
     zone = text("interzone source z", F.pmod("o_custkey", F.lit(7)), " destination ", status)
     act = F.when(status == "F", "permit").otherwise("deny")
-    own = F.array_compact(
-        F.array(
-            F.when(status == "P", line(0, zone)),
-            F.when(status == "F", line(1, text("  comment C", order, " user U", cust, " "))),
-            F.when(status == "O", line(1, text("comment C", order))),
-            line(3, text("destination-ip d", cust)),
-            F.when(F.col("o_totalprice") > 250000, line(3, text("destination-ip e", cust))),
-            F.when(F.col("o_totalprice") > 100000, line(5, text("rule ", order, " ", act))),
-            F.when(F.col("o_totalprice") <= 450000, line(6, F.when(status == "O", "rule disable").otherwise("rule enable"))),
-        )
+    own = F.array(
+        F.when(status == "P", line(0, zone)),
+        F.when(status == "F", line(1, text("  comment C", order, " user U", cust, " "))),
+        F.when(status == "O", line(1, text("comment C", order))),
+        line(3, text("destination-ip d", cust)),
+        F.when(F.col("o_totalprice") > 250000, line(3, text("destination-ip e", cust))),
+        F.when(F.col("o_totalprice") > 100000, line(5, text("rule ", order, " ", act))),
+        F.when(F.col("o_totalprice") <= 450000, line(6, F.when(status == "O", "rule disable").otherwise("rule enable"))),
     )
-    listed = F.array_compact(
-        F.array(
-            line(2, text("source-ip s", F.col("l_suppkey"))),
-            F.when(F.col("l_discount") >= 0.05, line(4, text("service p", F.col("l_partkey")))),
-        )
+    listed = F.array(
+        line(2, text("source-ip s", F.col("l_suppkey"))),
+        F.when(F.col("l_discount") >= 0.05, line(4, text("service p", F.col("l_partkey")))),
     )
-    heads = t.orders.withColumn("_l", F.explode(own)).select(file("o_orderkey"), at("o_orderkey"), "_l.line")
-    lists = t.lineitem.withColumn("_l", F.explode(listed)).select(file("l_orderkey"), at("l_orderkey"), "_l.line")
+    heads = t.orders.withColumn("_l", F.explode(own)).where("_l IS NOT NULL").select(file("o_orderkey"), at("o_orderkey"), "_l.line")
+    lists = t.lineitem.withColumn("_l", F.explode(listed)).where("_l IS NOT NULL").select(file("l_orderkey"), at("l_orderkey"), "_l.line")
     return heads.unionByName(lists)
 
 
